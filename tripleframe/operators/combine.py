@@ -329,6 +329,32 @@ def or_(*frames: DataFrame) -> DataFrame:
     return mark_unbound(out.select(*every), loose)
 
 
+def _bucket(value: Column, kind: T.DataType, width: float) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        value = F.unix_micros(value.cast("timestamp")) / 1_000_000
+    elif isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value) / 1_000_000
+    elif isinstance(kind, T.DateType):
+        value = F.datediff(value, F.lit("1970-01-01").cast("date")) * 86_400
+    return F.floor(value / width)
+
+
+def _buckets(df: DataFrame, start: str, end: str, width: float) -> Column:
+    kinds = df.schema[start].dataType, df.schema[end].dataType
+    return F.sequence(_bucket(F.col(start), kinds[0], width), _bucket(F.col(end), kinds[1], width))
+
+
+def _salted(left: DataFrame, right: DataFrame, on: list[str], salts: int | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Split the rows of hot keys on the left over salts and repeat the right side per salt."""
+    if salts is None:
+        salts = -(-largest_group(left, on) // GROUP_ROWS)
+    if salts <= 1:
+        return left, right, on
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    return left, right.withColumn("_salt", F.explode(every)), [*on, "_salt"]
+
+
 def range_join(
     points: DataFrame,
     spans: DataFrame,
@@ -345,38 +371,54 @@ def range_join(
     split by salts: points fall into one salt each, the spans are repeated per salt. The number of salts
     follows from the largest bucket unless it is given.
     """
-
-    def bucket(c: Column, kind: T.DataType) -> Column:
-        if isinstance(kind, T.TimestampNTZType):
-            c = F.unix_micros(c.cast("timestamp")) / 1_000_000
-        elif isinstance(kind, T.TimestampType):
-            c = F.unix_micros(c) / 1_000_000
-        elif isinstance(kind, T.DateType):
-            c = F.datediff(c, F.lit("1970-01-01").cast("date")) * 86_400
-        return F.floor(c / width)
-
-    kind = points.schema[point].dataType
-    left = points.withColumn("_bucket", bucket(F.col(point), kind))
-    right = spans.where(F.col(start) < F.col(end)).withColumn(
-        "_bucket",
-        F.explode(
-            F.sequence(
-                bucket(F.col(start), spans.schema[start].dataType), bucket(F.col(end), spans.schema[end].dataType)
-            )
-        ),
-    )
-    on = [*keys, "_bucket"]
-    if salts is None:
-        salts = -(-largest_group(left, on) // GROUP_ROWS)
-    if salts > 1:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salts)))
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-        right = right.withColumn("_salt", F.explode(every))
-        on.append("_salt")
+    left = points.withColumn("_bucket", _bucket(F.col(point), points.schema[point].dataType, width))
+    right = spans.where(F.col(start) < F.col(end))
+    right = right.withColumn("_bucket", F.explode(_buckets(spans, start, end, width)))
+    left, right, on = _salted(left, right, [*keys, "_bucket"], salts)
     inside = (F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))
     return left.join(right, on).where(inside).drop("_bucket", "_salt")
 
 
+# Relations that are an equality of one endpoint of each interval.
+_TOUCHING = {"meets": (1, 0), "met_by": (0, 1)}
+
+
+def interval_join(
+    x: DataFrame,
+    y: DataFrame,
+    relation: str,
+    x_ends: tuple[str, str],
+    y_ends: tuple[str, str],
+    width: float,
+    keys: Sequence[str] = (),
+    salts: int | None = None,
+) -> DataFrame:
+    """Pairs of intervals in a named relation.
+
+    Touching intervals join on the endpoint they share. Intervals with common points meet in the bucket where
+    the later one starts, so each pair appears once. Intervals apart have no common bucket: they need keys.
+    """
+    from tripleframe.functions.dates import holds
+
+    test = holds(relation, *x_ends, *y_ends)
+    if relation in _TOUCHING:
+        i, j = _TOUCHING[relation]
+        left, right = x.withColumn("_end", F.col(x_ends[i])), y.withColumn("_end", F.col(y_ends[j]))
+        return left.join(right, [*keys, "_end"]).where(test).drop("_end")
+    if relation in ("before", "after"):
+        if not keys:
+            raise ValueError("intervals apart from each other need a shared variable")
+        return x.join(y, list(keys)).where(test)
+    left = x.withColumn("_bucket", F.explode(_buckets(x, *x_ends, width)))
+    right = y.withColumn("_bucket", F.explode(_buckets(y, *y_ends, width)))
+    left, right, on = _salted(left, right, [*keys, "_bucket"], salts)
+    later = F.greatest(
+        _bucket(F.col(x_ends[0]), x.schema[x_ends[0]].dataType, width),
+        _bucket(F.col(y_ends[0]), y.schema[y_ends[0]].dataType, width),
+    )
+    return left.join(right, on).where(test & (F.col("_bucket") == later)).drop("_bucket", "_salt")
+
+
 # Order and paging -----------------------------------------------------------------------------------
 
 
@@ -423,7 +465,7 @@ def page(
 
 
 __all__ = [
-    "and_", "cast", "distinct", "drop_unbound", "eq", "exists", "greater", "gte", "in_range", "isa", "less", "like",
+    "and_", "cast", "distinct", "drop_unbound", "eq", "exists", "greater", "gte", "in_range", "interval_join", "isa", "less", "like",
     "limit", "lte", "mark_bound", "mark_unbound", "maybe_unbound", "member", "not_", "once", "opt", "or_", "order_by",
     "page", "range_join", "regexp", "select", "set_member", "start", "subsumption", "true", "type_of",
 ]
