@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,6 +122,11 @@ class Lit:
         return "xsd:string" if isinstance(self.value, str) else "xsd:dateTime"
 
 
+def local_table(spark: SparkSession, **columns: list[str]) -> DataFrame:
+    """Text columns held by the driver as a table whose size the optimizer knows."""
+    return spark.createDataFrame(pa.table({name: pa.array(values, pa.string()) for name, values in columns.items()}))
+
+
 def variable(arg: Any) -> str | None:
     """Column name of a variable (``Var`` or text with the ``v:`` mark), None for a constant."""
     if isinstance(arg, Var):
@@ -226,7 +232,7 @@ class Schema:
     def closure(self, spark: SparkSession) -> DataFrame:
         """(child, parent) pairs of the subclass relation, reflexive and transitive."""
         pairs = [(c, a) for c in self.classes for a in self.ancestors(c)]
-        return spark.createDataFrame(pairs or [("", "")], "child string, parent string").where("child <> ''")
+        return local_table(spark, child=[c for c, _ in pairs], parent=[a for _, a in pairs])
 
     def struct(self, name: str) -> T.StructType:
         """Spark schema of the class table."""

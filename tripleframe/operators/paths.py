@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripleframe.model import RDF_TYPE, Graph, variable
+from tripleframe.model import RDF_TYPE, Graph, local_table, variable
 from tripleframe.operators.match import _property_rows
 from tripleframe.session import cut
 
@@ -220,10 +220,10 @@ def path(
     if seeds is not None:
         frontier = walk.start(seeds.select(F.col(seeds.columns[0]).alias("src")).distinct())
     elif backward:
-        frontier = walk.start(spark.createDataFrame([(obj,)], "src string"))
+        frontier = walk.start(local_table(spark, src=[obj]))
         pattern = inv(pattern)
     elif variable(subject) is None:
-        frontier = walk.start(spark.createDataFrame([(subject,)], "src string"))
+        frontier = walk.start(local_table(spark, src=[subject]))
     else:
         frontier = None
     pairs = walk.step(frontier, pattern)
