@@ -268,6 +268,11 @@ def _text_of(df: DataFrame, name: str) -> Column:
     return lexical_moment(F.col(name), _kind(df, name))
 
 
+def _moment_of(df: DataFrame, name: str) -> Column:
+    """Moment of an endpoint column; only text is parsed."""
+    return endpoint(F.col(name)) if _kind(df, name) == "string" else F.col(name).cast("timestamp_ntz")
+
+
 def _split(df: DataFrame, parts: dict[str, Column]) -> DataFrame:
     """Check the parts that are bound, bind the others."""
     for name, part in parts.items():
@@ -281,11 +286,9 @@ def interval_start_duration(df: DataFrame, start: str, duration: str, value: str
     if v in df.columns:
         length = duration_between(endpoint(interval_start(v)), endpoint(interval_end(v)))
         return _split(df, {s: interval_start(v), d: length})
+    df = df.where(parse_duration(d).isNotNull()).withColumn("_moved", plus_duration(_moment_of(df, s), d, "dateTime"))
     begin = _text_of(df, s)
-    finish = plus_duration(endpoint(begin), d, "dateTime")
-    return df.withColumn(v, F.when(finish.isNotNull(), interval_text(begin, _same_kind(finish, begin)))).where(
-        F.col(v).isNotNull()
-    )
+    return df.withColumn(v, interval_text(begin, _same_kind(F.col("_moved"), begin))).drop("_moved")
 
 
 def interval_duration_end(df: DataFrame, duration: str, end: str, value: str) -> DataFrame:
@@ -294,11 +297,9 @@ def interval_duration_end(df: DataFrame, duration: str, end: str, value: str) ->
     if v in df.columns:
         length = duration_between(endpoint(interval_start(v)), endpoint(interval_end(v)))
         return _split(df, {d: length, e: interval_end(v)})
+    df = df.where(parse_duration(d).isNotNull()).withColumn("_moved", minus_duration(_moment_of(df, e), d, "dateTime"))
     finish = _text_of(df, e)
-    begin = minus_duration(endpoint(finish), d, "dateTime")
-    return df.withColumn(v, F.when(begin.isNotNull(), interval_text(_same_kind(begin, finish), finish))).where(
-        F.col(v).isNotNull()
-    )
+    return df.withColumn(v, interval_text(_same_kind(F.col("_moved"), finish), finish)).drop("_moved")
 
 
 def interval_relation(x_start: Any, x_end: Any, y_start: Any, y_end: Any) -> Column:

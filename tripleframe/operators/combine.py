@@ -260,7 +260,10 @@ def and_(*frames: DataFrame) -> DataFrame:
 
 
 def not_(df: DataFrame, sub: DataFrame) -> DataFrame:
-    """Keep solutions for which the sub-query has none; binds nothing."""
+    """Keep solutions for which the sub-query has none; binds nothing.
+
+    Keys of the sub-query are made unique before the join, so a hot key there is one row.
+    """
     shared = _shared(df, sub)
     left_flags, right_flags = _flags(df, sub, shared)
     parts = []
@@ -271,7 +274,7 @@ def not_(df: DataFrame, sub: DataFrame) -> DataFrame:
             nulls = {c for c, u in zip(left_flags, lm) if u} | {c for c, u in zip(right_flags, rm) if u}
             keys = [c for c in shared if c not in nulls]
             if keys:
-                rest = rest.join(other.select(*keys), keys, "left_anti")
+                rest = rest.join(other.select(*keys).distinct(), keys, "left_anti")
             else:
                 rest = rest.join(F.broadcast(other.select(F.lit(1).alias("_any")).limit(1)), how="left_anti")
         parts.append(rest)
@@ -283,7 +286,7 @@ def exists(df: DataFrame, sub: DataFrame) -> DataFrame:
     shared = _shared(df, sub)
     left_flags, right_flags = _flags(df, sub, shared)
     if shared and not left_flags and not right_flags:
-        return df.join(sub.select(*shared), shared, "left_semi")
+        return df.join(sub.select(*shared).distinct(), shared, "left_semi")
     if not shared:
         return df.join(F.broadcast(sub.select(F.lit(1).alias("_any")).limit(1)), how="left_semi")
     # An agreeing solution exists exactly where negation drops the row.

@@ -11,39 +11,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleframe.model import QUAD_COLUMNS, RDF_TYPE, ClassDef, Schema, literal_type
+from tripleframe.operators.spread import GROUP_ROWS, largest_group
 
 
 # Documents as facts ---------------------------------------------------------------------------------
 
 
-def _fact(s: Column, p: str, o: Column, kind: T.DataType, node: bool) -> list[Column]:
-    """Columns of one fact; the typed shadows come straight from the native column."""
+def _fact(s: Column, p: str, o: Column, kind: T.DataType, node: bool) -> dict[str, Column]:
+    """Columns of one fact; the typed shadows come straight from the native column.
+
+    A missing value gives a fact without predicate, so that counting predicates never builds the texts.
+    """
     numeric = isinstance(kind, T.NumericType)
     moment = isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType))
-    return [
-        s,
-        F.lit(p),
-        o.cast("string"),
-        F.lit("node" if node else "data"),
-        F.lit(None if node else literal_type(kind.simpleString())).cast("string"),
-        o.cast("double") if numeric else F.lit(None).cast("double"),
-        o.cast("timestamp_ntz") if moment else F.lit(None).cast("timestamp_ntz"),
-    ]
-
-
-def _stacked(rows: DataFrame, facts: Sequence[list[Column]], graph: str) -> DataFrame:
-    """Facts of each row as rows; compiled code, no arrays are built."""
-    columns = [c for fact in facts for c in fact]
-    out = rows.select(F.stack(F.lit(len(facts)), *columns).alias(*QUAD_COLUMNS[1:]))
-    return out.where(F.col("o").isNotNull()).select(F.lit(graph).alias("graph"), *QUAD_COLUMNS[1:])
+    return {
+        "s": s,
+        "p": F.when(o.isNotNull(), F.lit(p)),
+        "o": o.cast("string"),
+        "o_kind": F.lit("node" if node else "data"),
+        "o_type": F.lit(None if node else literal_type(kind.simpleString())).cast("string"),
+        "o_num": o.cast("double") if numeric else F.lit(None).cast("double"),
+        "o_ts": o.cast("timestamp_ntz") if moment else F.lit(None).cast("timestamp_ntz"),
+    }
+
+
+def _stacked(rows: DataFrame, facts: Sequence[dict[str, Column]], graph: str) -> DataFrame:
+    """Facts of each row as rows, by UNPIVOT: compiled code, and columns nobody reads are not computed."""
+    names = QUAD_COLUMNS[1:]
+    wide = rows.select([fact[c].alias(f"{c}_{i}") for i, fact in enumerate(facts) for c in names])
+    sets = ", ".join("(" + ", ".join(f"{c}_{i}" for c in names) + f") as f{i}" for i in range(len(facts)))
+    text = f"select {', '.join(names)} from {{wide}} unpivot include nulls (({', '.join(names)}) for _f in ({sets}))"
+    out = rows.sparkSession.sql(text, wide=wide).where(F.col("p").isNotNull())
+    return out.select(F.lit(graph).alias("graph"), *names)
 
 
 def _facts_of(
     s: Column, value_of: Callable[[str], Column], fields: Sequence[T.StructField], schema: Schema, cls: str
-) -> tuple[list[list[Column]], list[tuple[Column, Column, str, T.DataType, bool]]]:
+) -> tuple[list[dict[str, Column]], list[tuple[Column, Column, str, T.DataType, bool]]]:
     """Facts of scalar properties and nested documents, and the set properties found on the way."""
     props = schema.properties(cls) if cls in schema else {}
-    facts: list[list[Column]] = []
+    facts: list[dict[str, Column]] = []
     sets: list[tuple[Column, Column, str, T.DataType, bool]] = []
     for f in fields:
         value, kind, prop = value_of(f.name), f.dataType, props.get(f.name)
@@ -106,9 +113,15 @@ def list_facts(df: DataFrame, prop: str, graph: str = "instance") -> DataFrame:
 
 
 def assemble_documents(quads: DataFrame, schema: Schema, cls: str) -> DataFrame:
-    """Class table from facts: one aggregation by subject, sets sorted."""
+    """Class table from facts: one aggregation by subject, sets sorted.
+
+    A document with a set too large for one row is refused: its elements stay available as facts.
+    """
     props = schema.properties(cls)
     struct = schema.struct(cls)
+    sets = [name for name in props if isinstance(struct[name].dataType, T.ArrayType)]
+    if sets and largest_group(quads.where(F.col("p").isin(sets)), ["s", "p"]) > GROUP_ROWS:
+        raise ValueError(f"a set holds more than {GROUP_ROWS} elements: read it as facts")
     rows = quads.where(F.col("p").isin([RDF_TYPE, *props]))
     aggs = [F.max(F.when((F.col("p") == RDF_TYPE), F.col("o"))).alias("_type")]
     for name, prop in props.items():
@@ -241,7 +254,7 @@ def update_document(table: DataFrame, batch: DataFrame) -> DataFrame:
 
 def delete_document(table: DataFrame, ids: DataFrame) -> DataFrame:
     """Table without the documents of the ids."""
-    return table.join(ids.select("id"), "id", "left_anti")
+    return table.join(ids.select("id").distinct(), "id", "left_anti")
 
 
 def resolve_references(batch: DataFrame, ref_cols: Sequence[str], capture: str = "capture") -> DataFrame:

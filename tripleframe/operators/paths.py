@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tripleframe.model import RDF_TYPE, Graph, local_table, variable
 from tripleframe.operators.match import _property_rows
-from tripleframe.session import cut
+from tripleframe.session import cut, cut_counted
 
 #: Rounds after which the tables of the rounds are merged into one.
 MERGE_ROUNDS = 8
@@ -109,9 +109,23 @@ class _Walk:
 
     def __init__(self, graph: Graph, routes: bool, max_hops: int | None):
         self.graph, self.routes, self.max_hops = graph, routes, max_hops
+        self.held: dict[str | None, DataFrame] = {}
+
+    def hold(self, p: Pattern, repeated: bool = False) -> None:
+        """Write the edges of unbounded repetitions once: every round reads them."""
+        repeated = repeated or (p.kind == "repeat" and p.high is None)
+        if p.kind == "edge":
+            if repeated and p.parts[0] not in self.held:
+                self.held[p.parts[0]] = cut(edges(self.graph, p.parts[0]))
+            return
+        for part in p.parts:
+            self.hold(part, repeated)
+
+    def edges(self, name: str | None) -> DataFrame:
+        return self.held[name] if name in self.held else edges(self.graph, name)
 
     def nodes(self) -> DataFrame:
-        every = edges(self.graph)
+        every = self.edges(None)
         ids = every.select(F.col("s").alias("src")).union(every.select("o")).distinct()
         return self.start(ids)
 
@@ -134,7 +148,7 @@ class _Walk:
         return df.distinct()
 
     def edge(self, frontier: DataFrame | None, p: Pattern) -> DataFrame:
-        rows = edges(self.graph, p.parts[0])
+        rows = self.edges(p.parts[0])
         source, target = ("o", "s") if p.backward else ("s", "o")
         link = F.struct("s", "p", "o")
         if frontier is None:
@@ -176,25 +190,26 @@ class _Walk:
 
     def closure(self, first: DataFrame, inner: Pattern) -> DataFrame:
         """All pairs reached by repeating the pattern, given the pairs of its first application."""
-        fresh = cut(self.unique(first))
+        fresh, seen_now = cut_counted(self.unique(first), n=F.count(F.lit(1)))
         rounds = [fresh]
         hops = 1
-        while not fresh.isEmpty() and (self.max_hops is None or hops < self.max_hops):
+        while seen_now["n"] and (self.max_hops is None or hops < self.max_hops):
             seen = reduce(lambda a, b: a.unionByName(b), rounds)
             if len(rounds) >= MERGE_ROUNDS:
                 seen = cut(seen)
                 rounds = [seen]
-            fresh = cut(self.unique(self.step(fresh, inner)).join(seen, ["src", "at"], "left_anti"))
+            found = self.unique(self.step(fresh, inner)).join(seen, ["src", "at"], "left_anti")
+            fresh, seen_now = cut_counted(found, n=F.count(F.lit(1)))
             rounds.append(fresh)
             hops += 1
         return reduce(lambda a, b: a.unionByName(b), rounds)
 
     def grow_routes(self, first: DataFrame, inner: Pattern, origin: DataFrame | None) -> DataFrame:
-        fresh = cut(first)
+        fresh, grown = cut_counted(first, n=F.count(F.lit(1)))
         rounds = [fresh] if origin is None else [origin, fresh]
         hops = 1
-        while hops < (self.max_hops or 0) and not fresh.isEmpty():
-            fresh = cut(self.step(fresh, inner))
+        while hops < (self.max_hops or 0) and grown["n"]:
+            fresh, grown = cut_counted(self.step(fresh, inner), n=F.count(F.lit(1)))
             rounds.append(fresh)
             hops += 1
         return self.unique(reduce(lambda a, b: a.unionByName(b), rounds))
@@ -226,6 +241,7 @@ def path(
         frontier = walk.start(local_table(spark, src=[subject]))
     else:
         frontier = None
+    walk.hold(pattern)
     pairs = walk.step(frontier, pattern)
     columns = [F.col("src").alias("_s"), F.col("at").alias("_o")]
     if backward:

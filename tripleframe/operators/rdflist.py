@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tripleframe.model import RDF_NIL
 from tripleframe.operators.agg import group_chunks
 from tripleframe.operators.spread import GROUP_ROWS, largest_group
-from tripleframe.session import cut
+from tripleframe.session import cut, cut_counted
 
 POSITIONS = ["head", "pos", "cell", "value"]
 
@@ -44,29 +44,29 @@ def list_positions(cells: DataFrame) -> DataFrame:
     Each round doubles the length of the jumps, so a list of n cells takes log2 n rounds. Only ids move in
     the rounds; the pointers of unfinished cells are unique, so no join key is hot.
     """
-    before = cells.where(F.col("rest") != RDF_NIL).select(F.col("rest").alias("cell"), F.col("cell").alias("ptr"))
-    linked = cut(cells.select("cell").join(before, "cell", "left"))
+    links = cut(cells.select("cell", "rest"))
+    before = links.where(F.col("rest") != RDF_NIL).select(F.col("rest").alias("cell"), F.col("cell").alias("ptr"))
+    linked = cut(links.select("cell").join(before, "cell", "left"))
     heads = linked.where(F.col("ptr").isNull()).select(F.col("cell").alias("ptr"))
     near = linked.where(F.col("ptr").isNotNull()).join(heads.withColumn("_head", F.lit(True)), "ptr", "left")
-    state = cut(
-        near.select("cell", "ptr", F.lit(1).cast("bigint").alias("dist"), F.coalesce("_head", F.lit(False)).alias("done"))
-    )
+    near = near.select("cell", "ptr", F.lit(1).cast("bigint").alias("dist"), F.coalesce("_head", F.lit(False)).alias("done"))
+    unfinished = F.count(F.when(~F.col("done"), 1))
+    state, sizes = cut_counted(near, left=unfinished)
     done = [state.where("done")]
     open_ = state.where("not done")
-    left, before_round = open_.count(), None
+    left, before_round = sizes["left"], None
     while left and left != before_round:
         targets = reduce(lambda a, b: a.unionByName(b), [*done, open_])
         jumps = targets.select(
             F.col("cell").alias("ptr"), F.col("ptr").alias("_next"), F.col("dist").alias("_far"), F.col("done").alias("_done")
         )
-        moved = cut(
-            open_.drop("done").join(jumps, "ptr").select(
-                "cell", F.col("_next").alias("ptr"), (F.col("dist") + F.col("_far")).alias("dist"), F.col("_done").alias("done")
-            )
+        moved = open_.drop("done").join(jumps, "ptr").select(
+            "cell", F.col("_next").alias("ptr"), (F.col("dist") + F.col("_far")).alias("dist"), F.col("_done").alias("done")
         )
+        moved, sizes = cut_counted(moved, left=unfinished)
         done.append(moved.where("done"))
         open_ = moved.where("not done")
-        left, before_round = open_.count(), left
+        left, before_round = sizes["left"], left
     placed = reduce(lambda a, b: a.unionByName(b), done).select("cell", F.col("ptr").alias("head"), F.col("dist").alias("pos"))
     first = heads.select(F.col("ptr").alias("cell"), F.col("ptr").alias("head"), F.lit(0).cast("bigint").alias("pos"))
     out = placed.unionByName(first).join(cells.select("cell", F.col("first").alias("value")), "cell")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripleframe.session import configure, shared_dir
+from tripleframe.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +28,7 @@ class Tables:
 
     def scratch(self) -> str:
         """A new path in the shared folder for a query that writes and reads files."""
-        return f"{shared_dir(self.spark)}/tripleframe/{self.spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+        return scratch_path(self.spark)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: A side is only broadcast by hand when it holds at most this many rows.
 BROADCAST_ROWS = 10_000
@@ -16,6 +15,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where the split costs a shuffle after the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 _local_dirs: dict[str, str] = {}
@@ -41,16 +42,37 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tripleframe/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame as a table in the shared folder and read it back.
 
     Cuts the lineage of iterative operators; the table outlives lost executors, is written once,
     and gives the next plan real file statistics.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tripleframe/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_counted(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``cut`` together with aggregates of the written rows, taken in the same job."""
+    seen = Observation()
+    table = cut(df.observe(seen, *[m.alias(name) for name, m in measures.items()]))
+    return table, seen.get
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables this application wrote to the shared folder; frames built on them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -58,11 +80,6 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if a count proves it small, else the frame as it is."""
-    return F.broadcast(df) if at_most(df, rows) else df
-
-
 def shuffle_width(spark: SparkSession) -> int:
     """Number of partitions used where a width has to be named."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
