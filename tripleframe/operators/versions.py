@@ -152,7 +152,7 @@ def _patch_body(patch: DataFrame, struct: T.StructType, make: Callable[[Column,
         entry = F.element_at("_patch", ".".join(path))
         return F.when(entry.isNotNull(), make(entry, kind))
 
-    return _by_document(patch).select("id", F.to_json(_nested(struct, leaf)).alias(name))
+    return _by_document(patch).select("id", F.coalesce(F.to_json(_nested(struct, leaf)), F.lit("{}")).alias(name))
 
 
 def read_patch(df: DataFrame, struct: T.StructType, body: str = "patch") -> DataFrame:
