@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import Any
@@ -122,6 +123,35 @@ class Lit:
         return "xsd:string" if isinstance(self.value, str) else "xsd:dateTime"
 
 
+def literal(value: Any, datatype: str) -> Lit:
+    """A constant of a datatype."""
+    return Lit(value, datatype if ":" in datatype else f"xsd:{datatype}")
+
+
+def string(value: Any) -> Lit:
+    return Lit(str(value), "xsd:string")
+
+
+def boolean(value: Any) -> Lit:
+    return Lit(bool(value), "xsd:boolean")
+
+
+def datetime(value: dt.datetime | str) -> Lit:
+    """A moment, from a Python value or ISO text."""
+    held = dt.datetime.fromisoformat(value.replace("Z", "")) if isinstance(value, str) else value
+    return Lit(held, "xsd:dateTime")
+
+
+def date(value: dt.date | str) -> Lit:
+    """A day, from a Python value or ISO text."""
+    return Lit(dt.date.fromisoformat(value) if isinstance(value, str) else value, "xsd:date")
+
+
+def iri(name: str) -> str:
+    """A node name, as it is in subject, predicate and object position."""
+    return name
+
+
 def local_table(spark: SparkSession, **columns: list[str]) -> DataFrame:
     """Text columns held by the driver as a table whose size the optimizer knows."""
     return spark.createDataFrame(pa.table({name: pa.array(values, pa.string()) for name, values in columns.items()}))
@@ -234,6 +264,17 @@ class Schema:
         pairs = [(c, a) for c in self.classes for a in self.ancestors(c)]
         return local_table(spark, child=[c for c, _ in pairs], parent=[a for _, a in pairs])
 
+    def frame_table(self, spark: SparkSession) -> DataFrame:
+        """(class, property, range, kind) of every class, inherited properties included."""
+        props = [(c, p) for c in self.classes for p in self.properties(c).values()]
+        return local_table(
+            spark,
+            **{"class": [c for c, _ in props]},
+            property=[p.name for _, p in props],
+            range=[p.range for _, p in props],
+            kind=[p.kind for _, p in props],
+        )
+
     def struct(self, name: str) -> T.StructType:
         """Spark schema of the class table."""
         fields = [T.StructField("id", T.StringType())]

@@ -53,6 +53,11 @@ def distinct(df: DataFrame, *variables: Any) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
+    if len(rest) == 1:
+        # One other column needs no struct, so the aggregation is hash-based; unbound comes first.
+        low = df.groupBy(*keys).agg(F.min(rest[0]).alias("_low"), F.max(F.col(rest[0]).isNull()).alias("_none"))
+        value = F.when(~F.col("_none"), F.col("_low"))
+        return low.select(*[value.alias(c) if c == rest[0] else F.col(c) for c in df.columns])
     best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_best"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 

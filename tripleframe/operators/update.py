@@ -86,19 +86,35 @@ def update_triple(quads: DataFrame, df: DataFrame, sub: Any, pred: Any, new_obje
     return update_quad(quads, df, sub, pred, new_object, "instance", seq)
 
 
-def net_changes(changes: DataFrame) -> DataFrame:
-    """The last change of each fact, an addition winning over a removal of the same step."""
+def last_ops(changes: DataFrame) -> DataFrame:
+    """First and last change of each fact as ``2 * seq + 1`` for additions and ``2 * seq`` for removals.
+
+    Numbers keep the aggregation hash-based; within one step an addition comes after a removal.
+    """
     keys = [F.coalesce(F.col(c), F.lit("")).alias(c) if c == "o_type" else F.col(c) for c in QUAD_KEY]
-    rows = changes.select("seq", "op", *keys, "o_num", "o_ts")
-    order = F.struct("seq", (F.col("op") == "+").alias("_add"))
-    last = rows.groupBy(*QUAD_KEY).agg(
-        F.max(order).alias("_last"), F.max("o_num").alias("o_num"), F.max("o_ts").alias("o_ts")
-    )
-    return last.select(
-        F.col("_last.seq").alias("seq"),
-        F.when(F.col("_last._add"), "+").otherwise("-").alias("op"),
-        *[F.nullif(F.col(c), F.lit("")).alias(c) if c == "o_type" else F.col(c) for c in QUAD_COLUMNS],
+    at = F.col("seq") * 2 + F.when(F.col("op") == "+", 1).otherwise(0)
+    rows = changes.select(*keys, at.alias("_at"), "o_num", "o_ts")
+    ends = rows.groupBy(*QUAD_KEY).agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.max("o_num").alias("o_num"), F.max("o_ts").alias("o_ts")
     )
+    return ends.withColumn("o_type", F.nullif("o_type", F.lit("")))
+
+
+def as_changes(ends: DataFrame) -> DataFrame:
+    """Changes of the last operation of each fact."""
+    seq = F.floor(F.col("_last") / 2).cast("bigint")
+    op = F.when(F.col("_last") % 2 == 1, "+").otherwise("-")
+    return ends.select(seq.alias("seq"), op.alias("op"), *QUAD_COLUMNS)
+
+
+def net_changes(changes: DataFrame) -> DataFrame:
+    """The last change of each fact, an addition winning over a removal of the same step."""
+    return as_changes(last_ops(changes))
+
+
+def into(changes: DataFrame, graph: str) -> DataFrame:
+    """The same changes directed at another graph."""
+    return changes.withColumn("graph", F.lit(graph)).select(*CHANGE_COLUMNS)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, how: str) -> DataFrame:

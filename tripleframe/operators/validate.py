@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleframe.functions.ids import hashed, lexical
-from tripleframe.model import SPARK_TYPES, ClassDef, Prop, Schema, literal_type
+from tripleframe.model import SPARK_TYPES, ClassDef, Prop, Schema, literal_type, local_table
 
 VIOLATIONS = "struct<property:string,rule:string,value:string>"
 
@@ -198,5 +198,11 @@ def infer_class(
 def class_table(df: DataFrame, class_name: str) -> DataFrame:
     """(class, property, range, nullable) of an inferred class as rows."""
     nulls = nullable_columns(df)
-    rows = [(class_name, p.name, p.range, p.name in nulls) for p in infer_class(df, class_name).props]
-    return df.sparkSession.createDataFrame(rows, "class string, property string, range string, nullable boolean")
+    props = infer_class(df, class_name).props
+    table = local_table(
+        df.sparkSession,
+        property=[p.name for p in props],
+        range=[p.range for p in props],
+        nullable=[str(p.name in nulls).lower() for p in props],
+    )
+    return table.select(F.lit(class_name).alias("class"), "property", "range", F.col("nullable").cast("boolean"))

@@ -13,10 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripleframe.model import QUAD_COLUMNS, QUAD_KEY
 from tripleframe.operators.combine import page
 from tripleframe.operators.spread import GROUP_ROWS, number_rows
-from tripleframe.operators.update import apply_changes
+from tripleframe.operators.update import apply_changes, as_changes, last_ops
 
 
 def leaf_paths(struct: T.StructType, prefix: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
@@ -314,17 +313,8 @@ def apply_conflicts(before: DataFrame, after: DataFrame, target: DataFrame) -> D
 
 def squash(changes: DataFrame) -> DataFrame:
     """Many commits as one: the last change of each fact; a fact added and removed again is no change."""
-    rows = changes.withColumn("o_type", F.coalesce("o_type", F.lit("")))
-    at = F.struct("seq", (F.col("op") == "+").alias("_add"))
-    ends = rows.groupBy(*QUAD_KEY).agg(
-        F.min(at).alias("_first"), F.max(at).alias("_last"), F.max("o_num").alias("o_num"), F.max("o_ts").alias("o_ts")
-    )
-    kept = ends.where(F.col("_first._add") == F.col("_last._add"))
-    return kept.select(
-        F.col("_last.seq").alias("seq"),
-        F.when(F.col("_last._add"), "+").otherwise("-").alias("op"),
-        *[F.nullif("o_type", F.lit("")).alias(c) if c == "o_type" else F.col(c) for c in QUAD_COLUMNS],
-    )
+    ends = last_ops(changes)
+    return as_changes(ends.where(F.col("_first") % 2 == F.col("_last") % 2))
 
 
 def rebase(base: DataFrame, branch_changes: DataFrame) -> DataFrame:

@@ -454,6 +454,27 @@ def key_changes(t: Tables) -> DataFrame:
     return validate.key_changes(before, after, ClassDef("Order", key="Lexical", key_fields=("status", "priority")))
 
 
+_FRAMED = ("Nation", "Customer", "Order")
+
+
+@query(
+    "K3_class_frame",
+    " union all ".join(
+        f"select '{cls}' as class, '{p.name}' as property, '{p.range}' as range, count(\"{p.name}\") as facts from {class_sql(cls)}"
+        for cls in _FRAMED
+        for p in views.SCHEMA.properties(cls).values()
+    ),
+)
+def class_frame(t: Tables) -> DataFrame:
+    """The properties of classes with the number of facts each has."""
+    facts = graph(t, *_FRAMED).quads()
+    kind = F.split_part("s", F.lit("/"), F.lit(1))
+    held = facts.groupBy(kind.alias("class"), F.col("p").alias("property")).agg(F.count(F.lit(1)).alias("facts"))
+    frame = views.SCHEMA.frame_table(t.spark).where(F.col("class").isin(*_FRAMED))
+    joined = frame.join(held, ["class", "property"], "left")
+    return joined.select("class", "property", "range", F.coalesce("facts", F.lit(0)).alias("facts"))
+
+
 def _inferred_sql(cls: str, table: str, columns: dict[str, str]) -> str:
     return " union all ".join(
         f"select '{cls}' as class, '{c}' as property, '{r}' as range, count(*) > count({c}) as nullable from {table}" for c, r in columns.items()

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripleframe.functions import dates, ids, lists, math, text
+from tripleframe.model import datetime, string
 from tripleframe.operators import combine as c
 from tripleframe.operators.spread import neighbours
 from tripleframe.plans.registry import Tables, query
 from tripleframe.plans.views import class_sql, class_table
+from tripleframe.session import cut
 
 MONEY = "decimal(12,2)"
 
@@ -392,12 +394,8 @@ def interval_relation_test(t: Tables) -> DataFrame:
     "select o_orderkey as doc from orders where o_orderdate >= timestamp '1997-01-01' and o_orderdate < timestamp '1998-01-01' and o_orderstatus = 'F'",
 )
 def literals(t: Tables) -> DataFrame:
-    from datetime import datetime
-
-    from tripleframe.model import Lit
-
-    df = c.in_range(t.orders, "v:o_orderdate", Lit(datetime(1997, 1, 1)), Lit(datetime(1998, 1, 1)))
-    return c.eq(df, "v:o_orderstatus", Lit("F", "xsd:string")).select(F.col("o_orderkey").alias("doc"))
+    df = c.in_range(t.orders, "v:o_orderdate", datetime("1997-01-01T00:00:00Z"), datetime("1998-01-01T00:00:00Z"))
+    return c.eq(df, "v:o_orderstatus", string("F")).select(F.col("o_orderkey").alias("doc"))
 
 
 # Dictionaries and ids -----------------------------------------------------------------------------------
@@ -439,7 +437,7 @@ def unique(t: Tables) -> DataFrame:
 
 @query("F44_idgen_random")
 def idgen_random(t: Tables) -> DataFrame:
-    return t.part.select(F.col("p_partkey").alias("part"), ids.random_id("Part/").alias("doc"))
+    return cut(t.part.select(F.col("p_partkey").alias("part"), ids.random_id("Part/").alias("doc")))
 
 
 @query(

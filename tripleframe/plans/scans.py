@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripleframe.model import Graph, Var
+from tripleframe.model import Graph, Var, datetime
 from tripleframe.operators import combine as c
 from tripleframe.operators import documents as docs
-from tripleframe.operators import match
+from tripleframe.operators import match, update
 from tripleframe.operators.update import changes_between
 from tripleframe.plans import views
 from tripleframe.plans.registry import Tables, query
@@ -466,11 +466,7 @@ def triple_next(t: Tables) -> DataFrame:
     f"select u as \"user\", min(ts) as \"next\" from {VISITS_SQL} where ts > timestamp '2024-01-15 12:00:00' group by u",
 )
 def triple_next_bound_object(t: Tables) -> DataFrame:
-    from datetime import datetime
-
-    from tripleframe.model import Lit
-
-    return match.triple_next(_visits(t), "v:user", "seen", Lit(datetime(2024, 1, 15, 12)), "v:next")
+    return match.triple_next(_visits(t), "v:user", "seen", datetime("2024-01-15T12:00:00Z"), "v:next")
 
 
 @query(
@@ -487,11 +483,7 @@ def triple_previous(t: Tables) -> DataFrame:
     f"select u as \"user\", max(ts) as \"previous\" from {VISITS_SQL} where ts < timestamp '2024-01-15 12:00:00' group by u",
 )
 def triple_previous_bound_object(t: Tables) -> DataFrame:
-    from datetime import datetime
-
-    from tripleframe.model import Lit
-
-    return match.triple_previous(_visits(t), "v:user", "seen", Lit(datetime(2024, 1, 15, 12)), "v:previous")
+    return match.triple_previous(_visits(t), "v:user", "seen", datetime("2024-01-15T12:00:00Z"), "v:previous")
 
 
 @query(
@@ -505,6 +497,27 @@ def quad_next(t: Tables) -> DataFrame:
     return match.quad_next(g, "v:user", "spent", "v:value", "v:next", "instance")
 
 
+@query(
+    "B9_quad_previous",
+    """select * from (select 'User/' || user_id as "user", value, lag(value) over (partition by user_id order by value) as "previous"
+        from (select distinct user_id, value from events)) where "previous" is not null""",
+)
+def quad_previous(t: Tables) -> DataFrame:
+    user = F.concat(F.lit("User/"), F.col("user_id").cast("string"))
+    g = Graph({"Visit": t.events.select(user.alias("id"), F.col("value").alias("spent"))})
+    return match.quad_previous(g, "v:user", "spent", "v:value", "v:previous", "instance")
+
+
+@query("B10_into", f"select 'copy' as graph, s, p, o from {facts_sql('Customer')}")
+def into(t: Tables) -> DataFrame:
+    """The facts of one graph written into another."""
+    rows = match.star(graph(t, "Customer"))
+    changes = update.into(update.add_triple(rows, "v:Subject", "v:Predicate", "v:Object"), "copy")
+    return update.apply_changes(docs.triplify(class_table(t, "Supplier"), views.SCHEMA, "Supplier"), changes).where(
+        "graph = 'copy'"
+    ).select("graph", "s", "p", "o")
+
+
 @query(
     "B10_using",
     f"select p as pred, count(*) as n from {facts_sql('Customer')} group by p",

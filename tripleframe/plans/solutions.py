@@ -29,6 +29,12 @@ def select(t: Tables) -> DataFrame:
     return c.select(match.triple(graph(t, "Part"), "v:part", "brand", "v:brand"), "v:brand")
 
 
+@query("C1_select_empty", "select count(*) as n from customer")
+def select_empty(t: Tables) -> DataFrame:
+    """A selection without variables keeps one empty row per solution."""
+    return agg.count(c.select(match.triple(graph(t, "Customer"), "v:customer", "nation", "v:nation")), "v:n")
+
+
 @query(
     "C2_distinct",
     """select segment, nation, customer from (select c_mktsegment as segment, 'Nation/' || c_nationkey as nation,
