@@ -149,6 +149,13 @@ def key_changes(before: DataFrame, after: DataFrame, definition: ClassDef) -> Da
 
 # Types tried on text columns, narrowest first.
 _CANDIDATES = ("bigint", "double", "boolean", "timestamp_ntz")
+# Fixed pattern: text of a number. Text that fails it is never parsed, which is much cheaper than a failed parse.
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?([Nn]a[Nn]|[Ii]nf(inity)?)$"
+
+
+def _fits(text: Column, kind: str) -> Column:
+    value = F.trim(text)
+    return F.when(value.rlike(_NUMBER), value.try_cast(kind)) if kind in ("bigint", "double") else value.try_cast(kind)
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
@@ -163,7 +170,7 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     checks = [F.count(F.col(f"`{c}`")).alias(f"{i}.n") for i, c in enumerate(texts)]
     for i, c in enumerate(texts):
         for kind in _CANDIDATES:
-            checks.append(F.count(F.trim(F.col(f"`{c}`")).try_cast(kind)).alias(f"{i}.{kind}"))
+            checks.append(F.count(_fits(F.col(f"`{c}`"), kind)).alias(f"{i}.{kind}"))
     row = df.agg(*checks).first().asDict()
     for i, c in enumerate(texts):
         fits = [k for k in _CANDIDATES if row[f"{i}.n"] and row[f"{i}.{k}"] == row[f"{i}.n"]]
