@@ -31,7 +31,7 @@ def _property_rows(graph: Graph, predicate: str) -> DataFrame | None:
         elif predicate in df.columns and predicate != "id":
             values = F.col(predicate)
             if isinstance(df.schema[predicate].dataType, T.ArrayType):
-                parts.append(df.select(F.col("id").alias("s"), F.explode(values).alias("o")))
+                parts.append(df.select(F.col("id").alias("s"), F.explode(F.array_distinct(values)).alias("o")))
             else:
                 parts.append(df.select(F.col("id").alias("s"), values.alias("o")).where(F.col("o").isNotNull()))
     if not parts:

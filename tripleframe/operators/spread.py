@@ -20,10 +20,25 @@ GROUP_ROWS = 1_000_000
 COPY_BLOCK = 100_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; partial counts are merged, groups are never gathered."""
+#: Most slices of one table.
+MAX_SLICES = 100_000
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and of the whole; partial counts are merged, groups are never gathered."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.max("_n")).first()[0] or 0
+    row = counts.agg(F.max("_n").alias("largest"), F.sum("_n").alias("total")).first()
+    return row["largest"] or 0, row["total"] or 0
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group."""
+    return group_sizes(df, keys)[0]
+
+
+def _slice_count(df: DataFrame, total: int, group_rows: int) -> int:
+    """Slices that hold about ``group_rows`` rows each, at least as many as a shuffle has partitions."""
+    return min(max(shuffle_width(df.sparkSession), -(-total // group_rows)), MAX_SLICES)
 
 
 def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> list[Column]:
@@ -32,14 +47,14 @@ def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     return cols + [F.col(c) for c in df.columns if c not in named]
 
 
-def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    ranged = df.repartitionByRange(shuffle_width(df.sparkSession), *[F.col(k) for k in keys], *order)
+def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slices: int) -> DataFrame:
+    ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     return cut(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
-def _number_spread(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+def _number_spread(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, slices: int) -> DataFrame:
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = _slices(copies, keys, order)
+    ranged = _slices(copies, keys, order, slices)
     within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_size"))
@@ -74,8 +89,9 @@ def number_rows(
 ) -> DataFrame:
     """Add the 0-based position of each row in its group; the remaining columns break ties."""
     full = _total_order(df, keys, order)
-    if largest_group(df, keys) > group_rows:
-        return _number_spread(df, keys, full, name)
+    largest, total = group_sizes(df, keys)
+    if largest > group_rows:
+        return _number_spread(df, keys, full, name, _slice_count(df, total, group_rows))
     w = Window.partitionBy(*keys).orderBy(*full)
     return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
 
@@ -89,13 +105,14 @@ def neighbours(
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add the previous and/or next value within each group; values are distinct in a group."""
-    if largest_group(df, keys) <= group_rows:
+    largest, total = group_sizes(df, keys)
+    if largest <= group_rows:
         w = Window.partitionBy(*keys).orderBy(value)
         out = df
         if previous:
             out = out.withColumn(previous, F.lag(value).over(w))
         return out.withColumn(following, F.lead(value).over(w)) if following else out
-    ranged = _slices(df, keys, [F.col(value)])
+    ranged = _slices(df, keys, [F.col(value)], _slice_count(df, total, group_rows))
     edges = ranged.groupBy(*keys, "_slice").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     over_slices = Window.partitionBy(*keys).orderBy("_slice")
     edges = edges.select(

@@ -21,6 +21,10 @@ MISSING = (
 )
 
 
+# Texts are written as they are: quotes doubled, blanks at the ends kept.
+_WRITE = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 @dataclass(frozen=True)
 class CsvSource:
     """A CSV file or folder at any path Spark can read."""
@@ -85,7 +89,7 @@ def put(df: DataFrame, as_vars: Sequence[As], source: CsvSource) -> None:
         cols.append((place, F.col(name).alias(name if isinstance(a.column, int) else a.column)))
     options = {k: v for k, v in source.options.items() if k not in ("format", "format_header")}
     ordered = [c for _, c in sorted(cols, key=lambda x: x[0])]
-    df.select(*ordered).write.mode("overwrite").options(header=True, quote='"', escape='"', **options).csv(source.path)
+    df.select(*ordered).write.mode("overwrite").options(**{**_WRITE, **options}).csv(source.path)
 
 
 def class_name_of(path: str) -> str:
@@ -157,4 +161,4 @@ def _any_null(cols: Sequence[str]) -> Any:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a flat table as CSV."""
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    df.write.mode("overwrite").options(**_WRITE).csv(path)
