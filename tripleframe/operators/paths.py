@@ -137,25 +137,32 @@ class _Walk:
 
     def step(self, frontier: DataFrame | None, p: Pattern) -> DataFrame:
         if p.kind == "edge":
-            return self.edge(frontier, p)
+            return self.hop(frontier, self.links(p))
         if p.kind == "seq":
             return reduce(self.step, p.parts, frontier)
         if p.kind == "alt":
+            if all(x.kind == "edge" for x in p.parts):
+                # Edges of several names are one set of links: one join instead of one per name.
+                links = reduce(lambda a, b: a.unionByName(b), [self.links(x) for x in p.parts])
+                return self.unique(self.hop(frontier, links))
             return self.unique(reduce(lambda a, b: a.unionByName(b), [self.step(frontier, x) for x in p.parts]))
         return self.repeat(frontier, p)
 
     def unique(self, df: DataFrame) -> DataFrame:
         return df.distinct()
 
-    def edge(self, frontier: DataFrame | None, p: Pattern) -> DataFrame:
-        rows = self.edges(p.parts[0])
+    def links(self, p: Pattern) -> DataFrame:
+        """(at, to) of an edge pattern, with the edge itself where routes are kept."""
         source, target = ("o", "s") if p.backward else ("s", "o")
-        link = F.struct("s", "p", "o")
+        cols = [F.col(source).alias("at"), F.col(target).alias("_to")]
+        return self.edges(p.parts[0]).select(*cols, *([F.struct("s", "p", "o").alias("_link")] if self.routes else []))
+
+    def hop(self, frontier: DataFrame | None, links: DataFrame) -> DataFrame:
+        """The frontier moved over one link; without a frontier, the links themselves."""
         if frontier is None:
-            cols = [F.col(source).alias("src"), F.col(target).alias("at")]
-            return rows.select(*cols, F.array(link).alias("route")) if self.routes else rows.select(*cols)
-        hop = rows.select(F.col(source).alias("at"), F.col(target).alias("_to"), *([link.alias("_link")] if self.routes else []))
-        out = frontier.join(hop, "at")
+            cols = [F.col("at").alias("src"), F.col("_to").alias("at")]
+            return links.select(*cols, *([F.array("_link").alias("route")] if self.routes else []))
+        out = frontier.join(links, "at")
         if not self.routes:
             return out.select("src", F.col("_to").alias("at"))
         # A route does not use an edge twice.

@@ -46,10 +46,10 @@ def list_positions(cells: DataFrame) -> DataFrame:
     """
     links = cut(cells.select("cell", "rest"))
     before = links.where(F.col("rest") != RDF_NIL).select(F.col("rest").alias("cell"), F.col("cell").alias("ptr"))
-    linked = cut(links.select("cell").join(before, "cell", "left"))
-    heads = linked.where(F.col("ptr").isNull()).select(F.col("cell").alias("ptr"))
-    near = linked.where(F.col("ptr").isNotNull()).join(heads.withColumn("_head", F.lit(True)), "ptr", "left")
-    near = near.select("cell", "ptr", F.lit(1).cast("bigint").alias("dist"), F.coalesce("_head", F.lit(False)).alias("done"))
+    followed = before.select("cell").distinct()
+    heads = links.select("cell").join(followed, "cell", "left_anti").select(F.col("cell").alias("ptr"))
+    near = before.join(followed.select(F.col("cell").alias("ptr"), F.lit(False).alias("_head")), "ptr", "left")
+    near = near.select("cell", "ptr", F.lit(1).cast("bigint").alias("dist"), F.coalesce("_head", F.lit(True)).alias("done"))
     unfinished = F.count(F.when(~F.col("done"), 1))
     state, sizes = cut_counted(near, left=unfinished)
     done = [state.where("done")]

@@ -126,9 +126,12 @@ def _null_safe(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(right, condition, how)
 
 
-def apply_changes(quads: DataFrame, changes: DataFrame) -> DataFrame:
-    """Facts after a set of changes: facts exist once, adding a known one or removing a missing one is no change."""
-    net = net_changes(changes)
+def apply_changes(quads: DataFrame, changes: DataFrame, net: bool = False) -> DataFrame:
+    """Facts after a set of changes: facts exist once, adding a known one or removing a missing one is no change.
+
+    ``net`` says that the changes name each fact once, as those of ``changes_between`` and ``squash`` do.
+    """
+    net = changes if net else net_changes(changes)
     kept = _null_safe(quads, net, "left_anti")
     return kept.select(*QUAD_COLUMNS).unionByName(net.where("op = '+'").select(*QUAD_COLUMNS))
 

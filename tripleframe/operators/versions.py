@@ -319,7 +319,7 @@ def squash(changes: DataFrame) -> DataFrame:
 
 def rebase(base: DataFrame, branch_changes: DataFrame) -> DataFrame:
     """Facts of another base after replaying a branch's net change on it."""
-    return apply_changes(base, squash(branch_changes))
+    return apply_changes(base, squash(branch_changes), net=True)
 
 
 def snapshot(base: DataFrame, changes: DataFrame, seq: int) -> DataFrame:

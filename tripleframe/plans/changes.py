@@ -101,7 +101,7 @@ def _versions(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query("I5_apply_changes", f"select * from {FACTS_AFTER}")
 def apply_changes(t: Tables) -> DataFrame:
     before, after = map(_facts, _versions(t))
-    return update.apply_changes(before, update.changes_between(before, after)).select(*FACTS)
+    return update.apply_changes(before, update.changes_between(before, after), net=True).select(*FACTS)
 
 
 @query(
