@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripleframe.llm import mixing, pieces
+from tripleframe.llm import mixing, pieces, secrets, simhash
 from tripleframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,22 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of secrets of each base kind in each document, a hash of their places, and the places of all kinds."""
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    kinds = [r.kind for r in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    counts = [F.size(F.filter("spans", secrets.of_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(secrets.told(base).cast("binary"), 256).alias("base_sha256"), secrets.told(F.col("spans")).alias("spans"))
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of each document and the smallest document that is reached from it over links."""
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
+
+
 @query("op7_mix_sources", """
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS size,
