@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripleframe.llm import mixing, pieces, secrets, simhash
-from tripleframe.llm.common import table
+from tripleframe.llm import langid, mixing, pieces, secrets, simhash, toxicity
+from tripleframe.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,15 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op5_language")
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each document; learned from documents whose id's CRC-32 does not leave 2 modulo 4."""
+    docs = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    net = langid.fit(docs.where(~held_out).select("text", "lang"))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), net)
+
+
 @query("op7_mix_sources", """
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS size,
@@ -86,6 +95,16 @@ def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_per_document(placed, mixed).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of each document; learned from labels whose id's CRC-32 does not leave 1 modulo 3."""
+    docs = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    machine = toxicity.fit(docs, table(spark, folder, "labels").where(~held_out))
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), machine)
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
 @query("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number of pieces of each document, and hashes of its ids and of the text decoded from them."""
