@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -36,6 +37,8 @@ BEGINNINGS = (4, 5)
 #: Standard errors by which the shares of a term must differ.
 SIGNIFICANT = 5.0
 EPOCHS = 20
+#: Smallest hashed terms that stand for a document when copies are looked for.
+SKETCH = 12
 #: Score from which a document counts as toxic.
 CUT = 0.7
 #: Documents of a training step.
@@ -109,7 +112,7 @@ def train(docs: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, rate:
     rate_1, rate_0 = np.bincount(flat, own, len(terms)) / toxic.sum(), np.bincount(flat, 1 - own, len(terms)) / (1 - toxic).sum()
     pooled = support / len(docs)
     error = np.sqrt(pooled * (1 - pooled) * (1 / toxic.sum() + 1 / (1 - toxic).sum()))
-    kept = (support >= 5) & (np.abs(rate_1 - rate_0) >= SIGNIFICANT * error)
+    kept = (support >= 4) & (np.abs(rate_1 - rate_0) >= SIGNIFICANT * error)
     renumber = np.cumsum(kept) - 1
     use = kept[flat]
     owner = np.repeat(np.arange(len(docs)), sizes)[use]
@@ -145,14 +148,30 @@ def train(docs: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, rate:
     return Machine(float(bias), terms, w, v)
 
 
+def distinct(docs: list[np.ndarray]) -> list[int]:
+    """Numbers of the documents that share less than half of a sketch with every earlier one: copies would vote twice."""
+    known: dict[int, set[int]] = {}
+    kept = []
+    for i, terms in enumerate(docs):
+        sketch = np.sort((terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24))[:SKETCH].tolist()
+        hits = Counter(d for s in sketch for d in known.get(s, ()))
+        if not hits or hits.most_common(1)[0][1] * 2 < len(sketch):
+            kept.append(i)
+            for s in sketch:
+                known.setdefault(s, set()).add(i)
+    return kept
+
+
 def calibrated(docs: list[np.ndarray], toxic: np.ndarray) -> Machine:
     """Train on four fifths, then move the bias so that ``CUT`` lies between the classes of the last fifth, nearer to clean ones."""
+    kept = distinct(docs)
+    docs, toxic = [docs[i] for i in kept], toxic[kept]
     turn = np.arange(len(docs)) % 5
     machine = train([d for d, t in zip(docs, turn, strict=True) if t], toxic[turn > 0])
     logits, y = machine.logits([d for d, t in zip(docs, turn, strict=True) if not t]), toxic[turn == 0]
     if 0 < y.sum() < len(y):
         high, low = np.quantile(logits[y == 0], 0.999), np.quantile(logits[y == 1], 0.01)
-        machine.bias += np.log(CUT / (1 - CUT)) - (high + (low - high) / (3 if low > high else 2))
+        machine.bias += np.log(CUT / (1 - CUT)) - (high + 0.05 + max(0.0, low - high) / 3)
     return machine
 
 
