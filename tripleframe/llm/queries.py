@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripleframe.llm import langid, mixing, pieces, secrets, simhash, toxicity
+from tripleframe.llm import langid, mixing, pages, pieces, secrets, simhash, toxicity, vectors
 from tripleframe.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,27 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op4_vectors", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN list_count(embedding) = len(embedding) AND len(list_filter(embedding, x -> NOT isfinite(x))) = 0
+                       AND len(list_filter(embedding, x -> x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e
+  FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reached AS (
+  WITH RECURSIVE r(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, links.b FROM r JOIN links ON r.b = links.a)
+  SELECT a, min(b) AS least FROM r GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = vec_id LEFT JOIN reached ON reached.a = vec_id
+""")
+def op4_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of links of each vector and the smallest vector that is reached from it over links."""
+    return vectors.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 @query("op5_language")
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of each document; learned from documents whose id's CRC-32 does not leave 2 modulo 4."""
@@ -61,6 +82,14 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), net)
 
 
+@query("op6_main_text")
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of each page."""
+    crawl = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = pages.extract(crawl, pages.fit(crawl))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op7_mix_sources", """
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS size,
