@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripleframe.llm import langid, mixing, pages, pieces, secrets, simhash, toxicity, vectors
+from tripleframe.llm import langid, mixing, pages, pieces, secrets, simhash, suffixes, toxicity, vectors
 from tripleframe.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,13 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+@query("op1_repeated_bytes")
+def op1_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of each document, those removed as repeats of documents with smaller ids, and a hash of the rest."""
+    cleaned = suffixes.remove_repeats(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_secret_scan")
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Number of secrets of each base kind in each document, a hash of their places, and the places of all kinds."""
@@ -54,8 +61,8 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_vectors", """
 WITH v AS (
-  SELECT vec_id, CASE WHEN list_count(embedding) = len(embedding) AND len(list_filter(embedding, x -> NOT isfinite(x))) = 0
-                       AND len(list_filter(embedding, x -> x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e
+  SELECT vec_id, CASE WHEN list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+                       AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e
   FROM embeddings
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b
