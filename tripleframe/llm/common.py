@@ -39,28 +39,25 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
-def with_columns(batch: pa.RecordBatch, drop: str | None, new: dict[str, pa.Array]) -> pa.RecordBatch:
-    """The batch without one column and with new ones at its end."""
-    keep = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != drop]
-    return pa.RecordBatch.from_arrays([c for _, c in keep] + list(new.values()), names=[n for n, _ in keep] + list(new))
-
-
 def map_text(df: DataFrame, text: str, new: str, make: Callable[[], Callable[[list[str]], dict[str, pa.Array]]]) -> DataFrame:
     """Replace the text column by columns computed from it, in Arrow batches, one state per task.
 
     ``new`` is the schema text of the added columns; ``make`` is called once in a task and returns the function that turns
-    a list of texts into Arrow arrays. A row stays a row; other columns are carried.
+    a list of texts into Arrow arrays. A row stays a row; other columns are carried, but a column that has the name of a
+    result gives way to it.
     """
-    kept = [f for f in df.schema.fields if f.name != text]
-    clash = {f.name for f in kept} & set(StructType.fromDDL(new).names)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already; rename or drop them first")
-    schema = StructType(kept + StructType.fromDDL(new).fields)
+    added = StructType.fromDDL(new)
+    kept = [f for f in df.schema.fields if f.name != text and f.name not in added.names]
+    df = df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text}`"))
+    schema = StructType(kept + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in slices(batches):
-            yield with_columns(batch, text, work(texts_of(batch, text)))
+            # The text is the last column.
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            made = work(texts)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made.values()], names=[*batch.schema.names[:-1], *made])
 
     return df.mapInArrow(run, schema)
 
@@ -84,11 +81,9 @@ def running_sum(df: DataFrame, group: list[str], bucket: str, order: list[str |
     return inside.join(bases, same).withColumn(out, F.col("_base") + F.col("_in")).drop("_base", "_in", *[f"_k{i}" for i in range(len(keys))])
 
 
-def crc32(data: bytes) -> int:
-    """CRC-32 of bytes, as SQL's ``crc32``."""
-    import zlib
-
-    return zlib.crc32(data)
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns, and the whole row as ``_row``: extra columns of any name cannot clash while an operator works."""
+    return df.select(*columns, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

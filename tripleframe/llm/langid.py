@@ -6,7 +6,8 @@ bytes. The network is plain numpy: trained on the driver by backpropagation thro
 of labelled rows (``SAMPLE``), applied in Arrow batches to whole texts.
 
 Texts that are null or hold no letter are ``und`` with score 0. Ties go to the language that sorts first. Rows are
-independent, so repeated rows are labelled alike. Without labelled rows ``fit`` raises ``ValueError``.
+independent, so repeated rows are labelled alike. Without labelled rows every text is ``und``. Other columns are carried, but
+give way to a result of their name.
 """
 
 from __future__ import annotations
@@ -194,21 +195,23 @@ def train(texts: list[bytes], labels: list[str], steps: int = STEPS, rate: float
     return net
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Network:
-    """Learn from rows (text, lang): an excerpt at a hashed place of each of at most ``sample`` rows."""
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
+    """Learn from rows (text, lang): an excerpt at a hashed place of each of at most ``sample`` rows. None without rows."""
     usable = docs.where("text IS NOT NULL AND lang IS NOT NULL AND text <> ''")
     place = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1).cast("int") + 1
     rows = bounded_sample(usable.select("lang", F.substring("text", place, F.lit(EXCERPT)).alias("excerpt")), sample, "excerpt", "lang")
     if rows.empty:
-        raise ValueError("labelled rows are needed")
+        return None
     return train([t.encode() for t in rows["excerpt"]], list(rows["lang"]))
 
 
-def predict(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
     """Replace the text by ``lang_pred`` and ``score``, the language's mean probability."""
 
     def make():
         def work(texts: list[str]) -> dict[str, pa.Array]:
+            if net is None:
+                return {"lang_pred": pa.array([UNKNOWN] * len(texts), pa.string()), "score": pa.array([0.0] * len(texts), pa.float64())}
             p = net.documents([t.encode() for t in texts])
             best = p.argmax(axis=1)
             known = [bool(_LETTER.search(t)) for t in texts]

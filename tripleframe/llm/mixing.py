@@ -32,6 +32,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def digest() -> Column:
+    """What shuffles the rows: a hash of id and text."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary"))
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
     """Target of every source: (source, source_size) gets ``target``.
 
@@ -57,8 +62,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
 
 def _positions(docs: DataFrame) -> DataFrame:
     """Adds ``start``: tokens of the same source before the document in its shuffled order."""
-    spread = docs.withColumn("_bucket", F.substring("_h", 1, BUCKET_DIGITS))
-    return running_sum(spread, ["source"], "_bucket", ["_h"], F.col("size"), "start").drop("_h", "_bucket")
+    spread = docs.withColumn("_bucket", F.substring("digest", 1, BUCKET_DIGITS))
+    return running_sum(spread, ["source"], "_bucket", ["digest"], F.col("size"), "start").drop("_bucket")
 
 
 def _blocks(docs: DataFrame, block: int, most: int) -> DataFrame:
@@ -96,12 +101,11 @@ def schedule(sources: DataFrame, block: int) -> DataFrame:
 def mix(docs: DataFrame, block: int = 1024, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> tuple[DataFrame, DataFrame]:
     """(documents with their places, the mix in order).
 
-    The documents have ``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``start``, one row per given row.
+    The documents have ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``digest`` and ``start``, one row per given row.
     The mix has a row for every piece of a document in a block: ``slot`` (null: after all slots), ``source``, ``rank``,
     ``offset`` in the block, ``doc_id``, ``start``, ``tokens``.
     """
-    shuffled = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary"))
-    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), shuffled.alias("_h")))
+    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest().alias("digest")))
     sources = cut(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most))
     known = sources.select(F.col("source").alias("_s"), "source_size", "target")
     placed = cut(_positions(sized).join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
@@ -112,7 +116,7 @@ def mix(docs: DataFrame, block: int = 1024, weights: tuple[int, ...] = (5, 2, 1)
 
 def taken_per_document(placed: DataFrame, mixed: DataFrame) -> DataFrame:
     """Tokens the mix takes from each document: a row of ``placed`` with ``taken``."""
-    keys = ["doc_id", "source", "size", "source_size", "target", "start"]
+    keys = ["doc_id", "source", "size", "source_size", "target", "digest", "start"]
     # Documents with tokens differ in (source, start); documents without any are never part of a block.
     told = mixed.select(*keys, "tokens").unionByName(placed.where("size > 0").select(*keys, F.lit(0).cast("long").alias("tokens")))
     counted = told.groupBy(*keys).agg(F.sum("tokens").alias("taken"))

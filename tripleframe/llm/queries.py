@@ -36,6 +36,17 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def digests(coded: DataFrame, *more: str) -> DataFrame:
+    """Number and hash of the ids of each document, and hash of the text decoded from them; ``more`` columns follow."""
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *more,
+    )
+
+
 @query("op1_repeated_bytes")
 def op1_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of each document, those removed as repeats of documents with smaller ids, and a hash of the rest."""
@@ -145,10 +156,4 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number of pieces of each document, and hashes of its ids and of the text decoded from them."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = pieces.encode_documents(docs, piece_model())
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return digests(pieces.encode_documents(docs, piece_model()))

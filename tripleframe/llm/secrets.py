@@ -5,7 +5,9 @@ it holds, shard by shard: one pass over the bytes yields the postings of the tri
 intersect and unite them, and only the texts that remain are searched by that rule. Rules without mandatory trigrams search
 every text. The index is case-folded, so it never rules out a match that differs in case.
 
-Null and empty texts have no secrets; long texts are searched whole; every row is searched, repeated ones as well.
+Null and empty texts have no secrets; long texts are searched whole; every row is searched, repeated ones as well. Spans of
+several rules may overlap, and equal places are listed in the order of the rules. Other columns are carried, but give way to
+a result of their name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -225,7 +227,7 @@ def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, kee
 
         return work
 
-    source = df.withColumn("_scanned", F.col(text)) if keep_text else df
+    source = df.withColumn("_scanned", F.col(f"`{text}`")) if keep_text else df
     return map_text(source, "_scanned" if keep_text else text, "spans array<struct<kind:string,start:bigint,end:bigint>>", make)
 
 

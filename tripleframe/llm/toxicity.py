@@ -8,7 +8,7 @@ differ significantly get no weight, so long documents do not gather noise; the r
 
 Learned from a bounded sample of labelled rows (``SAMPLE`` per class, those of the smallest hash). Every whole text is
 scored; null and empty texts have no terms and score by the bias. Repeated rows score alike. Without labelled rows of both
-classes there is no model and ``fit`` raises ``ValueError``.
+classes nothing is known, and every text scores one half. Other columns are carried, but give way to a result of their name.
 """
 
 from __future__ import annotations
@@ -90,6 +90,8 @@ class Machine:
         sizes = np.array([len(d) for d in docs])
         flat = np.concatenate(docs) if len(docs) else np.empty(0, np.int32)
         owner = np.repeat(np.arange(len(docs)), sizes)
+        if not len(self.terms):
+            return np.full(len(docs), self.bias)
         at = np.searchsorted(self.terms, flat)
         at[at == len(self.terms)] = 0
         known = self.terms[at] == flat
@@ -192,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
 
     learned = map_text(rows, "text", "terms array<int>", make).orderBy("doc_id").toPandas()
     if learned["toxic"].nunique() < 2:
-        raise ValueError("labelled rows of both classes are needed")
+        return Machine(0.0, np.empty(0, np.int32), np.empty(0), np.empty((0, LATENT)))
     return calibrated([np.asarray(t, dtype=np.int32) for t in learned["terms"]], learned["toxic"].to_numpy())
 
 
