@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripleframe.llm import langid, mixing, pages, pieces, secrets, simhash, suffixes, toxicity, vectors
+from tripleframe.llm import langid, mixing, pages, pieces, search, secrets, simhash, suffixes, toxicity, vectors
 from tripleframe.llm.common import remainder, table
+from tripleframe.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,6 +153,31 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
 
 
+@query("op9_search", """
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')) AS term FROM documents
+), bags AS (SELECT doc_id, term, count(*) AS f FROM words GROUP BY ALL
+), lengths AS (SELECT doc_id, sum(f) AS n FROM bags GROUP BY doc_id
+), stats AS (SELECT (SELECT count(*) FROM documents) AS total, (SELECT count(*) FROM words) / (SELECT count(*) FROM documents) AS mean
+), held AS (SELECT term, count(*) AS n_t FROM bags GROUP BY term
+), asked AS (
+  SELECT item_id, term, count(*) AS q
+  FROM (SELECT item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')) AS term FROM benchmark WHERE item_id % 20 = 0)
+  GROUP BY ALL
+), scored AS (
+  SELECT item_id, doc_id, round(sum(q * ln(1 + (total - n_t + 0.5) / (n_t + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * n / mean))), 9) AS score
+  FROM asked JOIN held USING (term) JOIN bags USING (term) JOIN lengths USING (doc_id), stats GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10
+""")
+def op9_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best of all documents for each benchmark passage whose id is divisible by 20."""
+    shards = cut(search.index(table(spark, folder, "documents")))
+    asked = table(spark, folder, "benchmark").where("item_id % 20 = 0")
+    found = search.top_k(shards, asked)
+    return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
 @query("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number of pieces of each document, and hashes of its ids and of the text decoded from them."""
