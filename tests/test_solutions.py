@@ -12,34 +12,40 @@ from tests.conftest import rows
 from tripleframe.functions.dates import ALLEN_RELATIONS
 from tripleframe.operators import agg
 from tripleframe.operators import combine as c
+from tripleframe.model import Graph, Schema, date
+from tripleframe.operators import match
 from tripleframe.operators.spread import neighbours, number_rows
 
 
-def test_numbering_is_the_same_when_groups_are_spread(spark):
+def test_numbering(spark):
     random.seed(3)
     data = [("hot" if random.random() < 0.5 else random.choice("abc"), random.randrange(20)) for _ in range(400)]
     data += [(None, 1), (None, 2), ("hot", 7), ("hot", 7)]
     df = spark.createDataFrame(data, "k string, x int")
-    plain = number_rows(df, ["k"], ["x"])
-    spread = number_rows(df, ["k"], ["x"], group_rows=5)
-    assert rows(plain) == rows(spread)
-    assert rows(number_rows(df, [], ["k", "x"])) == rows(number_rows(df, [], ["k", "x"], group_rows=5))
+    want, at = [], {}
+    for k, x in sorted(data, key=lambda d: (d[0] is not None, d[0] or "", d[1])):
+        at[k] = at.get(k, -1) + 1
+        want.append((k, x, at[k]))
+    assert rows(number_rows(df, ["k"], ["x"])) == sorted(want, key=repr)
+    assert [r.pos for r in number_rows(df, [], ["k", "x"]).orderBy("pos").collect()] == list(range(len(data)))
 
 
-def test_neighbours_are_the_same_when_groups_are_spread(spark):
+def test_neighbours(spark):
     random.seed(4)
     data = sorted({("hot" if random.random() < 0.6 else random.choice("ab"), random.randrange(900)) for _ in range(300)})
     df = spark.createDataFrame(data, "k string, x int")
-    plain = neighbours(df, ["k"], "x", "before", "after")
-    spread = neighbours(df, ["k"], "x", "before", "after", group_rows=5)
-    assert rows(plain.select("k", "x", "before", "after")) == rows(spread.select("k", "x", "before", "after"))
+    held = {}
+    for k, x in data:
+        held.setdefault(k, []).append(x)
+    want = [(k, x, xs[i - 1] if i else None, xs[i + 1] if i + 1 < len(xs) else None) for k, xs in held.items() for i, x in enumerate(xs)]
+    assert rows(neighbours(df, ["k"], "x", "before", "after").select("k", "x", "before", "after")) == sorted(want, key=repr)
 
 
-def test_start_skips_in_order(spark):
+def test_start_and_page_in_order(spark):
     df = spark.createDataFrame([(i % 7, i) for i in range(50)], "a int, b int")
-    want = sorted((i % 7, i) for i in range(50))[12:]
-    for limit in (1_000, 5):
-        assert sorted(tuple(r) for r in c.start(df, 12, "v:a", "v:b", group_rows=limit).collect()) == want
+    want = sorted((i % 7, i) for i in range(50))
+    assert sorted(tuple(r) for r in c.start(df, 12, "v:a", "v:b").collect()) == want[12:]
+    assert [tuple(r) for r in c.page(df, 12, 5, "v:a", "v:b").collect()] == want[12:17]
 
 
 def test_order_by(spark):
@@ -94,13 +100,13 @@ def test_unbound_values_agree_with_any_value(spark):
     right, rs = _loose(spark, 2, ["x", "y", "r"])
     cols = ["x", "y", "l", "r"]
     both = [(a, b) for a, b in product(ls, rs) if _compatible(a, b, ["x", "y"])]
-    assert rows(c.and_(left, right).select(*cols)) == sorted((_merge(a, b, cols) for a, b in both), key=repr)
+    assert rows(c.and_(left, right, pairs=True).select(*cols)) == sorted((_merge(a, b, cols) for a, b in both), key=repr)
     alone = [a for a in ls if not any(_compatible(a, b, ["x", "y"]) for b in rs)]
     with_any = [a for a in ls if a not in alone]
     assert rows(c.not_(left, right)) == sorted((tuple(a.values()) for a in alone), key=repr)
     assert rows(c.exists(left, right)) == sorted((tuple(a.values()) for a in with_any), key=repr)
     want = [_merge(a, b, cols) for a, b in both] + [(a["x"], a["y"], a["l"], None) for a in alone]
-    assert rows(c.opt(left, right).select(*cols)) == sorted(want, key=repr)
+    assert rows(c.opt(left, right, pairs=True).select(*cols)) == sorted(want, key=repr)
 
 
 def test_marks_follow_the_operators(spark):
@@ -110,19 +116,18 @@ def test_marks_follow_the_operators(spark):
     assert c.maybe_unbound(extended) == {"y"}
     assert c.maybe_unbound(c.or_(a, b)) == {"y"}
     assert rows(extended) == [(1, 5), (2, None)]
-    joined = c.and_(extended, spark.createDataFrame([(7, 0)], "y int, z int"))
+    joined = c.and_(extended, spark.createDataFrame([(7, 0)], "y int, z int"), pairs=True)
     assert rows(joined.select("x", "y", "z")) == [(2, 7, 0)]
     assert c.maybe_unbound(joined) == set()
 
 
 def test_no_shared_variable(spark):
     a, b = spark.range(3).toDF("a"), spark.range(2).toDF("b")
-    assert c.and_(a, b).count() == 6
+    assert c.and_(a, b, pairs=True).count() == 6
     assert c.not_(a, b).count() == 0 and c.not_(a, b.where("b > 5")).count() == 3
     assert c.exists(a, b).count() == 3 and c.exists(a, b.where("b > 5")).count() == 0
-    big = spark.range(20_000)
     with pytest.raises(ValueError):
-        c.and_(big.toDF("a"), big.toDF("b"))
+        c.and_(a, b)
 
 
 def test_semi_join_keeps_multiplicity(spark):
@@ -131,13 +136,14 @@ def test_semi_join_keeps_multiplicity(spark):
     assert rows(c.exists(a, b)) == [(1,), (1,)]
 
 
-@pytest.mark.parametrize("salts", [None, 1, 3])
-def test_range_join(spark, salts):
+@pytest.mark.parametrize("hot", [100_000, 3])
+def test_range_join(spark, monkeypatch, hot):
+    monkeypatch.setattr(c, "HOT_ROWS", hot)
     random.seed(5)
     points = [(i, random.randrange(100)) for i in range(80)]
     spans = [(i, s, s + random.randrange(0, 40)) for i, s in enumerate(random.sample(range(100), 30))]
     got = c.range_join(
-        spark.createDataFrame(points, "p int, at int"), spark.createDataFrame(spans, "i int, s int, e int"), "at", "s", "e", 10, salts=salts
+        spark.createDataFrame(points, "p int, at int"), spark.createDataFrame(spans, "i int, s int, e int"), "at", "s", "e", 10
     )
     want = [(p, i) for p, at in points for i, s, e in spans if s <= at < e]
     assert rows(got.select("p", "i")) == sorted(want, key=repr)
@@ -164,21 +170,42 @@ def test_interval_join(spark, relation):
 
 def test_collect(spark):
     names = spark.createDataFrame([("Carol",), ("Alice",), ("Bob",)], "n string").withColumn("d", F.concat(F.lit("N/"), "n"))
-    assert agg.collect(names, "v:n", "v:l").first()["l"] == ["Alice", "Bob", "Carol"]
-    assert agg.collect(names.where("false"), "v:n", "v:l").first()["l"] == []
-    assert len(agg.collect(names.limit(2), "v:n", "v:l").first()["l"]) == 2
+    assert rows(agg.collect(names, "v:n", "v:l")) == [(0, ["Alice", "Bob", "Carol"])]
+    assert rows(agg.collect(names.where("false"), "v:n", "v:l")) == [(0, [])]
+    assert rows(agg.collect(names, "v:n", "v:l", size=2)) == [(0, ["Alice", "Bob"]), (1, ["Carol"])]
     assert agg.collect(names, ["v:n", "v:d"], "v:l").first()["l"][0] == ["Alice", "N/Alice"]
 
 
 def test_list_forms_hold_the_same_items(spark):
-    df = spark.createDataFrame([(i % 3, i * 7 % 50) for i in range(60)], "k int, x int")
-    whole = {r.k: r.l for r in agg.group_by(df, ["v:k"], "v:x", "v:l").collect()}
-    for limit in (1_000, 4):
-        chunks = agg.group_chunks(df, ["v:k"], "v:x", "l", size=7, limit=limit).orderBy("k", "chunk").collect()
-        joined: dict = {}
-        for r in chunks:
-            assert len(r.l) <= 7
-            joined.setdefault(r.k, []).extend(r.l)
-        assert joined == whole
-    with pytest.raises(ValueError):
-        agg.group_by(df, ["v:k"], "v:x", "v:l", limit=5)
+    data = [(i % 3, i * 7 % 50) for i in range(60)]
+    df = spark.createDataFrame(data, "k int, x int")
+    whole = {k: sorted(x for g, x in data if g == k) for k in range(3)}
+    joined: dict = {}
+    for r in agg.group_by(df, ["v:k"], "v:x", "v:l", size=7).orderBy("k", "chunk").collect():
+        assert len(r.l) <= 7
+        joined.setdefault(r.k, []).extend(r.l)
+    assert joined == whole
+    assert {r.k: r.l for r in agg.group_by(df, ["v:k"], "v:x", "v:l").collect()} == whole
+
+
+def test_unlike_types_are_never_equal(spark):
+    df = spark.createDataFrame([(1, "1", 1.0)], "i int, t string, d double")
+    assert c.eq(df, "v:i", "v:t").count() == 0 and c.eq(df, "v:i", "v:d").count() == 1
+    assert c.less(df, "v:t", 5).count() == 0 and c.gte(df, "v:d", "v:i").count() == 1
+
+
+def test_patterns_over_mixed_types(spark):
+    a = spark.createDataFrame([("A/1", 8), ("A/2", 10)], "id string, v int")
+    b = spark.createDataFrame([("B/1", 9), ("A/1", 2**40)], "id string, v bigint")
+    g = Graph({"A": a, "B": b}, Schema([]))
+    assert rows(match.triple_slice(g, "v:s", "v", "v:o", 8, 10)) == [("A/1", 8), ("B/1", 9)]
+    assert rows(match.triple(g, "v:s", "v", 9)) == [("B/1",)]
+    assert rows(match.triple_next(g, "v:s", "v", "v:o", "v:n")) == [("A/1", 8, 2**40)]
+    assert rows(match.triple_next(g, "v:s", "v", 8, "v:n")) == [("A/1", 2**40), ("A/2", 10), ("B/1", 9)]
+    t = spark.createDataFrame([("T/1", "x")], "id string, v string")
+    mixed = Graph({"A": a, "T": t}, Schema([]))
+    assert rows(match.triple(mixed, "v:s", "v", 8)) == [("A/1",)] and rows(match.triple(mixed, "v:s", "v", "x")) == [("T/1",)]
+    assert rows(match.triple(mixed, "v:s", "v", "v:o")) == [("A/1", "8"), ("A/2", "10"), ("T/1", "x")]
+    assert match.triple(g, "v:s", "nothing", "v:o").count() == 0
+    days = spark.sql("select 'D/1' as id, date'2024-01-05' as day union all select 'D/2', date'2024-03-01'")
+    assert rows(match.triple_slice(Graph({"D": days}, Schema([])), "v:s", "day", "v:o", date("2024-01-01"), date("2024-02-01")).select("s")) == [("D/1",)]

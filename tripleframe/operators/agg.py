@@ -1,8 +1,7 @@
 """Grouping, collecting and counting.
 
-A list value exists in three forms. Rows (group, position, item) work for groups of any size. Chunks
-(group, chunk number, list) bound the length of each list. One array per group is only built when a count
-shows that every group fits.
+A list value exists in two forms, and both work for groups of any size: rows (group, position, item), and chunks
+(group, chunk number, list) that bound the length of each list. A group of at most ``size`` items is one chunk.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripleframe.model import QUAD_KEY, names, variable
-from tripleframe.operators.spread import GROUP_ROWS, largest_group, number_rows
+from tripleframe.operators.spread import number_rows
 
 Template = str | Sequence[str] | dict[str, str]
 
@@ -33,45 +32,31 @@ def group_rows(
     template: Template,
     item: str = "item",
     pos: str = "pos",
-    limit: int = GROUP_ROWS,
 ) -> DataFrame:
     """The groups as rows: group variables, position in the list, item. Lists are sorted by the item."""
     keys = names(group_vars)
     rows = df.select(*keys, _item(template).alias(item))
-    return number_rows(rows, keys, [item], pos, limit)
+    return number_rows(rows, keys, [item], pos)
 
 
-def group_chunks(
-    df: DataFrame,
-    group_vars: Sequence[Any],
-    template: Template,
-    output: str = "items",
-    size: int = 1_000,
-    limit: int = GROUP_ROWS,
+def group_by(
+    df: DataFrame, group_vars: Sequence[Any], template: Template, output: Any, size: int = 1_000
 ) -> DataFrame:
-    """The groups as lists of at most ``size`` items with a chunk number."""
-    keys = names(group_vars)
-    rows = group_rows(df, keys, template, "_item", "_pos", limit)
+    """The groups as sorted lists of at most ``size`` items, numbered by ``chunk`` from 0."""
+    keys, name = names(group_vars), names([output])[0]
+    rows = group_rows(df, keys, template, "_item", "_pos")
     rows = rows.withColumn("chunk", F.floor(F.col("_pos") / size))
     lists = rows.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_l"))
-    return lists.select(*keys, "chunk", F.transform("_l", lambda x: x["_item"]).alias(output))
-
-
-def group_by(
-    df: DataFrame, group_vars: Sequence[Any], template: Template, output: Any, limit: int = GROUP_ROWS
-) -> DataFrame:
-    """One row per group with the list of its items; no group variables give one list of everything."""
-    keys = names(group_vars)
-    name = names([output])[0]
-    if largest_group(df, keys) > limit:
-        raise ValueError(f"a group holds more than {limit} items: use group_rows or group_chunks")
-    rows = df.select(*keys, _item(template).alias("_item"))
-    return rows.groupBy(*keys).agg(F.array_sort(F.collect_list("_item")).alias(name))
+    return lists.select(*keys, "chunk", F.transform("_l", lambda x: x["_item"]).alias(name))
 
 
-def collect(df: DataFrame, template: Template, into: Any, limit: int = GROUP_ROWS) -> DataFrame:
-    """All solutions as one list; no solutions give one row with an empty list."""
-    return group_by(df, [], template, into, limit)
+def collect(df: DataFrame, template: Template, into: Any, size: int = 1_000) -> DataFrame:
+    """All solutions as one list in chunks; no solutions give one row with an empty list."""
+    name = names([into])[0]
+    lists = group_by(df, [], template, into, size)
+    none = lists.groupBy().agg(F.count(F.lit(1)).alias("_n")).where("_n = 0")
+    empty = none.select(F.lit(0).cast("bigint").alias("chunk"), F.array().cast(lists.schema[name].dataType).alias(name))
+    return lists.unionByName(empty)
 
 
 def count(df: DataFrame, countvar: Any) -> DataFrame:

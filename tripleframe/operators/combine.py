@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleframe.model import Schema, column, names, variable
-from tripleframe.operators.spread import GROUP_ROWS, largest_group, number_rows
-from tripleframe.session import BROADCAST_ROWS, at_most
+from tripleframe.operators.spread import number_rows
 
 _MARK = "maybe_unbound"
 
@@ -85,9 +84,25 @@ def eq(df: DataFrame, left: Any, right: Any) -> DataFrame:
         return df.withColumn(variable(left), _operand(df, right))
     if free_right:
         return df.withColumn(variable(right), _operand(df, left))
+    if not _alike(df, left, right):
+        return df.where(F.lit(False))
     return df.where(_operand(df, left) == _operand(df, right))
 
 
+def _family(kind: T.DataType) -> str:
+    if isinstance(kind, T.NumericType):
+        return "number"
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return "moment"
+    return kind.typeName()
+
+
+def _alike(df: DataFrame, *args: Any) -> bool:
+    """Whether operands are of one family of types; values of unlike types are never equal and have no order."""
+    kinds = df.select(*[_operand(df, a).alias(f"_{i}") for i, a in enumerate(args)]).schema
+    return len({_family(f.dataType) for f in kinds if not isinstance(f.dataType, T.NullType)}) <= 1
+
+
 def _operand(df: DataFrame, arg: Any) -> Column:
     if isinstance(arg, str) and variable(arg) is None:
         return F.lit(arg)
@@ -105,6 +120,8 @@ def _compare(test: str) -> Any:
     }
 
     def apply(df: DataFrame, left: Any, right: Any) -> DataFrame:
+        if not _alike(df, left, right):
+            return df.where(F.lit(False))
         return df.where(tests[test](_operand(df, left), _operand(df, right)))
 
     return apply
@@ -225,20 +242,17 @@ def _masks(flags: Sequence[str]) -> list[tuple[bool, ...]]:
     return list(product((False, True), repeat=len(flags)))
 
 
-def _product(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Combine every pair; one side must be provably small, the other is never moved."""
-    if at_most(right, BROADCAST_ROWS):
-        return left.join(F.broadcast(right), how="cross")
-    if at_most(left, BROADCAST_ROWS):
-        return right.join(F.broadcast(left), how="cross").select(*left.columns, *right.columns)
-    raise ValueError("the patterns share no variable and neither is small: add a shared variable")
-
-
-def _join(left: DataFrame, right: DataFrame) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, pairs: bool) -> DataFrame:
+    if not right.columns or not left.columns:
+        # A frame without variables only says whether there is a solution; one row of it decides.
+        held, test = (left, right) if not right.columns else (right, left)
+        return held.join(F.broadcast(test.select(F.lit(1).alias("_any")).limit(1)), how="left_semi")
     shared = _shared(left, right)
-    if not shared:
-        return _product(left, right)
     left_flags, right_flags = _flags(left, right, shared)
+    if not pairs and not set(shared) - set(left_flags) - set(right_flags):
+        raise ValueError("the patterns share no variable that is always bound: add one, or ask for all pairs")
+    if not shared:
+        return left.join(right, how="cross")
     if not left_flags and not right_flags:
         return left.join(right, shared)
     unbound = maybe_unbound(left) | maybe_unbound(right)
@@ -252,16 +266,20 @@ def _join(left: DataFrame, right: DataFrame) -> DataFrame:
             keys = [c for c in shared if c not in left_null | right_null]
             lhs = lhs.drop(*left_null)
             rhs = rhs.drop(*(right_null - left_null))
-            both = lhs.join(rhs, keys) if keys else _product(lhs, rhs)
+            both = lhs.join(rhs, keys) if keys else lhs.join(rhs, how="cross")
             parts.append(both.select(*columns))
     joined = reduce(lambda a, b: a.unionByName(b), parts)
     still = [c for c in unbound if c not in shared or (c in left_flags and c in right_flags)]
     return mark_unbound(mark_bound(joined, shared), still)
 
 
-def and_(*frames: DataFrame) -> DataFrame:
-    """Natural join on the shared variables; an unbound value agrees with any value."""
-    return reduce(_join, frames)
+def and_(*frames: DataFrame, pairs: bool = False) -> DataFrame:
+    """Natural join on the shared variables; an unbound value agrees with any value.
+
+    Frames must share a variable that is always bound, whatever their sizes. ``pairs`` lifts that for frames the caller
+    knows to be small, such as constants: then every solution meets every one it agrees with.
+    """
+    return reduce(lambda a, b: _join(a, b, pairs), frames)
 
 
 def not_(df: DataFrame, sub: DataFrame) -> DataFrame:
@@ -314,14 +332,14 @@ def exists(df: DataFrame, sub: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def opt(df: DataFrame, sub: DataFrame) -> DataFrame:
-    """Extend each solution by the sub-query where it matches, else leave its variables unbound."""
+def opt(df: DataFrame, sub: DataFrame, pairs: bool = False) -> DataFrame:
+    """Extend each solution by the sub-query where it matches, else leave its variables unbound; ``pairs`` as in ``and_``."""
     shared = _shared(df, sub)
     added = [c for c in sub.columns if c not in shared]
     left_flags, right_flags = _flags(df, sub, shared)
     if shared and not left_flags and not right_flags:
         return mark_unbound(df.join(sub, shared, "left").select(*df.columns, *added), added)
-    matched = and_(df, sub)
+    matched = and_(df, sub, pairs=pairs)
     missed = not_(df, sub)
     for c in added:
         missed = missed.withColumn(c, F.lit(None).cast(sub.schema[c].dataType))
@@ -352,15 +370,25 @@ def _buckets(df: DataFrame, start: str, end: str, width: float) -> Column:
     return F.sequence(_bucket(F.col(start), kinds[0], width), _bucket(F.col(end), kinds[1], width))
 
 
-def _salted(left: DataFrame, right: DataFrame, on: list[str], salts: int | None) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Split the rows of hot keys on the left over salts and repeat the right side per salt."""
-    if salts is None:
-        salts = -(-largest_group(left, on) // GROUP_ROWS)
-    if salts <= 1:
-        return left, right, on
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
-    return left, right.withColumn("_salt", F.explode(every)), [*on, "_salt"]
+#: Rows of one key and bucket that meet the other side in one piece.
+HOT_ROWS = 100_000
+
+
+def _salted(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Cut hot keys of either side into pieces of about ``HOT_ROWS`` rows and repeat the rows of the same keys opposite.
+
+    Keys below that are one piece and nothing is repeated for them. The counts are part of the plan.
+    """
+    left, right = _cut_hot(left, right, on, "_sl")
+    right, left = _cut_hot(right, left, on, "_sr")
+    return left, right, [*on, "_sl", "_sr"]
+
+
+def _cut_hot(own: DataFrame, other: DataFrame, on: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    hot = own.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / HOT_ROWS).cast("int").alias("_n")).where(F.col("_n") > 1)
+    pieces = F.coalesce(F.col("_n"), F.lit(1))
+    cut_up = own.join(hot, on, "left").withColumn(name, F.pmod(F.xxhash64(*own.columns), pieces).cast("int")).drop("_n")
+    return cut_up, other.join(hot, on, "left").withColumn(name, F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_n")
 
 
 def range_join(
@@ -371,24 +399,24 @@ def range_join(
     end: str,
     width: float,
     keys: Sequence[str] = (),
-    salts: int | None = None,
 ) -> DataFrame:
     """Pairs with ``start <= point < end`` by equal bucket, without comparing every pair.
 
-    Spans are copied into the buckets of ``width`` they touch (seconds for timestamps). A hot bucket is
-    split by salts: points fall into one salt each, the spans are repeated per salt. The number of salts
-    follows from the largest bucket unless it is given.
+    Spans are copied into the buckets of ``width`` they touch (seconds for timestamps). A hot bucket of either side is cut
+    into pieces, and only the rows that meet it are repeated.
     """
     left = points.withColumn("_bucket", _bucket(F.col(point), points.schema[point].dataType, width))
     right = spans.where(F.col(start) < F.col(end))
     right = right.withColumn("_bucket", F.explode(_buckets(spans, start, end, width)))
-    left, right, on = _salted(left, right, [*keys, "_bucket"], salts)
+    left, right, on = _salted(left, right, [*keys, "_bucket"])
     inside = (F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))
-    return left.join(right, on).where(inside).drop("_bucket", "_salt")
+    return left.join(right, on).where(inside).drop("_bucket", "_sl", "_sr")
 
 
-# Relations that are an equality of one endpoint of each interval.
-_TOUCHING = {"meets": (1, 0), "met_by": (0, 1)}
+# Relations that hold only where one endpoint of each interval is the same.
+_TOUCHING = {
+    "meets": (1, 0), "met_by": (0, 1), "starts": (0, 0), "started_by": (0, 0), "equals": (0, 0), "finishes": (1, 1), "finished_by": (1, 1),
+}
 
 
 def interval_join(
@@ -399,7 +427,6 @@ def interval_join(
     y_ends: tuple[str, str],
     width: float,
     keys: Sequence[str] = (),
-    salts: int | None = None,
 ) -> DataFrame:
     """Pairs of intervals in a named relation.
 
@@ -412,19 +439,20 @@ def interval_join(
     if relation in _TOUCHING:
         i, j = _TOUCHING[relation]
         left, right = x.withColumn("_end", F.col(x_ends[i])), y.withColumn("_end", F.col(y_ends[j]))
-        return left.join(right, [*keys, "_end"]).where(test).drop("_end")
+        left, right, on = _salted(left, right, [*keys, "_end"])
+        return left.join(right, on).where(test).drop("_end", "_sl", "_sr")
     if relation in ("before", "after"):
         if not keys:
             raise ValueError("intervals apart from each other need a shared variable")
         return x.join(y, list(keys)).where(test)
     left = x.withColumn("_bucket", F.explode(_buckets(x, *x_ends, width)))
     right = y.withColumn("_bucket", F.explode(_buckets(y, *y_ends, width)))
-    left, right, on = _salted(left, right, [*keys, "_bucket"], salts)
+    left, right, on = _salted(left, right, [*keys, "_bucket"])
     later = F.greatest(
         _bucket(F.col(x_ends[0]), x.schema[x_ends[0]].dataType, width),
         _bucket(F.col(y_ends[0]), y.schema[y_ends[0]].dataType, width),
     )
-    return left.join(right, on).where(test & (F.col("_bucket") == later)).drop("_bucket", "_salt")
+    return left.join(right, on).where(test & (F.col("_bucket") == later)).drop("_bucket", "_sl", "_sr")
 
 
 # Order and paging -----------------------------------------------------------------------------------
@@ -455,21 +483,22 @@ def limit(df: DataFrame, n: int) -> DataFrame:
 
 
 def start(
-    df: DataFrame, n: int, *variables: Any, order: str | Sequence[str] | dict[str, str] = "asc", group_rows: int = GROUP_ROWS
+    df: DataFrame, n: int, *variables: Any, order: str | Sequence[str] | dict[str, str] = "asc"
 ) -> DataFrame:
     """Skip the first n solutions in the order of the variables, the other columns breaking ties.
 
     Rows are numbered slice by slice, so the rest is never gathered in one task as a plain offset would.
     """
-    numbered = number_rows(df, [], _sort_columns(variables, order), "_pos", group_rows)
+    numbered = number_rows(df, [], _sort_columns(variables, order), "_pos")
     return numbered.where(F.col("_pos") >= n).drop("_pos")
 
 
 def page(
     df: DataFrame, n: int, count: int, *variables: Any, order: str | Sequence[str] | dict[str, str] = "asc"
 ) -> DataFrame:
-    """Skip n solutions and return the next ``count`` of them: a top-k of ``n + count`` rows."""
-    return order_by(df, *variables, order=order).offset(n).limit(count)
+    """Skip n solutions and return the next ``count`` of them, in order. A deep page is numbered slice by slice, as by ``start``."""
+    numbered = number_rows(df, [], _sort_columns(variables, order), "_pos")
+    return numbered.where((F.col("_pos") >= n) & (F.col("_pos") < n + count)).orderBy("_pos").drop("_pos")
 
 
 __all__ = [

@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripleframe.model import QUAD_COLUMNS, RDF_TYPE, ClassDef, Schema, literal_type
-from tripleframe.operators.spread import GROUP_ROWS, largest_group
+from tripleframe.model import QUAD_COLUMNS, RDF_TYPE, SPARK_TYPES, ClassDef, Schema, literal_type
 
 
 # Documents as facts ---------------------------------------------------------------------------------
@@ -113,15 +112,9 @@ def list_facts(df: DataFrame, prop: str, graph: str = "instance") -> DataFrame:
 
 
 def assemble_documents(quads: DataFrame, schema: Schema, cls: str) -> DataFrame:
-    """Class table from facts: one aggregation by subject, sets sorted.
-
-    A document with a set too large for one row is refused: its elements stay available as facts.
-    """
+    """Class table from facts: one aggregation by subject, sets sorted. A document is one row, and so are its sets."""
     props = schema.properties(cls)
     struct = schema.struct(cls)
-    sets = [name for name in props if isinstance(struct[name].dataType, T.ArrayType)]
-    if sets and largest_group(quads.where(F.col("p").isin(sets)), ["s", "p"]) > GROUP_ROWS:
-        raise ValueError(f"a set holds more than {GROUP_ROWS} elements: read it as facts")
     rows = quads.where(F.col("p").isin([RDF_TYPE, *props]))
     aggs = [F.max(F.when((F.col("p") == RDF_TYPE), F.col("o"))).alias("_type")]
     for name, prop in props.items():
@@ -146,14 +139,16 @@ def read_document(df: DataFrame, iri: str, table: DataFrame, output: str) -> Dat
 
 
 def documents_by_type(table: DataFrame, skip: int = 0, count: int | None = None) -> DataFrame:
-    """Documents of a class by id; a page is a top-k of ``skip + count`` rows."""
+    """Documents of a class by id; pages are numbered slice by slice."""
     if skip == 0 and count is None:
         return table
     if count is None:
         from tripleframe.operators.combine import start
 
         return start(table, skip, "id")
-    return table.orderBy("id").offset(skip).limit(count)
+    from tripleframe.operators.combine import page
+
+    return page(table, skip, count, "id")
 
 
 def all_documents(tables: dict[str, DataFrame], skip: int = 0, count: int | None = None) -> DataFrame:
@@ -189,26 +184,18 @@ def query_document(
 
 
 def parse_template(schema: Schema, cls: str, pairs: Sequence[str]) -> dict[str, Any]:
-    """Template from ``key=value`` texts, typed by the properties of the class, inherited ones included."""
-    props = schema.properties(cls)
-    out: dict[str, Any] = {"@type": cls}
-    for pair in pairs:
-        key, _, text = pair.partition("=")
-        if key not in props:
-            raise ValueError(f"{key} is not a property of {cls}")
-        kind = props[key].range
-        plain = text.strip('"')
-        if kind == "xsd:integer":
-            out[key] = int(plain)
-        elif kind in ("xsd:decimal", "xsd:double"):
-            out[key] = float(plain)
-        elif kind == "xsd:boolean":
-            if plain.lower() not in ("true", "false"):
-                raise ValueError(f"{plain} is not a boolean")
-            out[key] = plain.lower() == "true"
-        else:
-            out[key] = text
-    return out
+    """Template from ``name=text``: each text is cast to the Spark type of the property's datatype, links stay text.
+
+    A pair of double quotes around a text is taken off. Text that is no value of the datatype fails when the scan runs.
+    """
+    held = schema.properties(cls)
+    template: dict[str, Any] = {"@type": cls}
+    for name, text in (pair.split("=", 1) for pair in pairs):
+        if name not in held:
+            raise ValueError(f"{cls} has no property {name}")
+        inner = text[1:-1] if len(text) > 1 and text[0] == text[-1] == '"' else text
+        template[name] = F.lit(inner).cast(SPARK_TYPES.get(held[name].range, "string"))
+    return template
 
 
 def get_document(table: DataFrame, doc_id: str) -> DataFrame:
@@ -224,11 +211,25 @@ def has_doc(table: DataFrame, doc_id: str) -> bool:
 
 
 def insert_document(table: DataFrame, batch: DataFrame, full_replace: bool = False) -> DataFrame:
-    """Table after adding the batch; ids that exist already are left as they are (see ``existing_ids``)."""
+    """Table after adding the batch; ids that exist already are left as they are, ``insert_conflicts`` names them."""
     if full_replace:
         return batch
     fresh = batch.join(table.select("id"), "id", "left_anti")
-    return table.unionByName(fresh, allowMissingColumns=True)
+    return table.unionByName(_one_each(fresh), allowMissingColumns=True)
+
+
+def _one_each(batch: DataFrame) -> DataFrame:
+    """One document per id: of several in a batch, the one that is smallest as JSON."""
+    body = F.to_json(F.struct(*batch.columns))
+    held = batch.groupBy("id").agg(F.min_by(F.struct(*batch.columns), body).alias("_d"))
+    return held.select("_d.*")
+
+
+def insert_conflicts(table: DataFrame, batch: DataFrame) -> DataFrame:
+    """(id, conflict) of what an insert leaves out: ``exists`` for taken ids, ``repeated`` for ids given several times."""
+    taken = existing_ids(table, batch).distinct().select("id", F.lit("exists").alias("conflict"))
+    again = batch.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return taken.unionByName(again.select("id", F.lit("repeated").alias("conflict")))
 
 
 def existing_ids(table: DataFrame, batch: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def missing_ids(table: DataFrame, batch: DataFrame) -> DataFrame:
 
 def replace_document(table: DataFrame, batch: DataFrame, create: bool = False) -> DataFrame:
     """Table after replacing documents by id; unknown ids are added only with ``create``."""
-    new = batch if create else batch.join(table.select("id"), "id", "left_semi")
+    new = _one_each(batch if create else batch.join(table.select("id"), "id", "left_semi"))
     return table.join(batch.select("id"), "id", "left_anti").unionByName(new, allowMissingColumns=True)
 
 
@@ -262,8 +263,10 @@ def resolve_references(batch: DataFrame, ref_cols: Sequence[str], capture: str =
     captured = batch.where(F.col(capture).isNotNull()).select(F.col(capture).alias("_c"), F.col("id").alias("_id"))
     out = batch
     for name in ref_cols:
-        out = out.join(captured.withColumnRenamed("_c", name), name, "left")
-        out = out.withColumn(name, F.coalesce("_id", name)).drop("_id")
+        # Documents without the reference take no part in the join: null would be one hot key.
+        held = out.where(F.col(name).isNotNull()).join(captured.withColumnRenamed("_c", name), name, "left")
+        held = held.withColumn(name, F.coalesce("_id", name)).select(*out.columns)
+        out = held.unionByName(out.where(F.col(name).isNull()))
     return out.select(*[c for c in batch.columns if c != capture])
 
 
@@ -274,7 +277,7 @@ def raw_json(batch: DataFrame, body: str = "body") -> DataFrame:
 
 __all__ = [
     "ClassDef", "all_documents", "assemble_documents", "delete_document", "documents_by_type", "existing_ids",
-    "get_document", "has_doc", "insert_document", "list_facts", "list_rows", "missing_ids", "parse_template",
+    "get_document", "has_doc", "insert_conflicts", "insert_document", "list_facts", "list_rows", "missing_ids", "parse_template",
     "query_document", "raw_json", "read_document", "replace_document", "resolve_references", "triplify",
     "update_document",
 ]

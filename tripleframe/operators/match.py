@@ -6,24 +6,45 @@ property; only an unbound predicate reads the facts as quads.
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripleframe.model import RDF_TYPE, Graph, Lit, Var, column, variable
+from tripleframe.model import RDF_TYPE, Graph, Lit, Var, variable
 from tripleframe.operators.combine import opt as optional
-from tripleframe.operators.spread import GROUP_ROWS, neighbours
+from tripleframe.operators.spread import neighbours
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _property_rows(graph: Graph, predicate: str) -> DataFrame | None:
-    """(s, o) rows of a property straight from the class tables, or None if no table holds it."""
+def _family(kind: T.DataType) -> str:
+    """Values are compared within a family of types; between families nothing is equal or ordered."""
+    if isinstance(kind, T.NumericType):
+        return "number"
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return "moment"
+    return kind.typeName()
+
+
+def _family_of(value: Any) -> str:
+    """Family of a Python constant."""
+    if isinstance(value, bool):
+        return "boolean"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return "number"
+    return "moment" if isinstance(value, (dt.date, dt.datetime)) else "string"
+
+
+def _property_parts(graph: Graph, predicate: str) -> list[DataFrame]:
+    """(s, o) rows of a property, one frame for each class table that holds it, in the table's own type."""
     parts = []
     for cls, df in graph.tables.items():
         if predicate == RDF_TYPE:
@@ -34,29 +55,50 @@ def _property_rows(graph: Graph, predicate: str) -> DataFrame | None:
                 parts.append(df.select(F.col("id").alias("s"), F.explode(F.array_distinct(values)).alias("o")))
             else:
                 parts.append(df.select(F.col("id").alias("s"), values.alias("o")).where(F.col("o").isNotNull()))
-    if not parts:
-        return None
-    kinds = {part.schema["o"].dataType.simpleString() for part in parts}
-    if len(kinds) > 1:
+    return parts
+
+
+def _widened(parts: list[DataFrame]) -> DataFrame:
+    """The parts as one: in the widest type of their family, as text if they are of several families."""
+    kinds = {part.schema["o"].dataType for part in parts}
+    if len({_family(k) for k in kinds}) > 1:
         parts = [part.withColumn("o", F.col("o").cast("string")) for part in parts]
+    elif len(kinds) > 1 and _family(next(iter(kinds))) == "moment":
+        parts = [part.withColumn("o", F.col("o").cast("timestamp_ntz")) for part in parts]
     return _union(parts)
 
 
-def _rows(graph: Graph, predicate: str | None) -> DataFrame:
-    """(s, p, o) rows for a constant or unbound predicate."""
+def _property_rows(graph: Graph, predicate: str) -> DataFrame | None:
+    """(s, o) rows of a property straight from the class tables, or None if no table holds it."""
+    parts = _property_parts(graph, predicate)
+    return _widened(parts) if parts else None
+
+
+def _spark(graph: Graph) -> SparkSession:
+    held = graph.facts if graph.facts is not None else next(iter(graph.tables.values()), None)
+    if held is None:
+        raise ValueError("the graph has neither class tables nor facts")
+    return held.sparkSession
+
+
+def _rows(graph: Graph, predicate: str | None, constant: Any = None) -> DataFrame:
+    """(s, p, o) rows for a constant or unbound predicate; a constant object filters each class table in its own type."""
     if predicate is None:
-        return graph.quads().select("s", "p", "o")
-    parts = []
-    tables = _property_rows(graph, predicate)
-    if tables is not None:
-        parts.append(tables)
+        rows = graph.quads().select("s", "p", "o")
+        return rows if constant is None else rows.where(F.col("o") == F.lit(constant).cast("string"))
+    parts = _property_parts(graph, predicate)
+    if constant is not None:
+        parts = [part.where(F.col("o") == F.lit(constant)) for part in parts if _family(part.schema["o"].dataType) == _family_of(constant)]
     if graph.facts is not None:
-        parts.append(graph.facts.where(F.col("p") == predicate).select("s", "o"))
+        facts = graph.facts.where(F.col("p") == predicate)
+        if constant is not None:
+            shadow = {"number": "o_num", "moment": "o_ts"}.get(_family_of(constant), "o")
+            facts = facts.where(F.col(shadow) == (F.lit(constant) if shadow != "o" else F.lit(constant).cast("string")))
+        parts.append(facts.select("s", "o"))
     if not parts:
-        raise ValueError(f"no class table and no facts hold the property {predicate}")
-    if len(parts) == 2:
-        parts = [part.withColumn("o", F.col("o").cast("string")) for part in parts]
-    return _union(parts).withColumn("p", F.lit(predicate))
+        # A property that nothing holds has no solutions.
+        return _spark(graph).createDataFrame([], "s string, p string, o string")
+    return _widened(parts).withColumn("p", F.lit(predicate))
 
 
 def bind(rows: DataFrame, positions: dict[str, Any]) -> DataFrame:
@@ -77,7 +119,9 @@ def bind(rows: DataFrame, positions: dict[str, Any]) -> DataFrame:
 def triple(graph: Graph, sub: Any, pred: Any, obj: Any, opt: DataFrame | None = None) -> DataFrame:
     """Match facts; ``opt`` gives the solutions to extend by the pattern where it matches."""
     predicate = None if variable(pred) else pred
-    rows = bind(_rows(graph, predicate), {"s": sub, "p": pred, "o": obj})
+    constant = None if variable(obj) is not None else obj.value if isinstance(obj, Lit) else obj
+    held = _rows(graph, predicate, constant)
+    rows = bind(held, {"s": sub, "p": pred, **({} if constant is not None else {"o": obj})})
     return rows if opt is None else optional(opt, rows)
 
 
@@ -128,44 +172,44 @@ def _changed(changes: DataFrame, op: str, sub: Any, pred: Any, obj: Any, name: A
     return bind(rows, {"s": sub, "p": pred, "o": obj, "graph": name})
 
 
-def _typed_rows(graph: Graph, pred: Any, sample: Any) -> DataFrame:
-    """(s, p, o) with ``o`` in the type family of a bound, so the bounds reach the scan as filters."""
+def _value(arg: Any) -> Any:
+    return arg.value if isinstance(arg, Lit) else arg
+
+
+def _typed_parts(graph: Graph, pred: Any, family: str) -> list[DataFrame]:
+    """(s, p, o) rows of one family of types, one frame for each source."""
     predicate = None if variable(pred) else pred
-    sample = sample.value if isinstance(sample, Lit) else sample
-    shadow = "o_num" if isinstance(sample, (int, float)) else None if isinstance(sample, str) else "o_ts"
     parts = []
     if predicate is not None:
-        tables = _property_rows(graph, predicate)
-        if tables is not None:
-            held = tables.schema["o"].dataType
-            numeric = isinstance(held, T.NumericType)
-            moment = isinstance(held, (T.TimestampNTZType, T.TimestampType, T.DateType))
-            family = {"o_num": numeric, "o_ts": moment, None: isinstance(held, T.StringType)}
-            rows = tables.withColumn("p", F.lit(predicate))
-            parts.append(rows if family[shadow] else rows.where(F.lit(False)))
-        facts = graph.facts
-        facts = None if facts is None else facts.where(F.col("p") == predicate)
+        held = _property_parts(graph, predicate)
+        parts = [part.withColumn("p", F.lit(predicate)) for part in held if _family(part.schema["o"].dataType) == family]
+        facts = None if graph.facts is None else graph.facts.where(F.col("p") == predicate)
     else:
         facts = graph.quads()
     if facts is not None:
-        value = F.col(shadow) if shadow else F.when(F.col("o_num").isNull() & F.col("o_ts").isNull(), F.col("o"))
-        parts.append(facts.select("s", "p", value.alias("o")).where(F.col("o").isNotNull()))
-    if len(parts) == 2 and parts[0].schema["o"].dataType != parts[1].schema["o"].dataType:
-        parts[0] = parts[0].withColumn("o", F.col("o").cast(parts[1].schema["o"].dataType))
-    return _union(parts)
+        shadow = {"number": F.col("o_num"), "moment": F.col("o_ts")}.get(family, F.when(F.col("o_num").isNull() & F.col("o_ts").isNull(), F.col("o")))
+        parts.append(facts.select("s", "p", shadow.alias("o")).where(F.col("o").isNotNull()))
+    return parts
+
+
+def _typed_rows(graph: Graph, pred: Any, sample: Any, test: Callable[[Column], Column]) -> DataFrame:
+    """(s, p, o) rows of the family of ``sample`` that pass the test, which reaches every scan as a filter."""
+    parts = [part.where(test(F.col("o"))).select("s", "p", "o") for part in _typed_parts(graph, pred, _family_of(_value(sample)))]
+    return _widened(parts) if parts else _spark(graph).createDataFrame([], "s string, p string, o string")
+
+
+def _between(low: Any, high: Any) -> Callable[[Column], Column]:
+    return lambda o: (o >= F.lit(_value(low))) & (o < F.lit(_value(high)))
 
 
 def triple_slice(graph: Graph, sub: Any, pred: Any, obj: Any, low: Any, high: Any) -> DataFrame:
     """Facts whose typed object lies in ``[low, high)``."""
-    rows = _typed_rows(graph, pred, low)
-    rows = rows.where((F.col("o") >= column(Lit(low))) & (F.col("o") < column(Lit(high))))
-    return bind(rows, {"s": sub, "p": pred, "o": obj})
+    return bind(_typed_rows(graph, pred, low, _between(low, high)), {"s": sub, "p": pred, "o": obj})
 
 
 def triple_slice_rev(graph: Graph, sub: Any, pred: Any, obj: Any, low: Any, high: Any) -> DataFrame:
     """The facts of ``triple_slice`` with the largest object first."""
-    rows = _typed_rows(graph, pred, low)
-    rows = rows.where((F.col("o") >= column(Lit(low))) & (F.col("o") < column(Lit(high))))
+    rows = _typed_rows(graph, pred, low, _between(low, high))
     return bind(rows.orderBy(F.col("o").desc(), "s"), {"s": sub, "p": pred, "o": obj})
 
 
@@ -177,40 +221,43 @@ def quad_slice_rev(graph: Graph, sub: Any, pred: Any, obj: Any, low: Any, high:
     return triple_slice_rev(graph.using(graph=name), sub, pred, obj, low, high)
 
 
-def _adjacent(
-    graph: Graph, sub: Any, pred: Any, obj: Any, other: Any, forward: bool, group_rows: int
-) -> DataFrame:
+def _adjacent(graph: Graph, sub: Any, pred: Any, obj: Any, other: Any, forward: bool) -> DataFrame:
     bound_obj, bound_other = variable(obj) is None, variable(other) is None
     if bound_obj or bound_other:
         # A bound reference needs no order: the nearest value is a minimum or a maximum.
-        reference = obj if bound_obj else other
-        value = F.lit(reference.value if isinstance(reference, Lit) else reference)
+        reference = _value(obj if bound_obj else other)
         above = forward == bound_obj
-        rows = _typed_rows(graph, pred, reference)
-        rows = rows.where(F.col("o") > value if above else F.col("o") < value)
+        rows = _typed_rows(graph, pred, reference, lambda o: o > F.lit(reference) if above else o < F.lit(reference))
         found = rows.groupBy("s", "p").agg((F.min("o") if above else F.max("o")).alias("found"))
         return bind(found, {"s": sub, "p": pred, "found": other if bound_obj else obj})
-    predicate = None if variable(pred) else pred
-    rows = _rows(graph, predicate).distinct()
-    if variable(sub) is None:
-        rows = rows.where(F.col("s") == sub)
     step = {"following": "near"} if forward else {"previous": "near"}
-    rows = neighbours(rows, ["s", "p"], "o", group_rows=group_rows, **step).where(F.col("near").isNotNull())
-    return bind(rows, {"s": sub, "p": pred, "o": obj, "near": other})
+    families = ["number", "moment", "string"]
+    if variable(pred) is None and graph.facts is None:
+        held = {_family(p.schema["o"].dataType) for p in _property_parts(graph, pred)}
+        families = [f for f in [*families, *sorted(held - set(families))] if f in held]
+    parts = []
+    for family in families:
+        # Values are next to each other within their family of types.
+        rows = _widened([p.select("s", "p", "o") for p in _typed_parts(graph, pred, family)]).distinct()
+        if variable(sub) is None:
+            rows = rows.where(F.col("s") == sub)
+        parts.append(neighbours(rows, ["s", "p"], "o", **step).where(F.col("near").isNotNull()))
+    if not parts:
+        empty = _spark(graph).createDataFrame([], "s string, p string, o string, near string")
+        return bind(empty, {"s": sub, "p": pred, "o": obj, "near": other})
+    if len(parts) > 1:
+        parts = [p.withColumns({c: F.col(c).cast("string") for c in ("o", "near")}) for p in parts]
+    return bind(_union(parts), {"s": sub, "p": pred, "o": obj, "near": other})
 
 
-def triple_next(
-    graph: Graph, sub: Any, pred: Any, obj: Any, next_val: Any, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def triple_next(graph: Graph, sub: Any, pred: Any, obj: Any, next_val: Any) -> DataFrame:
     """Per subject and predicate the smallest larger value; either end may be bound, or neither."""
-    return _adjacent(graph, sub, pred, obj, next_val, True, group_rows)
+    return _adjacent(graph, sub, pred, obj, next_val, True)
 
 
-def triple_previous(
-    graph: Graph, sub: Any, pred: Any, obj: Any, prev_val: Any, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def triple_previous(graph: Graph, sub: Any, pred: Any, obj: Any, prev_val: Any) -> DataFrame:
     """Per subject and predicate the largest smaller value; either end may be bound, or neither."""
-    return _adjacent(graph, sub, pred, obj, prev_val, False, group_rows)
+    return _adjacent(graph, sub, pred, obj, prev_val, False)
 
 
 def quad_next(graph: Graph, sub: Any, pred: Any, obj: Any, next_val: Any, name: str) -> DataFrame:

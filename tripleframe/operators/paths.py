@@ -190,7 +190,8 @@ class _Walk:
             levels.append(self.nodes() if frontier is None else frontier)
         current = frontier
         for n in range(1, high + 1):
-            current = self.unique(self.step(current, inner))
+            # A written level keeps the next one from computing all levels before it again.
+            current = cut(self.unique(self.step(current, inner)))
             if n >= low:
                 levels.append(current)
         return self.unique(reduce(lambda a, b: a.unionByName(b), levels))

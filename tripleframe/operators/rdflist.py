@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripleframe.model import RDF_NIL
-from tripleframe.operators.agg import group_chunks
-from tripleframe.operators.spread import GROUP_ROWS, largest_group
 from tripleframe.session import cut, cut_counted
 
 POSITIONS = ["head", "pos", "cell", "value"]
@@ -76,14 +74,6 @@ def list_positions(cells: DataFrame) -> DataFrame:
 # Reading --------------------------------------------------------------------------------------------
 
 
-def list_values(positions: DataFrame, output: str = "items", limit: int = GROUP_ROWS) -> DataFrame:
-    """One array per list, in list order; lists beyond the limit need ``list_chunks``."""
-    if largest_group(positions, ["head"]) > limit:
-        raise ValueError(f"a list holds more than {limit} cells: use list_chunks or the positions")
-    items = F.array_sort(F.collect_list(F.struct("pos", "value")))
-    return positions.groupBy("head").agg(F.transform(items, lambda x: x["value"]).alias(output))
-
-
 def list_chunks(positions: DataFrame, size: int = 1_000, output: str = "items") -> DataFrame:
     """Lists in chunks of at most ``size`` values, for lists of any length."""
     rows = positions.withColumn("chunk", F.floor(F.col("pos") / size))
@@ -140,9 +130,10 @@ def slice_(positions: DataFrame, start: int, end: int) -> DataFrame:
 
 
 def slice_values(positions: DataFrame, start: int, end: int, output: str = "items") -> DataFrame:
-    """(head, list) for every list; an empty range gives empty lists."""
+    """(head, list) for every list, of at most ``end - start`` values; an empty range gives empty lists."""
     heads = positions.where("pos = 0").select("head")
-    part = list_values(slice_(positions, start, end), output)
+    items = F.array_sort(F.collect_list(F.struct("pos", "value")))
+    part = slice_(positions, start, end).groupBy("head").agg(F.transform(items, lambda x: x["value"]).alias(output))
     return heads.join(part, "head", "left").withColumn(
         output, F.coalesce(output, F.array().cast(part.schema[output].dataType))
     )
@@ -327,7 +318,7 @@ def apply_cell_changes(cells: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "append", "apply_cell_changes", "cells_from_quads", "clear", "drop", "empty", "group_chunks", "insert", "is_empty",
-    "last", "length", "list_chunks", "list_positions", "list_values", "malformed_cells", "member", "nth0", "nth1", "peek",
+    "append", "apply_cell_changes", "cells_from_quads", "clear", "drop", "empty", "insert", "is_empty",
+    "last", "length", "list_chunks", "list_positions", "malformed_cells", "member", "nth0", "nth1", "peek",
     "pop", "popped", "push", "slice_", "slice_values", "swap",
 ]

@@ -1,8 +1,7 @@
 """Positions and neighbours within groups of any size.
 
-A window sends a whole group to one task. That is fine while a count proves every group small. Beyond
-that, rows are range-partitioned by (group, order), so a big group is spread over many tasks; each task
-numbers its own slice and small per-slice totals supply the offsets.
+A window would send a whole group to one task. Rows are range-partitioned by (group, order) instead, so a big group is
+spread over many tasks; each task numbers its own slice and small per-slice totals supply the offsets.
 """
 
 from __future__ import annotations
@@ -12,49 +11,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripleframe.session import cut, shuffle_width
+from tripleframe.session import cut
 
-#: Largest group a single window task may be given.
-GROUP_ROWS = 1_000_000
 #: Copies of one identical row numbered by one task at a time.
 COPY_BLOCK = 100_000
 
 
-#: Most slices of one table.
-MAX_SLICES = 100_000
-
-
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Rows of the largest group and of the whole; partial counts are merged, groups are never gathered."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = counts.agg(F.max("_n").alias("largest"), F.sum("_n").alias("total")).first()
-    return row["largest"] or 0, row["total"] or 0
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group."""
-    return group_sizes(df, keys)[0]
-
-
-def _slice_count(df: DataFrame, total: int, group_rows: int) -> int:
-    """Slices that hold about ``group_rows`` rows each, at least as many as a shuffle has partitions."""
-    return min(max(shuffle_width(df.sparkSession), -(-total // group_rows)), MAX_SLICES)
-
-
 def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> list[Column]:
     cols = [F.col(o) if isinstance(o, str) else o for o in order]
     named = {o for o in order if isinstance(o, str)} | set(keys)
     return cols + [F.col(c) for c in df.columns if c not in named]
 
 
-def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slices: int) -> DataFrame:
-    ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
+def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
     return cut(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
-def _number_spread(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, slices: int) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "pos") -> DataFrame:
+    """Add the 0-based position of each row in its group; the remaining columns break ties."""
+    order = _total_order(df, keys, order)
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = _slices(copies, keys, order, slices)
+    ranged = _slices(copies, keys, order)
     within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_size"))
@@ -80,39 +58,11 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column | str],
-    name: str = "pos",
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Add the 0-based position of each row in its group; the remaining columns break ties."""
-    full = _total_order(df, keys, order)
-    largest, total = group_sizes(df, keys)
-    if largest > group_rows:
-        return _number_spread(df, keys, full, name, _slice_count(df, total, group_rows))
-    w = Window.partitionBy(*keys).orderBy(*full)
-    return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-
-
 def neighbours(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    previous: str | None = None,
-    following: str | None = None,
-    group_rows: int = GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], value: str, previous: str | None = None, following: str | None = None
 ) -> DataFrame:
     """Add the previous and/or next value within each group; values are distinct in a group."""
-    largest, total = group_sizes(df, keys)
-    if largest <= group_rows:
-        w = Window.partitionBy(*keys).orderBy(value)
-        out = df
-        if previous:
-            out = out.withColumn(previous, F.lag(value).over(w))
-        return out.withColumn(following, F.lead(value).over(w)) if following else out
-    ranged = _slices(df, keys, [F.col(value)], _slice_count(df, total, group_rows))
+    ranged = _slices(df, keys, [F.col(value)])
     edges = ranged.groupBy(*keys, "_slice").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     over_slices = Window.partitionBy(*keys).orderBy("_slice")
     edges = edges.select(

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleframe.operators.combine import page
-from tripleframe.operators.spread import GROUP_ROWS, number_rows
-from tripleframe.operators.update import apply_changes, as_changes, last_ops
+from tripleframe.operators.spread import number_rows
+from tripleframe.operators.update import _null_safe, apply_changes, as_changes, last_ops
 
 
 def leaf_paths(struct: T.StructType, prefix: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
@@ -311,14 +311,21 @@ def apply_conflicts(before: DataFrame, after: DataFrame, target: DataFrame) -> D
 # Change logs ----------------------------------------------------------------------------------------
 
 
-def squash(changes: DataFrame) -> DataFrame:
-    """Many commits as one: the last change of each fact; a fact added and removed again is no change."""
-    ends = last_ops(changes)
-    return as_changes(ends.where(F.col("_first") % 2 == F.col("_last") % 2))
+def squash(changes: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """Many commits as one: the last change of each fact.
+
+    With the facts the commits start from, changes without effect on them are left out: a fact that is added and removed
+    again, an addition of a known one, a removal of a missing one.
+    """
+    ends = as_changes(last_ops(changes))
+    if base is None:
+        return ends
+    known = _null_safe(ends.where("op = '-'"), base, "left_semi")
+    return known.unionByName(_null_safe(ends.where("op = '+'"), base, "left_anti"))
 
 
 def rebase(base: DataFrame, branch_changes: DataFrame) -> DataFrame:
-    """Facts of another base after replaying a branch's net change on it."""
+    """Facts of another base after replaying a branch's commits on it: the last change of each fact decides."""
     return apply_changes(base, squash(branch_changes), net=True)
 
 
@@ -357,14 +364,13 @@ def document_history(
     ids: DataFrame | None = None,
     start: int = 0,
     count: int = 10,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """(doc_id, commit fields) of the commits that touch each document, newest first, one page per document."""
     touched = doc_changes if ids is None else doc_changes.join(ids.select("doc_id"), "doc_id", "left_semi")
     touched = touched.select("doc_id", "commit_id").distinct()
     rows = touched.join(commits, "commit_id")
     order = [F.col("ts").desc(), F.col("seq").desc()]
-    placed = number_rows(rows, ["doc_id"], order, "pos", group_rows)
+    placed = number_rows(rows, ["doc_id"], order, "pos")
     return placed.where((F.col("pos") >= start) & (F.col("pos") < start + count))
 
 

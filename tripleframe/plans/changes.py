@@ -290,7 +290,8 @@ def _replayed_sql(upto: int) -> str:
         where first = op""",
 )
 def squash(t: Tables) -> DataFrame:
-    return versions.squash(_log(t)[1]).select("op", "s", "p", "o")
+    base, changes = _log(t)
+    return versions.squash(changes, base).select("op", "s", "p", "o")
 
 
 @query("J7_rebase", _replayed_sql(4))

@@ -435,6 +435,19 @@ def unique(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey").alias("part"), ids.unique("base.url", ["v:p_name", "v:p_partkey"]).alias("doc"))
 
 
+_RANDOM_SQL = """select count(*) as n, count(*) as distinct_ids, count(*) as well_formed from {table}"""
+
+
+def _random_told(df: DataFrame, column: str, pattern: str) -> DataFrame:
+    """What can be foretold of random ids: how many, how many different ones, and how many of the right form."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(column).alias("distinct_ids"), F.count_if(F.col(column).rlike(pattern)).alias("well_formed"))
+
+
+@query("F44_idgen_random_form", _RANDOM_SQL.format(table="part"))
+def idgen_random_form(t: Tables) -> DataFrame:
+    return _random_told(idgen_random(t), "doc", "^Part/[A-Za-z0-9_-]{16}$")
+
+
 @query("F44_idgen_random")
 def idgen_random(t: Tables) -> DataFrame:
     return cut(t.part.select(F.col("p_partkey").alias("part"), ids.random_id("Part/").alias("doc")))
@@ -476,6 +489,11 @@ def assign_ids_value_hash(t: Tables) -> DataFrame:
     return ids.assign_ids(t.orders.select("o_orderkey", "o_orderpriority"), "Order", "ValueHash")
 
 
+@query("K5_assign_ids_random_form", _RANDOM_SQL.format(table="orders"))
+def assign_ids_random_form(t: Tables) -> DataFrame:
+    return _random_told(assign_ids_random(t), "id", "^Order/[A-Za-z0-9_-]{16}$")
+
+
 @query("K5_assign_ids_random")
 def assign_ids_random(t: Tables) -> DataFrame:
     return ids.assign_ids(t.orders.select("o_orderkey", "o_orderpriority"), "Order", "Random")

@@ -388,7 +388,7 @@ def group_rows(t: Tables) -> DataFrame:
 )
 def group_by(t: Tables) -> DataFrame:
     df = t.customer.select(F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("customer"))
-    return agg.group_chunks(df, ["v:segment"], "v:customer", "customers", size=100).withColumn("customers", joined("customers"))
+    return agg.group_by(df, ["v:segment"], "v:customer", "customers", size=100).withColumn("customers", joined("customers"))
 
 
 @query(
@@ -409,7 +409,14 @@ def group_by_template(t: Tables) -> DataFrame:
 )
 def collect(t: Tables) -> DataFrame:
     names = match.triple(graph(t, "Customer"), "v:doc", "name", "v:name")
-    return agg.group_chunks(names, [], "v:name", "names").withColumn("names", joined("names"))
+    return agg.collect(names, "v:name", "names").withColumn("names", joined("names"))
+
+
+@query("E2_collect_none", "select 0 as chunk, 0 as n")
+def collect_none(t: Tables) -> DataFrame:
+    """No solutions give one row with an empty list."""
+    names = match.triple(graph(t, "Customer"), "v:doc", "name", "no such name")
+    return agg.collect(names.select(F.col("doc").alias("name")), "v:name", "names").select("chunk", F.size("names").alias("n"))
 
 
 @query("E3_count", "select count(*) as n from orders where o_orderstatus = 'P'")

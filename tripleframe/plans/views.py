@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripleframe.model import ClassDef, Graph, Prop, Schema
-from tripleframe.operators.spread import number_rows
 from tripleframe.plans.registry import Tables
 
 # (class, source table, id, properties as (name, source, range))
@@ -74,20 +73,17 @@ SCHEMA = Schema(
     for cls, (_, _, props) in _VIEWS.items()
 )
 
-_LINE_ORDER = [
-    "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-    "l_returnflag", "l_linestatus", "l_shipdate",
-]
+#: Line items are named by their order, part, supplier and line.
+_LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 
 def class_table(t: Tables, cls: str) -> DataFrame:
-    """One class table. Line items have no key of their own: they are numbered within their order."""
+    """One class table."""
     source, key, props = _VIEWS[cls]
     df = getattr(t, source)
     doc_id = F.concat(F.lit(f"{cls}/"), F.col(key).cast("string"))
     if cls == "Lineitem":
-        df = number_rows(df, ["l_orderkey"], _LINE_ORDER, "_n")
-        doc_id = F.concat(doc_id, F.lit("_"), (F.col("_n") + 1).cast("string"))
+        doc_id = F.concat(F.lit(f"{cls}/"), F.concat_ws("_", *[F.col(k).cast("string") for k in _LINE_KEY]))
     cols = []
     for name, held, range_ in props:
         value = F.col(held)
@@ -107,8 +103,7 @@ def class_sql(cls: str) -> str:
     source, key, props = _VIEWS[cls]
     doc_id = f"'{cls}/' || {key}"
     if cls == "Lineitem":
-        order = ", ".join(_LINE_ORDER)
-        doc_id += f" || '_' || row_number() over (partition by l_orderkey order by {order})"
+        doc_id = f"'{cls}/' || concat_ws('_', {', '.join(_LINE_KEY)})"
     cols = []
     for name, held, range_ in props:
         value = f"'{range_}/' || {held}" if range_ in SCHEMA else held

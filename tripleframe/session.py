@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-#: A side is only broadcast by hand when it holds at most this many rows.
-BROADCAST_ROWS = 10_000
-
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -75,11 +72,6 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a frame holds at most ``rows`` rows; reads no more than ``rows + 1`` of them."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def shuffle_width(spark: SparkSession) -> int:
     """Number of partitions used where a width has to be named."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
