@@ -112,23 +112,64 @@ def list_facts(df: DataFrame, prop: str, graph: str = "instance") -> DataFrame:
 
 
 def assemble_documents(quads: DataFrame, schema: Schema, cls: str) -> DataFrame:
-    """Class table from facts: one aggregation by subject, sets sorted. A document is one row, and so are its sets."""
-    props = schema.properties(cls)
+    """Class table from facts, the inverse of ``triplify`` and ``list_facts``.
+
+    One aggregation by subject; sets come sorted, nested documents and lists are joined by the node the property holds. A
+    document is one row, and so are its sets and lists. Of several values of a single-valued property the smallest is
+    taken; ``assembly_conflicts`` names them all.
+    """
     struct = schema.struct(cls)
+    props = schema.properties(cls)
     rows = quads.where(F.col("p").isin([RDF_TYPE, *props]))
-    aggs = [F.max(F.when((F.col("p") == RDF_TYPE), F.col("o"))).alias("_type")]
+    is_cls = F.col("p").eqNullSafe(RDF_TYPE) & (F.col("o") == cls)
+    aggs = [F.max(F.when(is_cls, True)).alias("_held")]
     for name, prop in props.items():
-        kind = struct[name].dataType
-        held = F.when(F.col("p") == name, F.col("o"))
-        if isinstance(kind, T.ArrayType):
-            items = F.array_sort(F.collect_set(held.try_cast(kind.elementType.simpleString())))
-            aggs.append(items.alias(name))
+        kind, held = struct[name].dataType, F.when(F.col("p") == name, F.col("o"))
+        if prop.kind == "set":
+            element = kind.elementType if not isinstance(kind.elementType, T.StructType) else T.StringType()
+            aggs.append(F.array_sort(F.collect_set(held.try_cast(element))).alias(name))
         else:
-            aggs.append(F.max(held).try_cast(kind.simpleString()).alias(name))
-    wide = rows.groupBy(F.col("s").alias("id")).agg(*aggs).where(F.col("_type") == cls)
+            plain = kind if not isinstance(kind, (T.StructType, T.ArrayType)) else T.StringType()
+            aggs.append(F.min(held.try_cast(plain)).alias(name))
+    wide = rows.groupBy(F.col("s").alias("id")).agg(*aggs).where("_held").select("id", *props)
+    for name, prop in props.items():
+        kind = struct[name].dataType
+        if prop.kind == "list":
+            wide = _with_list(wide, quads, name, kind.elementType)
+        elif isinstance(kind, T.StructType) and prop.kind != "set":
+            inner = assemble_documents(quads, schema, prop.range)
+            parts = inner.select(F.col("id").alias("_node"), F.struct(*inner.columns[1:]).alias("_inner"))
+            # Documents without the property take no part in the join.
+            held = wide.where(F.col(name).isNotNull()).join(parts, F.col(name) == F.col("_node"), "left")
+            held = held.withColumn(name, F.col("_inner")).select(*wide.columns)
+            wide = held.unionByName(wide.where(F.col(name).isNull()).withColumn(name, F.lit(None).cast(held.schema[name].dataType)))
     return wide.select("id", *props)
 
 
+def _with_list(wide: DataFrame, quads: DataFrame, name: str, kind: T.DataType) -> DataFrame:
+    """The head cells in a column replaced by the values of their lists, in order."""
+    from tripleframe.model import RDF_NIL
+    from tripleframe.operators.rdflist import cells_from_quads, list_positions
+
+    heads = wide.where(F.col(name).isNotNull() & (F.col(name) != RDF_NIL)).select(F.col(name).alias("head"))
+    cells = cells_from_quads(quads)
+    items = F.array_sort(F.collect_list(F.struct("pos", "value")))
+    lists = list_positions(cells).join(heads, "head", "left_semi").groupBy("head").agg(items.alias("_items"))
+    joined = wide.join(lists, F.col(name) == F.col("head"), "left")
+    values = F.transform("_items", lambda x: x["value"].try_cast(kind))
+    none = F.array().cast(T.ArrayType(kind))
+    return joined.withColumn(name, F.when(F.col(name) == RDF_NIL, none).otherwise(values)).select(*wide.columns)
+
+
+def assembly_conflicts(quads: DataFrame, schema: Schema, cls: str) -> DataFrame:
+    """(id, property, n) where a document of the class holds several values of a single-valued property."""
+    single = [name for name, prop in schema.properties(cls).items() if prop.kind not in ("set",)]
+    members = quads.where((F.col("p") == RDF_TYPE) & (F.col("o") == cls)).select("s").distinct()
+    rows = quads.where(F.col("p").isin(single)).select("s", "p", "o").distinct().join(members, "s", "left_semi")
+    counted = rows.groupBy(F.col("s").alias("id"), F.col("p").alias("property")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where("n > 1")
+
+
 def read_document(df: DataFrame, iri: str, table: DataFrame, output: str) -> DataFrame:
     """Bind the whole document of each bound id as JSON."""
     body = table.select(F.col("id").alias(iri), F.to_json(F.struct(*table.columns)).alias(output))
@@ -276,7 +317,7 @@ def raw_json(batch: DataFrame, body: str = "body") -> DataFrame:
 
 
 __all__ = [
-    "ClassDef", "all_documents", "assemble_documents", "delete_document", "documents_by_type", "existing_ids",
+    "ClassDef", "all_documents", "assemble_documents", "assembly_conflicts", "delete_document", "documents_by_type", "existing_ids",
     "get_document", "has_doc", "insert_conflicts", "insert_document", "list_facts", "list_rows", "missing_ids", "parse_template",
     "query_document", "raw_json", "read_document", "replace_document", "resolve_references", "triplify",
     "update_document",

@@ -36,6 +36,20 @@ def malformed_cells(cells: DataFrame) -> DataFrame:
     )
 
 
+def malformed_facts(quads: DataFrame) -> DataFrame:
+    """Problems that are lost when facts become cells: several rests or several firsts of one cell."""
+    rows = quads.where(F.col("p").isin("rdf:first", "rdf:rest")).select("s", "p", "o").distinct()
+    several = rows.groupBy(F.col("s").alias("cell"), "p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    problem = F.when(F.col("p") == "rdf:rest", "several rests").otherwise("several firsts")
+    return several.select("cell", problem.alias("problem"))
+
+
+def unplaced_cells(cells: DataFrame, positions: DataFrame) -> DataFrame:
+    """Cells without a position: those on a cycle, and those that only a cycle leads to."""
+    lost = cells.select("cell").distinct().join(positions.select("cell"), "cell", "left_anti")
+    return lost.select("cell", F.lit("on a cycle").alias("problem"))
+
+
 def list_positions(cells: DataFrame) -> DataFrame:
     """(head, pos, cell, value) of every list; cells on a cycle have no head and give no row.
 
@@ -319,6 +333,6 @@ def apply_cell_changes(cells: DataFrame, changes: DataFrame) -> DataFrame:
 
 __all__ = [
     "append", "apply_cell_changes", "cells_from_quads", "clear", "drop", "empty", "insert", "is_empty",
-    "last", "length", "list_chunks", "list_positions", "malformed_cells", "member", "nth0", "nth1", "peek",
-    "pop", "popped", "push", "slice_", "slice_values", "swap",
+    "last", "length", "list_chunks", "list_positions", "malformed_cells", "malformed_facts", "member", "nth0", "nth1", "peek",
+    "pop", "popped", "push", "slice_", "slice_values", "swap", "unplaced_cells",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -88,33 +89,48 @@ def _element_test(prop: Prop, kind: T.DataType, schema: Schema) -> Callable[[Col
     return lambda x: _any_broken(_value_rules(prop, x, kind, schema))
 
 
-def validate_documents(df: DataFrame, schema: Schema, cls: str) -> DataFrame:
-    """(id, property, rule, value) of every broken rule, in one pass over the documents.
-
-    Rules: required, type, range, form, enum, abstract, tagged_union, key. References need the target tables:
-    see ``dangling_references``.
-    """
-    definition = schema[cls]
-    props = schema.properties(cls)
+def _class_rules(
+    schema: Schema, cls: str, struct: T.StructType, at: Callable[[str], Column], prefix: str, present: Column
+) -> list[Column]:
+    """Rules of a class on the fields of a document; nested documents are checked by their own class where they are present."""
+    definition, props = schema[cls], schema.properties(cls)
+    kinds = {f.name: f.dataType for f in struct.fields}
     rules: list[Column] = []
     if definition.abstract:
-        rules.append(_violation("@type", "abstract", F.lit(cls), F.lit(True)))
+        rules.append(_violation(f"{prefix}@type", "abstract", F.lit(cls), present))
     if definition.kind == "union":
-        held = sum((F.when(F.col(p).isNotNull(), 1).otherwise(0) for p in props), F.lit(0))
-        rules.append(_violation("@type", "tagged_union", held, held != 1))
-    for prop in props.values():
-        if prop.name not in df.columns:
-            if prop.kind == "required" and definition.kind != "union":
-                rules.append(_violation(prop.name, "required", F.lit(None), F.lit(True)))
+        held = sum((F.when(at(p).isNotNull(), 1).otherwise(0) for p in props if p in kinds), F.lit(0))
+        rules.append(_violation(f"{prefix}@type", "tagged_union", held, present & (held != 1)))
+    for prop in (replace(p, name=f"{prefix}{p.name}") for p in props.values()):
+        name = prop.name.removeprefix(prefix)
+        needed = prop.kind == "required" and definition.kind != "union"
+        if name not in kinds:
+            if needed:
+                rules.append(_violation(prop.name, "required", F.lit(None), present))
             continue
-        value, kind = F.col(prop.name), df.schema[prop.name].dataType
-        if prop.kind == "required" and definition.kind != "union":
-            rules.append(_violation(prop.name, "required", F.lit(None), value.isNull()))
+        value, kind = at(name), kinds[name]
+        if needed:
+            rules.append(_violation(prop.name, "required", F.lit(None), present & value.isNull()))
         if isinstance(kind, T.ArrayType):
             broken = F.filter(value, _element_test(prop, kind.elementType, schema))
             rules.append(_violation(prop.name, "element", F.to_json(broken), F.size(broken) > 0))
-        elif not isinstance(kind, T.StructType):
+        elif isinstance(kind, T.StructType):
+            if prop.range in schema:
+                rules.extend(_class_rules(schema, prop.range, kind, value.getField, f"{prop.name}.", present & value.isNotNull()))
+        else:
             rules.extend(_value_rules(prop, value, kind, schema))
+    return rules
+
+
+def validate_documents(df: DataFrame, schema: Schema, cls: str) -> DataFrame:
+    """(id, property, rule, value) of every broken rule, in one pass over the documents.
+
+    Rules: required, type, range, form, enum, abstract, tagged_union, key; the properties of nested documents are named with
+    their path. References need the target tables:
+    see ``dangling_references``.
+    """
+    definition = schema[cls]
+    rules = _class_rules(schema, cls, df.schema, lambda name: F.col(f"`{name}`"), "", F.lit(True))
     if definition.key in ("Lexical", "Hash") and definition.key_fields and "id" in df.columns:
         make = lexical if definition.key == "Lexical" else hashed
         wanted = make(cls, definition.key_fields)

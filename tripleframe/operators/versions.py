@@ -48,6 +48,16 @@ def _comparable(value: Column, path: tuple[str, ...], kind: T.DataType, sets: Se
     return F.array_sort(F.array_distinct(value)) if unordered else value
 
 
+def _aligned(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both versions with the properties of either, nested ones included; a missing property is null."""
+    if before.schema == after.schema:
+        return before, after
+    spark = before.sparkSession
+    old = before.unionByName(spark.createDataFrame([], after.schema), allowMissingColumns=True)
+    new = after.unionByName(spark.createDataFrame([], before.schema), allowMissingColumns=True)
+    return old, new.select(*old.columns)
+
+
 def _sides(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.alias("b").join(after.alias("a"), F.col("b.id") == F.col("a.id"), "full_outer")
 
@@ -63,6 +73,7 @@ def _changed(path: tuple[str, ...], kind: T.DataType, sets: Sequence[str]) -> Co
 
 def diff_object(before: DataFrame, after: DataFrame, sets: Sequence[str] = ()) -> DataFrame:
     """(id, path, before, after) of every leaf that differs between documents with the same id."""
+    before, after = _aligned(before, after)
     both = before.alias("b").join(after.alias("a"), F.col("b.id") == F.col("a.id"))
     leaves = []
     for path, kind in leaf_paths(before.schema):
@@ -102,6 +113,7 @@ def _swap(before: Column, after: Column) -> Column:
 def diff_version(before: DataFrame, after: DataFrame, sets: Sequence[str] = ()) -> DataFrame:
     """(id, op, body) of every document that differs: ``@insert`` and ``@delete`` carry the document, ``@patch``
     the nested differences. One full outer join by id."""
+    before, after = _aligned(before, after)
     both = _sides(before, after)
     leaves = list(leaf_paths(before.schema))
     patch = _nested(

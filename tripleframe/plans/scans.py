@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripleframe.model import Graph, Var, datetime
+from tripleframe.model import Graph, Var, date, datetime
 from tripleframe.operators import combine as c
 from tripleframe.operators import documents as docs
 from tripleframe.operators import match, update
@@ -291,6 +291,51 @@ def assemble_documents(t: Tables) -> DataFrame:
     return docs.assemble_documents(graph(t, "Order", "Customer").quads(), views.SCHEMA, "Order")
 
 
+_NESTED_SQL = """(select 'Order/' || o_orderkey as id, {'status': o_orderstatus, 'price': o_totalprice} as state,
+    list_sort(list_distinct([o_orderstatus, substr(o_orderpriority, 1, 1)])) as tags,
+    [o_orderpriority, o_orderstatus, o_orderpriority] as steps from orders)"""
+
+
+@query("A12_assemble_nested", f"""select id, state.status as status, state.price as price, array_to_string(tags, '|') as tags,
+       array_to_string(steps, '|') as steps from {_NESTED_SQL}""")
+def assemble_nested(t: Tables) -> DataFrame:
+    """Documents with a nested document, a set and a list become facts, and documents again."""
+    from tripleframe.model import ClassDef, Prop, Schema
+
+    schema = Schema([
+        ClassDef("Order", (Prop("state", "State"), Prop("tags", "xsd:string", "set"), Prop("steps", "xsd:string", "list"))),
+        ClassDef("State", (Prop("status", "xsd:string"), Prop("price", "xsd:double")), subdocument=True),
+    ])
+    table = t.orders.select(
+        F.concat(F.lit("Order/"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price")).alias("state"),
+        F.array("o_orderstatus", F.substring("o_orderpriority", 1, 1)).alias("tags"),
+        F.array("o_orderpriority", "o_orderstatus", "o_orderpriority").alias("steps"),
+    )
+    facts = docs.triplify(table, schema, "Order").unionByName(docs.list_facts(table, "steps"))
+    back = docs.assemble_documents(facts, schema, "Order")
+    return back.select("id", "state.status", "state.price", F.array_join("tags", "|").alias("tags"), F.array_join("steps", "|").alias("steps"))
+
+
+@query("A9_insert_conflicts", """select 'Customer/' || c_custkey as id, 'exists' as conflict from customer where c_custkey % 3 = 0 and c_custkey % 2 = 0""")
+def insert_conflicts(t: Tables) -> DataFrame:
+    table = class_table(t, "Customer")
+    key = F.substring_index("id", "/", -1).cast("bigint")
+    return docs.insert_conflicts(table.where(key % 2 == 0), table.where(key % 3 == 0))
+
+
+@query("A9_full_replace", f"select * from {class_sql('Customer')} where segment = 'BUILDING'")
+def full_replace(t: Tables) -> DataFrame:
+    table = class_table(t, "Customer")
+    return docs.insert_document(table, table.where("segment = 'BUILDING'"), full_replace=True)
+
+
+@query("A8_has_doc", "select count(*) > 0 as held from customer where c_custkey = 42")
+def has_doc(t: Tables) -> DataFrame:
+    held = docs.has_doc(class_table(t, "Customer"), "Customer/42")
+    return t.spark.range(1).select(F.lit(held).alias("held"))
+
+
 @query(
     "A12_read_document",
     f"select x.id as doc, {json_sql('Customer')} as body from {class_sql('Customer')} x where x.segment = 'MACHINERY'",
@@ -415,6 +460,56 @@ def triple_slice(t: Tables) -> DataFrame:
     return match.triple_slice(graph(t, "Lineitem"), "v:item", "quantity", "v:q", 10, 20)
 
 
+_AMOUNTS_SQL = """(select 'Part/' || p_partkey as s, p_size::double as o from part union all
+    select 'Supplier/' || s_suppkey, s_acctbal from supplier union all select 'Order/' || o_orderkey, o_orderkey::double from orders)"""
+
+
+def _amounts(t: Tables) -> Graph:
+    """One property that three classes hold in three numeric types, and a fourth as text."""
+    def named(cls: str, key: str) -> Column:
+        return F.concat(F.lit(f"{cls}/"), F.col(key).cast("string")).alias("id")
+
+    return Graph({
+        "Part": t.part.select(named("Part", "p_partkey"), F.col("p_size").cast("int").alias("amount")),
+        "Supplier": t.supplier.select(named("Supplier", "s_suppkey"), F.col("s_acctbal").cast("double").alias("amount")),
+        "Order": t.orders.select(named("Order", "o_orderkey"), F.col("o_orderkey").cast("bigint").alias("amount")),
+        "Customer": t.customer.select(named("Customer", "c_custkey"), F.col("c_mktsegment").alias("amount")),
+    })
+
+
+@query("B6_mixed_types", f"select s, o from {_AMOUNTS_SQL} where o >= 5 and o < 40")
+def slice_mixed_types(t: Tables) -> DataFrame:
+    return match.triple_slice(_amounts(t), "v:s", "amount", "v:o", 5, 40)
+
+
+@query("B1_mixed_constant", f"select s from {_AMOUNTS_SQL} where o = 7")
+def mixed_constant(t: Tables) -> DataFrame:
+    return match.triple(_amounts(t), "v:s", "amount", 7)
+
+
+@query(
+    "B8_mixed_types",
+    """select * from (select s, o, lead(o) over (partition by s order by o) as n from (
+         select distinct 'Nation/' || s_nationkey as s, s_suppkey::double as o from supplier union
+         select distinct 'Nation/' || c_nationkey, c_acctbal from customer)) where n is not null""",
+)
+def next_mixed_types(t: Tables) -> DataFrame:
+    node = lambda c: F.concat(F.lit("Nation/"), F.col(c).cast("string")).alias("id")
+    g = Graph({
+        "Supplier": t.supplier.select(node("s_nationkey"), F.col("s_suppkey").cast("bigint").alias("value")),
+        "Customer": t.customer.select(node("c_nationkey"), F.col("c_acctbal").cast("double").alias("value")),
+    })
+    return match.triple_next(g, "v:s", "value", "v:o", "v:n")
+
+
+@query(
+    "B6_date_bounds",
+    "select 'Order/' || o_orderkey as doc, o_orderdate as d from orders where o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1995-03-01'",
+)
+def slice_date_bounds(t: Tables) -> DataFrame:
+    return match.triple_slice(graph(t, "Order"), "v:doc", "orderdate", "v:d", date("1995-01-01"), date("1995-03-01"))
+
+
 @query(
     "B6_quad_slice",
     f"select id as doc, acctbal as b from {class_sql('Customer')} where acctbal >= 0 and acctbal < 1000",

@@ -298,6 +298,40 @@ def interval_join_meets(t: Tables) -> DataFrame:
     return c.select(pairs, "v:doc", "v:month")
 
 
+#: Windows that start and end with months, and others: which hold of (a, b) against (m0, m1) for each relation.
+_RELATION_SQL = {
+    "starts": "a = m0 and b < m1", "started_by": "a = m0 and b > m1", "finishes": "b = m1 and a > m0", "finished_by": "b = m1 and a < m0",
+    "equals": "a = m0 and b = m1", "during": "a > m0 and b < m1", "contains": "a < m0 and b > m1",
+    "overlaps": "a < m0 and b > m0 and b < m1", "overlapped_by": "a > m0 and a < m1 and b > m1", "met_by": "a = m1",
+}
+_WINDOWS_SQL = f"""(select doc, a, case doc % 4 when 0 then date_trunc('month', a) + interval 1 month when 1 then a + interval 3 day else a + interval 40 day end as b
+    from (select o_orderkey as doc, case when o_orderkey % 2 = 0 then date_trunc('month', o_orderdate) else o_orderdate end as a from orders))"""
+
+
+def _relation_join(relation: str) -> None:
+    @query(
+        f"JN3_relation_{relation}",
+        f"select doc, month from {_WINDOWS_SQL} join (select month, opens as m0, closes as m1 from {MONTHS_SQL} m) on {_RELATION_SQL[relation]}",
+    )
+    def run(t: Tables) -> DataFrame:
+        begin = F.when(F.col("o_orderkey") % 2 == 0, F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")).otherwise(F.col("o_orderdate").cast("timestamp_ntz"))
+        ends = F.expr("case doc % 4 when 0 then add_months(cast(date_trunc('month', a) as date), 1) when 1 then a + interval 3 day else a + interval 40 day end")
+        windows = t.orders.select(F.col("o_orderkey").alias("doc"), begin.alias("a")).withColumn("b", ends.cast("timestamp_ntz"))
+        pairs = c.interval_join(windows, _months(t), relation, ("a", "b"), ("opens", "closes"), width=30 * 86_400)
+        return c.select(pairs, "v:doc", "v:month")
+
+
+for _relation in _RELATION_SQL:
+    _relation_join(_relation)
+
+
+@query("C3_mixed", "select 0 as n")
+def eq_mixed(t: Tables) -> DataFrame:
+    """Text and numbers are never equal."""
+    df = t.orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderkey").cast("string").alias("text"))
+    return agg.count(c.eq(df, "v:key", "v:text"), "v:n")
+
+
 @query(
     "JN4_opt",
     """select c_custkey as customer, o_orderkey as doc from customer
