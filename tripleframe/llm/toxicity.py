@@ -1,6 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A document is the set of its hashed terms: its words in lower case, and their beginnings, which catch compounds. The score is
+A document is the set of its hashed terms: its words in lower case; the beginnings of words, which catch compounds; and the
+beginnings that several of its words share and that make up a hundredth or a fiftieth of all of them. The score is
 the logistic of a bias, the weights of the terms, and the inner products of the latent vectors of all pairs of terms, so a
 word that is harmless alone can count next to another. The sum over pairs follows from the sum and the squares of the
 vectors, in time linear in the number of terms. Terms whose share among toxic and other documents of the sample does not
@@ -33,7 +34,7 @@ LATENT = 4
 #: Labelled rows of each class that are learned from, at most.
 SAMPLE = 3000
 #: Lengths of the beginnings of words that are terms.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6)
 #: Standard errors by which the shares of a term must differ.
 SIGNIFICANT = 5.0
 EPOCHS = 20
@@ -49,30 +50,48 @@ MEMO_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _dense(term: int, level: int) -> int:
+    """The term for a beginning that is frequent in the document."""
+    return (term * 2654435761 + level * 40503) % TERMS
+
+
 class Terms:
-    """Hashed terms of texts, with a bounded memo by word; only those in ``keep``, if it is given."""
+    """Hashed terms of texts, with a bounded memo by word; only those that matter to ``keep``, if it is given."""
 
     def __init__(self, keep: np.ndarray | None = None):
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
         self.keep = None if keep is None else set(keep.tolist())
 
-    def _of(self, word: str) -> tuple[int, ...]:
-        names = ["=" + word, *(f"{n}{word[:n]}" for n in BEGINNINGS if len(word) > n)]
-        hashed = [zlib.crc32(n.encode()) % TERMS for n in names]
-        found = tuple(t for t in hashed if self.keep is None or t in self.keep)
+    def _of(self, word: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """(terms of the word, those of them that are beginnings)."""
+        own = zlib.crc32(("=" + word).encode()) % TERMS
+        begins = [zlib.crc32(f"{n}{word[:n]}".encode()) % TERMS for n in BEGINNINGS if len(word) >= n]
+        if self.keep is not None:
+            begins = [b for b in begins if self.keep & {b, _dense(b, 1), _dense(b, 2)}]
+        entry = (own, *begins) if self.keep is None or own in self.keep else tuple(begins), tuple(begins)
         if len(self.memo) >= MEMO_WORDS:
             self.memo.clear()
         if len(word) <= 64:
-            self.memo[word] = found
-        return found
+            self.memo[word] = entry
+        return entry
 
     def __call__(self, text: str) -> np.ndarray:
         """Sorted distinct terms of a text."""
-        known, of, found = self.memo.get, self._of, set()
-        for word in set(_WORD.findall(text.lower())):
-            terms = known(word)
-            if terms := of(word) if terms is None else terms:
+        known, of = self.memo.get, self._of
+        found: set[int] = set()
+        counts: dict[int, int] = {}
+        words = _WORD.findall(text.lower())
+        for word, n in Counter(words).items():
+            terms, begins = known(word) or of(word)
+            if terms:
                 found.update(terms)
+                for b in begins:
+                    counts[b] = counts.get(b, 0) + n
+        for b, n in counts.items():
+            if n >= 2 and n * 100 >= len(words):
+                found.add(_dense(b, 1))
+                if n * 50 >= len(words):
+                    found.add(_dense(b, 2))
         return np.array(sorted(found), dtype=np.int32)
 
 
