@@ -127,17 +127,16 @@ def train(docs: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, rate:
     """Fit by AdaGrad on the logistic loss; classes weigh alike."""
     rng = np.random.default_rng(seed)
     sizes = np.array([len(d) for d in docs])
-    terms, flat = np.unique(np.concatenate(docs), return_inverse=True)
-    support = np.bincount(flat, minlength=len(terms))
-    own = np.repeat(toxic, sizes)
-    rate_1, rate_0 = np.bincount(flat, own, len(terms)) / toxic.sum(), np.bincount(flat, 1 - own, len(terms)) / (1 - toxic).sum()
+    flat = np.concatenate(docs)
+    support, in_toxic = np.bincount(flat, minlength=TERMS), np.bincount(flat[np.repeat(toxic == 1, sizes)], minlength=TERMS)
+    rate_1, rate_0 = in_toxic / toxic.sum(), (support - in_toxic) / (1 - toxic).sum()
     pooled = support / len(docs)
     error = np.sqrt(pooled * (1 - pooled) * (1 / toxic.sum() + 1 / (1 - toxic).sum()))
     kept = (support >= 4) & (np.abs(rate_1 - rate_0) >= SIGNIFICANT * error)
-    renumber = np.cumsum(kept) - 1
+    renumber = np.cumsum(kept, dtype=np.int32) - 1
     use = kept[flat]
     owner = np.repeat(np.arange(len(docs)), sizes)[use]
-    flat, terms = renumber[flat][use], terms[kept]
+    flat, terms = renumber[flat[use]], np.flatnonzero(kept).astype(np.int32)
     starts = np.searchsorted(owner, np.arange(len(docs) + 1))
     n = len(terms)
     w, v, bias = np.zeros(n), rng.normal(0, 0.01, (n, LATENT)), 0.0
@@ -209,12 +208,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
 
     def make() -> Callable[[list[str]], dict[str, pa.Array]]:
         terms = Terms()
-        return lambda texts: {"terms": pa.array([terms(t) for t in texts], pa.list_(pa.int32()))}
+        return lambda texts: {"terms": pa.array([terms(t).tobytes() for t in texts], pa.binary())}
 
-    learned = map_text(rows, "text", "terms array<int>", make).orderBy("doc_id").toPandas()
+    learned = map_text(rows, "text", "terms binary", make).orderBy("doc_id").toPandas()
     if learned["toxic"].nunique() < 2:
         return Machine(0.0, np.empty(0, np.int32), np.empty(0), np.empty((0, LATENT)))
-    return calibrated([np.asarray(t, dtype=np.int32) for t in learned["terms"]], learned["toxic"].to_numpy())
+    return calibrated([np.frombuffer(t, np.int32) for t in learned["terms"]], learned["toxic"].to_numpy())
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
