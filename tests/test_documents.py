@@ -294,8 +294,14 @@ def test_ntriples(spark):
     lines = triples.to_ntriples(quads)
     assert rows(triples.from_ntriples(lines).select(*quads.columns)) == rows(quads)
     text = spark.createDataFrame([("# note",), ("",), ('<a> <p> "x"@en .',), ("junk",)], "value string")
-    assert rows(triples.from_ntriples(text).select("o", "o_type")) == [("x", "xsd:string")]
+    assert rows(triples.from_ntriples(text).select("o", "o_type")) == [("x", "@en")]
     assert rows(triples.bad_lines(text)) == [("junk",)]
+    odd = spark.createDataFrame([('_:a <p> "chat"@fr .',), ("<s> <p> _:a . # note",), ('<s> <p> <> .',), ('<s> <p> "" .',)], "value string")
+    held = triples.from_ntriples(odd)
+    assert rows(held.select("s", "o", "o_kind", "o_type")) == sorted(
+        [("_:a", "chat", "data", "@fr"), ("s", "_:a", "node", None), ("s", "", "node", None), ("s", "", "data", "xsd:string")], key=repr
+    )
+    assert rows(triples.from_ntriples(triples.to_ntriples(held))) == rows(held) and triples.bad_lines(odd).count() == 0
     iris = spark.createDataFrame([("type",), ("xsd:date",), ("other:x",), ("plain",)], "i string")
     full = iris.select("i", triples.expand(F.col("i"), triples.PREFIXES, triples.SHORT_NAMES).alias("f"))
     back = {r.i: r.b for r in full.select("i", triples.compact(F.col("f"), triples.PREFIXES).alias("b")).collect()}

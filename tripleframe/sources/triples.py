@@ -1,4 +1,8 @@
-"""Facts as N-Triples text, and expansion of prefixed names."""
+"""Facts as N-Triples text, and expansion of prefixed names.
+
+Blank nodes keep their ``_:`` name. A language tag is the type of its text, as ``@en``. Lines that cannot be read are rows of
+``bad_lines``.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from tripleframe.model import QUAD_COLUMNS
 from tripleframe.operators.update import shadows
 
 # Fixed pattern: one N-Triples line.
-_LINE = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@[A-Za-z0-9-]+)?)\s*\.\s*$'
+_LINE = r'^\s*(<[^>]*>|_:[^\s<>]+)\s+<([^>]*)>\s+(?:(<[^>]*>|_:[^\s<>]+)|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|(@[A-Za-z0-9-]+))?)\s*\.\s*(?:#.*)?$'
 
 # Short names of common terms.
 SHORT_NAMES: dict[str, str] = {
@@ -66,9 +70,11 @@ def to_ntriples(quads: DataFrame) -> DataFrame:
     """One N-Triples line per fact."""
 
     def iri(c: str) -> Column:
-        return F.concat(F.lit("<"), F.col(c), F.lit(">"))
+        name = F.col(c)
+        return F.when(name.startswith("_:"), name).otherwise(F.concat(F.lit("<"), name, F.lit(">")))
 
-    typed = F.concat(F.lit('"'), _escape(F.col("o")), F.lit('"^^'), iri("o_type"))
+    mark = F.when(F.col("o_type").startswith("@"), F.col("o_type")).otherwise(F.concat(F.lit("^^"), iri("o_type")))
+    typed = F.concat(F.lit('"'), _escape(F.col("o")), F.lit('"'), mark)
     obj = F.when(F.col("o_kind") == "node", iri("o")).otherwise(typed)
     return quads.select(F.concat_ws(" ", iri("s"), iri("p"), obj, F.lit(".")).alias("value"))
 
@@ -76,15 +82,20 @@ def to_ntriples(quads: DataFrame) -> DataFrame:
 def from_ntriples(lines: DataFrame, graph: str = "instance") -> DataFrame:
     """Facts of N-Triples lines; blank lines and comments are skipped."""
     line = F.col("value")
+
+    def name(group: int) -> Column:
+        held = F.regexp_extract(line, _LINE, group)
+        return F.when(held.startswith("<"), held.substr(F.lit(2), F.length(held) - 2)).otherwise(held)
+
     rows = lines.where(line.rlike(_LINE)).select(
         F.lit(graph).alias("graph"),
-        F.regexp_extract(line, _LINE, 1).alias("s"),
+        name(1).alias("s"),
         F.regexp_extract(line, _LINE, 2).alias("p"),
-        F.regexp_extract(line, _LINE, 3).alias("_node"),
+        name(3).alias("_node"),
         F.regexp_extract(line, _LINE, 4).alias("_text"),
-        F.regexp_extract(line, _LINE, 5).alias("_type"),
-        # The mark after the predicate tells a node from a literal, even an empty one.
-        line.rlike(r"^\s*<[^>]*>\s+<[^>]*>\s+<").alias("_is_node"),
+        F.concat(F.regexp_extract(line, _LINE, 5), F.regexp_extract(line, _LINE, 6)).alias("_type"),
+        # A node is never the empty text, but its brackets may hold nothing.
+        (F.regexp_extract(line, _LINE, 3) != "").alias("_is_node"),
     )
     node = F.col("_is_node")
     typed = F.when(F.col("_type") == "", F.lit("xsd:string")).otherwise(F.col("_type"))
