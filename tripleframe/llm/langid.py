@@ -195,11 +195,11 @@ def train(texts: list[bytes], labels: list[str], steps: int = STEPS, rate: float
     return net
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
-    """Learn from rows (text, lang): an excerpt at a hashed place of each of at most ``sample`` rows. None without rows."""
+def fit(docs: DataFrame, sample: int = SAMPLE, key: str = "doc_id") -> Network | None:
+    """Learn from rows (key, text, lang): an excerpt at a hashed place of each of at most ``sample`` rows. None without rows."""
     usable = docs.where("text IS NOT NULL AND lang IS NOT NULL AND text <> ''")
     place = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1).cast("int") + 1
-    rows = bounded_sample(usable.select("lang", F.substring("text", place, F.lit(EXCERPT)).alias("excerpt")), sample, "excerpt", "lang")
+    rows = bounded_sample(usable.select(F.col(key).alias("_key"), "lang", F.substring("text", place, F.lit(EXCERPT)).alias("excerpt")), sample, "_key", "excerpt", "lang")
     if rows.empty:
         return None
     return train([t.encode() for t in rows["excerpt"]], list(rows["lang"]))

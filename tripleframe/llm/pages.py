@@ -344,9 +344,9 @@ def learn(pages: list[str], seed: int = 5) -> TreeModel:
     return train(trees, labels)
 
 
-def fit(df: DataFrame, column: str = "html", sample: int = SAMPLE) -> TreeModel:
+def fit(df: DataFrame, column: str = "html", sample: int = SAMPLE, key: str = "page_id") -> TreeModel:
     """Learn from at most ``sample`` pages, those of the smallest hash; longer ones than 20,000 characters are left aside."""
-    rows = bounded_sample(df.where(F.length(column) <= 20_000).select(column), sample, column)
+    rows = bounded_sample(df.where(F.length(column) <= 20_000).select(key, column), sample, key, column)
     return learn(list(rows[column]))
 
 

@@ -97,7 +97,7 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of each document; learned from documents whose id's CRC-32 does not leave 2 modulo 4."""
     docs = table(spark, folder, "documents")
     held_out = remainder(F.col("doc_id"), 4) == 2
-    net = langid.fit(docs.where(~held_out).select("text", "lang"))
+    net = langid.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), net)
 
 
