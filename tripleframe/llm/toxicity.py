@@ -126,18 +126,18 @@ class Machine:
 def train(docs: list[np.ndarray], toxic: np.ndarray, epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-3, seed: int = 7) -> Machine:
     """Fit by AdaGrad on the logistic loss; classes weigh alike."""
     rng = np.random.default_rng(seed)
-    sizes = np.array([len(d) for d in docs])
-    flat = np.concatenate(docs)
-    support, in_toxic = np.bincount(flat, minlength=TERMS), np.bincount(flat[np.repeat(toxic == 1, sizes)], minlength=TERMS)
+    support, in_toxic = np.zeros(TERMS, np.int32), np.zeros(TERMS, np.int32)
+    for terms, label in zip(docs, toxic, strict=True):  # terms of a document are distinct
+        support[terms] += 1
+        if label:
+            in_toxic[terms] += 1
     rate_1, rate_0 = in_toxic / toxic.sum(), (support - in_toxic) / (1 - toxic).sum()
     pooled = support / len(docs)
     error = np.sqrt(pooled * (1 - pooled) * (1 / toxic.sum() + 1 / (1 - toxic).sum()))
     kept = (support >= 4) & (np.abs(rate_1 - rate_0) >= SIGNIFICANT * error)
     renumber = np.cumsum(kept, dtype=np.int32) - 1
-    use = kept[flat]
-    owner = np.repeat(np.arange(len(docs)), sizes)[use]
-    flat, terms = renumber[flat[use]], np.flatnonzero(kept).astype(np.int32)
-    starts = np.searchsorted(owner, np.arange(len(docs) + 1))
+    used = [renumber[d[kept[d]]] for d in docs]
+    flat, starts, terms = np.concatenate(used), np.cumsum([0, *map(len, used)]), np.flatnonzero(kept).astype(np.int32)
     n = len(terms)
     w, v, bias = np.zeros(n), rng.normal(0, 0.01, (n, LATENT)), 0.0
     gw, gv, gb = np.full(n, 1e-2), np.full((n, LATENT), 1e-2), 1e-2
