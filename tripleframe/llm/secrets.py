@@ -63,9 +63,10 @@ BASE = (
 )
 #: Kinds beyond the base ones: key blocks, signed tokens, credentials in addresses, and tokens with a fixed prefix.
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(-----END [A-Z ]*PRIVATE KEY-----)?"),
+    # To its END line, whatever is between but another block's BEGIN; without one, header lines and the letters that follow.
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----|(?:\s*[A-Za-z-]+: [^\r\n]*)*[A-Za-z0-9+/=\s]*)"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url", r"://[^\s/:@]{1,64}:[^\s/:@]{3,128}@[A-Za-z0-9.-]+"),
+    Rule("url", r"://[^\s/:@]+:[^\s/:@]{3,}@[A-Za-z0-9.-]+"),
     Rule("bearer", r"Bearer [A-Za-z0-9._~+/-]{16,}=*"),
     Rule("prefixed", r"(ghp_|gho_|ghs_|github_pat_|glpat-|xoxb-|xoxp-|sk_live_|rk_live_|AIza|npm_)[A-Za-z0-9_-]{20,}"),
 )
