@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripleframe.llm import langid, mixing, pages, pieces, search, secrets, simhash, suffixes, toxicity, vectors
+from tripleframe.llm import langid, mixing, negatives, pages, pieces, search, secrets, simhash, suffixes, toxicity, urls, vectors
 from tripleframe.llm.common import remainder, table
 from tripleframe.session import cut
 
@@ -183,3 +183,107 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number of pieces of each document, and hashes of its ids and of the text decoded from them."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return digests(pieces.encode_documents(docs, piece_model()))
+
+
+@query("op12_hard_negatives", """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r
+), positives AS (
+  SELECT a, anchor_id, b, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.a = s.a AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY p.a, p.b ORDER BY score DESC, id NULLS LAST)
+QUALIFY row_number() OVER best <= 3
+""")
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The three hardest rows of other labels for each anchor and each of its five best rows of its own label."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def _listed(values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+#: The rules of the URL query.
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+_BY_LENGTH = sorted(URL_RULES, key=lambda r: -len(r.name))
+
+
+def _first_rule(value: str) -> str:
+    arms = [f"WHEN ends_with('.' || host, '.{r.host}') AND starts_with(path, '{r.path}') THEN '{getattr(r, value)}'" for r in _BY_LENGTH]
+    return f"CASE {' '.join(arms)} END"
+
+
+def _number_sql(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
+def _cut_sql(source: str, *more: str) -> str:
+    host = "translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = "regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+    return f"SELECT {', '.join(more)}, {host} AS host, {path} AS path FROM {source}"
+
+
+def _terms_sql(source: str, key: str) -> str:
+    return f"""
+  SELECT DISTINCT {key}, {_number_sql("substr(s, CAST(i AS INT), CAST(n AS INT))")} % {urls.BUCKETS} AS b
+  FROM (SELECT {key}, host || path AS s FROM {source}) CROSS JOIN (SELECT unnest({list(urls.SIZES)}) AS n), unnest(range(1, length(s) - n + 2)) AS u(i)
+  UNION ALL SELECT {key}, {urls.BUCKETS} FROM {source}"""
+
+
+@query("op13_url_filter", f"""
+WITH RECURSIVE words AS (
+  SELECT unnest({_listed(urls.BLOCKED)}) AS word, 1 AS blocked UNION ALL SELECT unnest({_listed(urls.ORDINARY)}), 0
+), mates AS (SELECT unnest({_listed(urls.EITHER)}) AS e, TRUE AS free UNION ALL SELECT unnest({_listed(urls.ORDINARY)}), FALSE
+), names AS (
+  SELECT blocked, word AS name FROM words
+  UNION ALL SELECT blocked, CASE WHEN {_number_sql("e || ' ' || word")} % 2 = 0 THEN word || '-' || e ELSE e || '-' || word END
+  FROM words JOIN mates ON e <> word AND (free OR blocked = 0) AND {_number_sql("word || ' ' || e")} % 2 = 0
+), labelled AS (
+  SELECT row_number() OVER (ORDER BY name) AS r, blocked AS y,
+         'https://' || {_listed(urls.FIRST)}[h % 4 + 1] || name || {_listed(urls.ENDS)}[h // 16 % 3 + 1] || {_listed(urls.PATHS)}[h // 256 % 5 + 1] AS url
+  FROM (SELECT *, {_number_sql("name")} AS h FROM names)
+), known AS ({_cut_sql("labelled", "r", "y")}
+), held AS ({_terms_sql("known", "r")}
+), sizes AS (SELECT r, 1 / sqrt(count(*)) AS v FROM held GROUP BY r
+), w AS (
+  SELECT 0 AS step, b, 0.0::DOUBLE AS weight FROM (SELECT DISTINCT b FROM held)
+  UNION ALL
+  SELECT w.step + 1, w.b, w.weight * (1 - {urls.RATE * urls.DECAY}) - {urls.RATE} / (SELECT count(*) FROM labelled) * g.gradient
+  FROM w JOIN (
+    SELECT held.b, sum(e.error) AS gradient
+    FROM held JOIN (
+      SELECT known.r, any_value(v) * (1 / (1 + exp(-any_value(v) * sum(w.weight))) - any_value(y)) AS error
+      FROM w JOIN held USING (b) JOIN sizes USING (r) JOIN known USING (r) GROUP BY known.r
+    ) e USING (r) GROUP BY held.b
+  ) g USING (b) WHERE w.step < {urls.STEPS}
+), crawl AS ({_cut_sql("pages", "page_id", "row_number() OVER () AS k")}
+), seen AS ({_terms_sql("crawl", "k")}
+), scored AS (
+  SELECT k, sum(coalesce(weight, 0)) / sqrt(count(*)) AS logit
+  FROM seen LEFT JOIN (SELECT b, weight FROM w WHERE step = {urls.STEPS}) USING (b) GROUP BY k
+)
+SELECT page_id, host, path, {_first_rule("name")} AS rule,
+       coalesce({_first_rule("verdict")}, CASE WHEN logit > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM crawl JOIN scored USING (k)
+""")
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path and verdict of each page's URL: of the longest rule that fits, or of the regression."""
+    weights = urls.fit(urls.labelled_urls(spark))
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url"), weights, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
