@@ -23,6 +23,9 @@ COLUMNS = {
     8: ["doc_id", "held_out", "score", "predicted"],
     9: ["item_id", "rank", "doc_id", "score"],
     10: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    11: ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps"],
+    12: ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    13: ["page_id", "host", "path", "rule", "verdict"],
 }
 
 
@@ -43,8 +46,8 @@ def test_query(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     assert df.columns == COLUMNS[number(name)]
     found = [tuple(r) for r in df.collect()]
-    if number(name) != 9:
-        whole = {4: "embeddings", 6: "pages"}.get(number(name), "documents")
+    if number(name) not in (9, 12):
+        whole = {4: "embeddings", 6: "pages", 13: "pages"}.get(number(name), "documents")
         assert len(found) == spark.read.parquet(f"{FOLDER}/{whole}.parquet").count()
     if name in ORACLES:
         # Values are compared as text: equal numbers of both engines print alike.

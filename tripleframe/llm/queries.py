@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripleframe.llm import langid, mixing, negatives, pages, pieces, search, secrets, simhash, suffixes, toxicity, urls, vectors
+from tripleframe.llm import align, langid, mixing, negatives, pages, pieces, search, secrets, simhash, suffixes, toxicity, urls, vectors
 from tripleframe.llm.common import remainder, table
 from tripleframe.session import cut
 
@@ -16,6 +16,8 @@ ORACLES: dict[str, str] = {}
 
 #: The public tokenizer of the encoding query; the package that holds its file is installed on every machine.
 PIECE_MODEL = "piece_bpe_32k.model"
+#: The tokenizer that the alignment query holds against it.
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def query(name: str, sql: str | None = None):
@@ -30,11 +32,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def piece_model() -> str:
-    """Path of the public tokenizer's file."""
+def piece_model(name: str = PIECE_MODEL) -> str:
+    """Path of a public tokenizer's file."""
     import public_tokenizers
 
-    return public_tokenizers.path(PIECE_MODEL)
+    return public_tokenizers.path(name)
 
 
 def digests(coded: DataFrame, *more: str) -> DataFrame:
@@ -185,6 +187,14 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return digests(pieces.encode_documents(docs, piece_model()))
 
 
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of either tokenizer, groups and links of each document, how its links compare corpus-wide, and a hash of the groups."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("long"), "text")
+    told = align.align(docs, piece_model(BYTE_MODEL), piece_model())
+    return told.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
 @query("op12_hard_negatives", """
 WITH v AS (
   SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
