@@ -99,6 +99,15 @@ def test_odd_texts(spark, monkeypatch, large):
     assert found[4][1:] == (0, 0, 0, 0, 0, 0, "") and found[6][1] > 0
 
 
+def test_both_libraries_code_alike():
+    fast, own = (align.Coders(piece_model(BYTE_MODEL), piece_model(), ranked) for ranked in (True, False))
+    assert fast.ranked is not None
+    rnd = random.Random(3)
+    signs = [" ", "  ", "\t", "\r\n", "\x85", "\u2003", "'s", "'S", "’s", "a", "B", "é", "日本", "٣", "Ⅷ", "²", "😀", "\u200d", "!", "<|endoftext|>", "\0", "\u0301", "1"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randrange(1, 15))) for _ in range(3000)]
+    assert fast.code(texts) == own.code(texts)
+
+
 def test_table(spark):
     rows = [tuple(r) for r in table(spark, FOLDER, "documents").select("doc_id", "text").collect()]
     assert all(r[1] > 0 for r in compare(spark, rows) if r[3])

@@ -22,6 +22,8 @@ Ties for the highest count all count. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import json
 import os
 from collections.abc import Iterator
 
@@ -37,7 +39,9 @@ from tripleframe.session import cut
 #: Steps of a piece of the merge.
 WIDTH = 64
 #: Texts and bytes of a block, at most; a longer text is a block of its own.
-TEXTS, BYTES = 8192, 4 << 20
+TEXTS, BYTES = 8192, 2 << 20
+# Fixed value: how byte-level files cut a text into words before they merge.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Link occurrences of a group from which its pairs come from distinct ids.
 LARGE = 256
 #: Dictionary entries in a row.
@@ -110,10 +114,29 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+def ranked_coder(path: str, bytes_of: dict[str, int]):
+    """A coder of the ``tiktoken`` library for a byte-level file, none where that library would not give the file's ids.
+
+    It gives them if ids rank as merges do, words are cut by the usual expression, and the text is not changed before.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    model, cutter = told["model"], told.get("pre_tokenizer") or {}
+    vocabulary = {byte_level(t, bytes_of): i for t, i in model["vocab"].items() if t not in {a["content"] for a in told.get("added_tokens", [])}}
+    merged = [m.split(" ", 1) if isinstance(m, str) else m for m in model.get("merges") or []]
+    ranks = [model["vocab"].get(x + y) for x, y in merged]
+    plain = told.get("normalizer") is None and (cutter.get("type"), cutter.get("add_prefix_space"), cutter.get("use_regex", True)) == ("ByteLevel", False, True)
+    if not plain or None in ranks or ranks != sorted(ranks) or len(vocabulary) != len(merged) + 256 or model.get("dropout") or model.get("ignore_merges"):
+        return None
+    return tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=vocabulary, special_tokens={})
+
+
 class Coders:
     """Both tokenizers of a task, with the bytes of their tokens."""
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, ranked: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
@@ -122,6 +145,7 @@ class Coders:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         vocabulary, bytes_of = self.a.get_vocab(), byte_characters()
+        self.ranked = ranked_coder(a_path, bytes_of) if ranked else None
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_a[i] = byte_level(token, bytes_of)
@@ -132,14 +156,16 @@ class Coders:
 
     def code(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """A's and B's ids of each text, none where the bytes do not fit."""
-        spaced = [" " + t for t in texts]
-        found_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        found_b = self.b.encode(texts, num_threads=1)
         out: list[tuple[list[int], list[int]] | None] = []
-        for text, whole, a, b in zip(texts, spaced, found_a, found_b, strict=True):
-            data = whole.encode()
-            fits = text and b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
-            out.append((a, b) if fits else None)
+        # The library of the file keeps much about each token, so it gets few texts at a time.
+        for at in range(0, len(texts), 32):
+            some = texts[at : at + 32]
+            spaced = [" " + t for t in some]
+            found_a = [self.ranked.encode_ordinary(t) for t in spaced] if self.ranked else [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+            for text, whole, a, b in zip(some, spaced, found_a, self.b.encode(some, num_threads=1), strict=True):
+                data = whole.encode()
+                fits = text and b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
+                out.append((a, b) if fits else None)
         return out
 
 
@@ -167,7 +193,7 @@ def _block(coders: Coders, texts: list[str], block: int, rows: pa.Array) -> Iter
     """The documents of a block, then its dictionary."""
     coded = coders.code(texts)
     counts = np.array([[len(c[0]), len(c[1])] if c else [0, 0] for c in coded], np.int64).reshape(-1, 2)
-    a_ids, b_ids = (np.fromiter((i for c in coded if c for i in c[side]), np.int64, int(counts[:, side].sum())) for side in (0, 1))
+    a_ids, b_ids = (np.fromiter(itertools.chain.from_iterable(c[side] for c in coded if c), np.int64, int(counts[:, side].sum())) for side in (0, 1))
     # Texts laid end to end: both sides have the same bytes, so a group never crosses two texts.
     of_a, of_b, over_a, _ = merge(np.cumsum(coders.sizes_a[a_ids]), np.cumsum(coders.sizes_b[b_ids]))
     doc_a = np.repeat(np.arange(len(texts)), counts[:, 0])
