@@ -14,6 +14,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where the split costs a shuffle after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows may be long; what goes to Python at once is held by both processes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
 }
 
 _local_dirs: dict[str, str] = {}
