@@ -116,25 +116,57 @@ def change_counts(t: Tables) -> DataFrame:
 
 # Versions ---------------------------------------------------------------------------------------------
 
-_DOC = ["id", "customer", "status", "totalprice", "priority"]
+_DOC = ["id", "customer", "status", "totalprice", "priority", "orderdate"]
 _COLS = ", ".join(_DOC)
+# The later version moves some dates by a day, the other branch some of these and others by two.
+_MOVED = "priority = '5-LOW' and totalprice > 200000"
+_MOVED_OTHER = "priority = '5-LOW' and (totalprice > 300000 or totalprice < 50000)"
 _B = f"(select {_COLS} from {views.order_documents_sql('orders')})"
-_A = f"(select {_COLS} from {views.order_documents_sql(views.ORDERS_AFTER_SQL)})"
+_A = f"""(select {", ".join(_DOC[:-1])}, case when {_MOVED} then orderdate + interval 1 day else orderdate end as orderdate
+  from {views.order_documents_sql(views.ORDERS_AFTER_SQL)})"""
 # Another branch: expensive finished orders carry another status and expensive pending ones are gone.
 _OTHER_WHERE = "totalprice > 400000"
-_T = f"(select id, customer, case when {_OTHER_WHERE} and status = 'F' then 'Z' else status end as status, totalprice, priority from {_B} where not ({_OTHER_WHERE} and status = 'P'))"
-_SWAP = """'{"status":{"@op":"SwapValue","@before":"' || b.status || '","@after":"' || a.status || '"}}'"""
+_T = f"""(select id, customer, case when {_OTHER_WHERE} and status = 'F' then 'Z' else status end as status, totalprice, priority,
+  case when {_MOVED_OTHER} then orderdate + interval 2 day else orderdate end as orderdate from {_B} where not ({_OTHER_WHERE} and status = 'P'))"""
+
+
+def _told(value: str) -> str:
+    """A date as the JSON of a document has it; paths and their values have the plain text of a cast."""
+    return f"strftime({value}, '%Y-%m-%dT%H:%M:%S.000')"
+
+
+_CHANGED = "(a.status <> b.status or a.orderdate <> b.orderdate)"
+
+
+def _changed_json(status: str, date: str) -> str:
+    """A JSON object with what changed of the status and the date."""
+    parts = f"case when a.status <> b.status then '\"status\":' || {status} end, case when a.orderdate <> b.orderdate then '\"orderdate\":' || {date} end"
+    return f"'{{' || concat_ws(',', {parts}) || '}}'"
+
+
+def _swap(before: str, after: str) -> str:
+    return f"""'{{"@op":"SwapValue","@before":"' || {before} || '","@after":"' || {after} || '"}}'"""
+
+
+def _quoted(value: str) -> str:
+    return f"""'"' || {value} || '"'"""
+
+
+_SWAP = _changed_json(_swap("b.status", "a.status"), _swap(_told("b.orderdate"), _told("a.orderdate")))
 
 
 def _doc_json(alias: str) -> str:
-    return "json_object(" + ", ".join(f"'{c}', {alias}.{c}" for c in _DOC) + ")::varchar"
+    return "json_object(" + ", ".join(f"'{c}', " + (_told(f"{alias}.{c}") if c == "orderdate" else f"{alias}.{c}") for c in _DOC) + ")::varchar"
 
 
 def _docs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    moved = lambda df, where, days: df.withColumn("orderdate", F.when(F.expr(where), F.expr(f"orderdate + interval {days} days")).otherwise(F.col("orderdate")))
     before, after = (df.select(*_DOC) for df in _versions(t))
+    after = moved(after, _MOVED, 1)
     other = before.where(f"not ({_OTHER_WHERE} and status = 'P')").withColumn(
         "status", F.when(F.expr(_OTHER_WHERE) & (F.col("status") == "F"), "Z").otherwise(F.col("status"))
     )
+    other = moved(other, _MOVED_OTHER, 2)
     return before, after, other
 
 
@@ -142,7 +174,7 @@ def _docs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     "J1_diff_version",
     f"""select coalesce(b.id, a.id) as id, case when b.id is null then '@insert' when a.id is null then '@delete' else '@patch' end as op,
           case when b.id is null then {_doc_json('a')} when a.id is null then {_doc_json('b')} else {_SWAP} end as body
-        from {_B} b full join {_A} a on a.id = b.id where b.id is null or a.id is null or a.status <> b.status""",
+        from {_B} b full join {_A} a on a.id = b.id where b.id is null or a.id is null or {_CHANGED}""",
 )
 def diff_version(t: Tables) -> DataFrame:
     before, after, _ = _docs(t)
@@ -151,7 +183,8 @@ def diff_version(t: Tables) -> DataFrame:
 
 @query(
     "J2_diff_object",
-    f"select b.id, 'status' as path, b.status as before, a.status as after from {_B} b join {_A} a on a.id = b.id where a.status <> b.status",
+    f"""select b.id, 'status' as path, b.status as before, a.status as after from {_B} b join {_A} a on a.id = b.id where a.status <> b.status
+        union all select b.id, 'orderdate', b.orderdate::varchar, a.orderdate::varchar from {_B} b join {_A} a on a.id = b.id where a.orderdate <> b.orderdate""",
 )
 def diff_object(t: Tables) -> DataFrame:
     before, after, _ = _docs(t)
@@ -160,14 +193,15 @@ def diff_object(t: Tables) -> DataFrame:
 
 @query(
     "J3_patch",
-    f"select b.id, b.customer, coalesce(a.status, b.status) as status, b.totalprice, b.priority from {_B} b left join {_A} a on a.id = b.id",
+    f"""select b.id, b.customer, coalesce(a.status, b.status) as status, b.totalprice, b.priority, coalesce(a.orderdate, b.orderdate) as orderdate
+        from {_B} b left join {_A} a on a.id = b.id""",
 )
 def patch(t: Tables) -> DataFrame:
     before, after, _ = _docs(t)
     return versions.patch(before, versions.diff_object(before, after))
 
 
-@query("J3_patch_json", f"select b.id, {_SWAP} as patch from {_B} b join {_A} a on a.id = b.id where a.status <> b.status")
+@query("J3_patch_json", f"select b.id, {_SWAP} as patch from {_B} b join {_A} a on a.id = b.id where {_CHANGED}")
 def patch_json(t: Tables) -> DataFrame:
     before, after, _ = _docs(t)
     return versions.patch_json(versions.diff_object(before, after), before.schema)
@@ -175,7 +209,7 @@ def patch_json(t: Tables) -> DataFrame:
 
 @query(
     "J4_patch_update",
-    f"""select b.id, '{{"status":"' || a.status || '"}}' as update from {_B} b join {_A} a on a.id = b.id where a.status <> b.status""",
+    f"""select b.id, {_changed_json(_quoted("a.status"), _quoted(_told("a.orderdate")))} as update from {_B} b join {_A} a on a.id = b.id where {_CHANGED}""",
 )
 def patch_update(t: Tables) -> DataFrame:
     before, after, _ = _docs(t)
@@ -184,17 +218,26 @@ def patch_update(t: Tables) -> DataFrame:
 
 @query(
     "J4_patch_before",
-    f"""select b.id, '{{"status":"' || b.status || '"}}' as before from {_B} b join {_A} a on a.id = b.id where a.status <> b.status""",
+    f"""select b.id, {_changed_json(_quoted("b.status"), _quoted(_told("b.orderdate")))} as before from {_B} b join {_A} a on a.id = b.id where {_CHANGED}""",
 )
 def patch_before(t: Tables) -> DataFrame:
     before, after, _ = _docs(t)
     return versions.patch_before(versions.diff_object(before, after), before.schema)
 
 
+# A stored value that is neither the one before nor the one after; such a document is left alone.
+_CLASH_STATUS = "(a.status <> b.status and t.status <> b.status and t.status <> a.status)"
+_CLASH_DATE = "(a.orderdate <> b.orderdate and t.orderdate <> b.orderdate and t.orderdate <> a.orderdate)"
+_CLASH = f"({_CLASH_STATUS} or {_CLASH_DATE})"
+
+
 @query(
     "J5_patch_resource",
-    f"""select t.id, t.customer, case when a.status <> b.status and t.status = b.status then a.status else t.status end as status, t.totalprice, t.priority
-        from {_T} t left join {_B} b on b.id = t.id left join {_A} a on a.id = t.id""",
+    f"""select id, customer, case when clash or a_status is null then status else a_status end as status, totalprice, priority,
+          case when clash or a_status is null then orderdate else a_date end as orderdate
+        from (select t.*, case when a.status <> b.status then a.status else t.status end as a_status, case when a.orderdate <> b.orderdate then a.orderdate else t.orderdate end as a_date,
+                coalesce({_CLASH}, false) as clash
+              from {_T} t left join {_B} b on b.id = t.id left join {_A} a on a.id = t.id)""",
 )
 def patch_resource(t: Tables) -> DataFrame:
     before, after, other = _docs(t)
@@ -204,24 +247,26 @@ def patch_resource(t: Tables) -> DataFrame:
 @query(
     "J5_patch_conflicts",
     f"""select t.id, 'status' as path, t.status as stored, b.status as before, a.status as after
-        from {_T} t join {_B} b on b.id = t.id join {_A} a on a.id = t.id
-        where a.status <> b.status and t.status <> b.status and t.status <> a.status""",
+        from {_T} t join {_B} b on b.id = t.id join {_A} a on a.id = t.id where {_CLASH_STATUS}
+        union all select t.id, 'orderdate', t.orderdate::varchar, b.orderdate::varchar, a.orderdate::varchar
+        from {_T} t join {_B} b on b.id = t.id join {_A} a on a.id = t.id where {_CLASH_DATE}""",
 )
 def patch_conflicts(t: Tables) -> DataFrame:
     before, after, other = _docs(t)
     return versions.patch_conflicts(other, versions.diff_object(before, after))
 
 
-_MERGED = f"""(select coalesce(t.id, b.id, a.id) as id, b.id as b, a.id as a, t.id as t, b.status as bs, a.status as as_, t.status as ts,
-  coalesce(t.customer, a.customer) as customer, coalesce(t.totalprice, a.totalprice) as totalprice, coalesce(t.priority, a.priority) as priority
+_MERGED = f"""(select coalesce(t.id, b.id, a.id) as id, b.id as b, a.id as a, t.id as t, a.status as as_, t.status as ts, a.orderdate as ad, t.orderdate as td,
+  coalesce(t.customer, a.customer) as customer, coalesce(t.totalprice, a.totalprice) as totalprice, coalesce(t.priority, a.priority) as priority,
+  a.status <> b.status as s_new, a.orderdate <> b.orderdate as d_new, {_CHANGED} as a_new, (t.status <> b.status or t.orderdate <> b.orderdate) as t_new, {_CLASH} as clash
   from {_B} b full join {_A} a on a.id = b.id full join {_T} t on t.id = coalesce(b.id, a.id))"""
 
 
 @query(
     "J6_apply_difference",
-    f"""select id, customer, case when t is null then as_ when b is not null and a is not null and as_ <> bs and ts = bs then as_ else ts end as status,
-          totalprice, priority from {_MERGED}
-        where case when b is null then true when a is null then t is not null and ts <> bs else t is not null end""",
+    f"""select id, customer, case when t is null or (b is not null and a is not null and s_new and not clash) then as_ else ts end as status, totalprice, priority,
+          case when t is null or (b is not null and a is not null and d_new and not clash) then ad else td end as orderdate from {_MERGED}
+        where case when b is null then true when a is null then t is not null and t_new else t is not null end""",
 )
 def apply_difference(t: Tables) -> DataFrame:
     return versions.apply_difference(*_docs(t))
@@ -230,8 +275,7 @@ def apply_difference(t: Tables) -> DataFrame:
 @query(
     "J6_apply_conflicts",
     f"""select id, case when a is null then 'delete' when t is null then 'missing' else 'patch' end as conflict from {_MERGED}
-        where b is not null and ((a is null and t is not null and ts <> bs) or (a is not null and t is null and as_ <> bs)
-          or (a is not null and t is not null and as_ <> bs and ts <> bs and ts <> as_))""",
+        where b is not null and ((a is null and t is not null and t_new) or (a is not null and t is null and a_new) or (a is not null and t is not null and clash))""",
 )
 def apply_conflicts(t: Tables) -> DataFrame:
     return versions.apply_conflicts(*_docs(t))
@@ -448,11 +492,12 @@ def dangling_references(t: Tables) -> DataFrame:
 
 @query(
     "K2_key_changes",
-    f"select b.id, 'status' as property, 'key changed' as rule, a.status as value from {_B} b join {_A} a on a.id = b.id where a.status <> b.status",
+    f"""select b.id, 'status' as property, 'key changed' as rule, a.status as value from {_B} b join {_A} a on a.id = b.id where a.status <> b.status
+        union all select b.id, 'orderdate', 'key changed', a.orderdate::varchar from {_B} b join {_A} a on a.id = b.id where a.orderdate <> b.orderdate""",
 )
 def key_changes(t: Tables) -> DataFrame:
     before, after, _ = _docs(t)
-    return validate.key_changes(before, after, ClassDef("Order", key="Lexical", key_fields=("status", "priority")))
+    return validate.key_changes(before, after, ClassDef("Order", key="Lexical", key_fields=("status", "priority", "orderdate")))
 
 
 _FRAMED = ("Nation", "Customer", "Order")
