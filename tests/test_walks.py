@@ -159,3 +159,17 @@ def test_edits(spark):
     assert rdflist.swap(found, same).count() == 0
     assert edited(df, rdflist.clear(found, df, heads.where("head = 'long'"))) == {h: v for h, v in LISTS.items() if h != "long"}
     assert rows(rdflist.empty(spark.range(1).select(), "l")) == [("rdf:nil",)]
+
+
+def test_star_holds_nodes_without_edges(spark):
+    facts = [("instance", "n0", "a", "n1", "node", None), ("instance", "n2", "name", "x", "data", "xsd:string"), ("instance", "n3", "rdf:type", "Thing", "node", None)]
+    g = Graph({}, Schema(), spark.createDataFrame(facts, "graph string, s string, p string, o string, o_kind string, o_type string"))
+    assert rows(p.path(g, "v:s", p.star("a"), "v:o")) == [("n0", "n0"), ("n0", "n1"), ("n1", "n1"), ("n2", "n2"), ("n3", "n3")]
+
+
+def test_an_unknown_edge_gives_no_rows(spark):
+    things = spark.createDataFrame([("Thing/1", "x"), ("Thing/2", "y")], "id string, label string")
+    g = Graph({"Thing": things}, Schema())
+    assert rows(p.path(g, "v:s", "nowhere", "v:o")) == []
+    assert rows(p.path(g, "v:s", p.plus("nowhere"), "v:o")) == []
+    assert rows(p.path(g, "v:s", p.star("nowhere"), "v:o")) == [("Thing/1", "Thing/1"), ("Thing/2", "Thing/2")]

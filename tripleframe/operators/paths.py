@@ -100,10 +100,22 @@ def edges(graph: Graph, name: str | None = None) -> DataFrame:
     if facts is not None:
         parts.append(facts.where(F.col("o_kind") == "node").select("s", "p", "o"))
     if not parts:
-        raise ValueError(f"no edges named {name}")
+        held = [*graph.tables.values(), *([] if graph.facts is None else [graph.facts])]
+        if not held:
+            raise ValueError("the graph holds no tables and no facts")
+        # Nothing has such an edge.
+        return held[0].sparkSession.createDataFrame([], "s string, p string, o string")
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def nodes(graph: Graph) -> DataFrame:
+    """``src``: each document, each subject of facts, and each node that an edge leads to, once."""
+    parts = [df.select(F.col("id").cast("string").alias("src")) for df in graph.tables.values()]
+    if graph.facts is not None:
+        parts.append(graph.facts.select(F.col("s").alias("src")))
+    return reduce(lambda a, b: a.unionByName(b), [*parts, edges(graph).select(F.col("o").alias("src"))]).distinct()
+
+
 class _Walk:
     """Evaluation of a pattern over the edges of one graph."""
 
@@ -125,9 +137,7 @@ class _Walk:
         return self.held[name] if name in self.held else edges(self.graph, name)
 
     def nodes(self) -> DataFrame:
-        every = self.edges(None)
-        ids = every.select(F.col("s").alias("src")).union(every.select("o")).distinct()
-        return self.start(ids)
+        return self.start(nodes(self.graph))
 
     def start(self, seeds: DataFrame) -> DataFrame:
         out = seeds.select("src", F.col("src").alias("at"))
