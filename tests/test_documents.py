@@ -335,3 +335,94 @@ def test_cut_tables_live_until_release(spark):
     release(spark)
     with pytest.raises(Exception):
         spark.read.parquet(table.inputFiles()[0]).count()
+
+
+NESTED = Schema(
+    [
+        ClassDef("Point", (Prop("x", "xsd:double"), Prop("marks", "xsd:string", "list")), subdocument=True),
+        ClassDef("Ring", (Prop("name", "xsd:string"), Prop("points", "Point", "list"), Prop("tags", "xsd:integer", "set")), subdocument=True),
+        ClassDef("Label", (Prop("text", "xsd:string"), Prop("at", "Point")), subdocument=True),
+        ClassDef(
+            "Country",
+            (Prop("perimeter", "Point", "list"), Prop("holes", "Ring", "set"), Prop("label", "Label", "optional"), Prop("near", "Country", "list")),
+        ),
+    ]
+)
+
+
+def test_collections_of_nested_documents(spark):
+    point = lambda x, marks=None: (x, marks)
+    data = [
+        ("Country/1", [point(1.5, ["a", "a"]), None, point(None, []), point(1.5, ["a", "a"])], [], None, ["Country/2", "Country/2"]),
+        ("Country/2", [], [("r", [], [1, 2]), ("s", None, []), ("t", [point(2.0), None], [7])], ("L", point(0.1, ["m"])), []),
+        ("Country/3", None, [(None, None, [])], (None, None), None),
+        ("Country/4", [None], [], ("M", point(None)), [None]),
+    ]
+    table = spark.createDataFrame(data, NESTED.struct("Country"))
+    facts = docs.triplify(table, NESTED, "Country", lists=True)
+    assert rows(docs.assemble_documents(facts, NESTED, "Country")) == rows(table)
+    # A list on its own gives the same facts.
+    alone = docs.list_facts(table, "perimeter", schema=NESTED, cls="Country")
+    assert rows(alone) == rows(facts.where("s like '%/perimeter/%' or p = 'perimeter'"))
+    assert facts.where("s like 'Country/3%' and p = 'perimeter'").count() == 0
+    assert rows(facts.where("s = 'Country/2' and p = 'perimeter'").select("o", "o_kind")) == [("rdf:nil", "node")]
+    near = facts.where("s like 'Country/1/near/%' and p = 'rdf:first'").select("o", "o_kind")
+    assert rows(near) == [("Country/2", "node"), ("Country/2", "node")]
+
+
+def test_collections_with_missing_nested_documents(spark):
+    table = spark.createDataFrame(
+        [("Country/1", [(1.0, None), (2.0, None)], [("r", None, []), ("s", None, [])], ("L", None), None)], NESTED.struct("Country")
+    )
+    facts = docs.triplify(table, NESTED, "Country", lists=True)
+    lost = facts.where("s not in ('Country/1/perimeter/0/item', 'Country/1/holes/0', 'Country/1/label')")
+    assert rows(docs.assemble_documents(lost, NESTED, "Country")) == [
+        ("Country/1", [None, (2.0, None)], [("s", None, [])], None, None)
+    ]
+    assert rows(docs.assemble_documents(facts.where("false"), NESTED, "Country")) == []
+
+
+def test_unfolded_documents(spark):
+    schema = Schema(
+        [
+            ClassDef("City", (Prop("name", "xsd:string"),)),
+            ClassDef("Home", (Prop("city", "City"),), subdocument=True),
+            ClassDef("Person", (Prop("boss", "Person"), Prop("home", "Home"), Prop("friends", "Person", "set"))),
+            ClassDef("Clerk", (Prop("desk", "xsd:integer"),), parents=("Person",)),
+        ]
+    )
+    people = spark.createDataFrame(
+        [
+            ("Person/1", "Person/2", ("City/1",), ["Person/1", "Clerk/1"]),
+            ("Person/2", "Person/1", (None,), []),
+            ("Person/3", "Person/9", None, None),
+        ],
+        schema.struct("Person"),
+    )
+    clerks = spark.createDataFrame([("Clerk/1", 7, "Clerk/1", None, None)], schema.struct("Clerk"))
+    cities = spark.createDataFrame([("City/1", "Rome")], schema.struct("City"))
+    tables = {"Person": people, "Clerk": clerks, "City": cities}
+    body = lambda **more: {r.id: json.loads(r.body) for r in docs.all_documents(tables, schema=schema, **more).collect()}
+    once = body(unfolded=1)
+    assert once["Person/1"] == {
+        "id": "Person/1",
+        "boss": {"id": "Person/2", "boss": "Person/1", "home": {}, "friends": []},
+        "home": {"city": {"id": "City/1", "name": "Rome"}},
+        "friends": [{"id": "Person/1"}, {"id": "Clerk/1", "desk": 7, "boss": "Clerk/1"}],
+    }
+    assert once["Person/3"] == {"id": "Person/3", "boss": {"id": "Person/9"}}
+    assert once["Clerk/1"]["boss"] == {"id": "Clerk/1"}
+    deep = body(unfolded=3)
+    assert deep["Person/1"]["boss"] == {"id": "Person/2", "boss": {"id": "Person/1"}, "home": {}, "friends": []}
+    assert deep["Person/2"]["boss"]["home"] == {"city": {"id": "City/1", "name": "Rome"}}
+    assert deep["Person/2"]["boss"]["boss"] == {"id": "Person/2"}
+    assert body() == {r.id: json.loads(r.body) for r in docs.all_documents(tables).collect()}
+    spaces = {"@base": "http://d/", "c": "http://d/City/", "p": "http://p/"}
+    full = body(unfolded=1, prefixes=spaces, prefixed=False)
+    assert full["http://d/Person/1"]["home"] == {"city": {"id": "http://d/City/1", "name": "Rome"}}
+    assert full["http://d/Person/3"]["boss"] == {"id": "http://d/Person/9"}
+    short = body(unfolded=1, prefixes=spaces)
+    assert short["Person/1"] == once["Person/1"]
+    wide = docs.with_prefixes(people, schema, "Person", spaces, prefixed=False)
+    back = docs.with_prefixes(wide, schema, "Person", spaces).where("id = 'Person/1'").first()
+    assert back.home.city == "c:1" and back.boss == "Person/2" and back.friends == ["Person/1", "Clerk/1"]

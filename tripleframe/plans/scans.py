@@ -13,6 +13,7 @@ from tripleframe.operators.update import changes_between
 from tripleframe.plans import views
 from tripleframe.plans.registry import Tables, query
 from tripleframe.plans.views import class_sql, class_table, facts_sql, graph
+from tripleframe.session import cut
 from tripleframe.sources import csv, flatten, triples
 from tripleframe.sources import json as json_lines
 
@@ -317,6 +318,92 @@ def assemble_nested(t: Tables) -> DataFrame:
     return back.select("id", "state.status", "state.price", F.array_join("tags", "|").alias("tags"), F.array_join("steps", "|").alias("steps"))
 
 
+@query(
+    "A12_assemble_collections",
+    """with l as (select 'Order/' || l_orderkey as id, l_linenumber as linenumber, l_quantity as quantity, l_returnflag as f,
+              l_linestatus as s, l_discount as d, l_tax as t, l_suppkey as supplier from lineitem),
+            p as (select id, count(distinct supplier) as parties, max('Supplier/' || supplier) as last_party from l group by id)
+       select l.id, row_number() over (partition by l.id order by linenumber, quantity, f, s, d, t) - 1 as pos, linenumber, quantity,
+         case when f < s then f || '|' || s when f > s then s || '|' || f else f end as flags,
+         2 as charges, case when d > 0 then d end as discount, t as tax, parties, last_party
+       from l join p on l.id = p.id""",
+)
+def assemble_collections(t: Tables) -> DataFrame:
+    """Orders with a list of line documents, each with a set and a list of documents, become facts, and documents again."""
+    from tripleframe.model import ClassDef, Prop, Schema
+
+    schema = Schema([
+        ClassDef("Order", (Prop("lines", "Line", "list"), Prop("parties", "Party", "set"))),
+        ClassDef(
+            "Line",
+            (Prop("linenumber", "xsd:int"), Prop("quantity", "xsd:double"), Prop("flags", "xsd:string", "set"), Prop("charges", "Charge", "list")),
+            subdocument=True,
+        ),
+        ClassDef("Charge", (Prop("name", "xsd:string"), Prop("rate", "xsd:double")), subdocument=True),
+        ClassDef("Party", (Prop("supplier", "Supplier"),), subdocument=True),
+    ])
+    row = F.struct("l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_discount", "l_tax")
+    party = F.struct(F.concat(F.lit("Supplier/"), F.col("l_suppkey").cast("string")).alias("supplier"))
+    grouped = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(row)).alias("lines"), F.collect_list(party).alias("parties"))
+    charge = lambda name, rate: F.struct(F.lit(name).alias("name"), rate.alias("rate"))
+    lines = F.transform(
+        "lines",
+        lambda x: F.struct(
+            x["l_linenumber"].alias("linenumber"),
+            x["l_quantity"].alias("quantity"),
+            F.array(x["l_returnflag"], x["l_linestatus"]).alias("flags"),
+            F.array(F.when(x["l_discount"] > 0, charge("discount", x["l_discount"])), charge("tax", x["l_tax"])).alias("charges"),
+        ),
+    )
+    table = grouped.select(F.concat(F.lit("Order/"), F.col("l_orderkey").cast("string")).alias("id"), lines.alias("lines"), "parties")
+    # The facts are read for the documents and for the lists: written once, not derived each time.
+    facts = cut(docs.triplify(table, schema, "Order", lists=True))
+    back = docs.assemble_documents(facts, schema, "Order")
+    each = back.select("id", "parties", F.posexplode("lines").alias("pos", "line"))
+    return each.select(
+        "id", "pos", "line.linenumber", "line.quantity", F.array_join("line.flags", "|").alias("flags"),
+        F.size("line.charges").alias("charges"), F.col("line.charges")[0]["rate"].alias("discount"), F.col("line.charges")[1]["rate"].alias("tax"),
+        F.size("parties").alias("parties"), F.element_at("parties", -1)["supplier"].alias("last_party"),
+    )
+
+
+@query(
+    "A7_unfold",
+    """select 'Order/' || o_orderkey as id, 'Customer/' || o_custkey as customer, c_name as customer_name, 'Nation/' || c_nationkey as nation,
+         n_name as nation_name, r_name as region_name
+       from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+)
+def unfold(t: Tables) -> DataFrame:
+    """Orders with their customers, these with their nations, these with their regions."""
+    g = graph(t, "Order", "Customer", "Nation", "Region")
+    whole = docs.unfold(g.tables, g.schema, "Order", depth=3)
+    customer, nation = F.col("customer"), F.col("customer.nation")
+    return whole.select(
+        "id", customer["id"].alias("customer"), customer["name"].alias("customer_name"), nation["id"].alias("nation"),
+        nation["name"].alias("nation_name"), nation["region"]["name"].alias("region_name"),
+    )
+
+
+@query(
+    "A7_all_documents_prefixed",
+    """with docs as (
+         select 'd:Customer/' || c_custkey as id, 'Customer' as type,
+           json_object('id', 'd:Customer/' || c_custkey, 'name', c_name, 'nation', 'n:' || c_nationkey, 'acctbal', c_acctbal, 'segment', c_mktsegment)::varchar as body
+         from customer
+         union all
+         select 'd:Supplier/' || s_suppkey, 'Supplier',
+           json_object('id', 'd:Supplier/' || s_suppkey, 'name', s_name, 'nation', 'n:' || s_nationkey, 'acctbal', s_acctbal)::varchar
+         from supplier)
+       select * from docs""",
+)
+def all_documents_prefixed(t: Tables) -> DataFrame:
+    """Documents under full ids, scanned as prefixed names; the longest namespace wins."""
+    base = "https://data.example/"
+    g = graph(t, "Customer", "Supplier")
+    full = {cls: docs.with_prefixes(df, g.schema, cls, {"@base": base}, prefixed=False) for cls, df in g.tables.items()}
+    return docs.all_documents(full, schema=g.schema, prefixes={"d": base, "n": f"{base}Nation/"})
+
+
 @query("A9_insert_conflicts", """select 'Customer/' || c_custkey as id, 'exists' as conflict from customer where c_custkey % 3 = 0 and c_custkey % 2 = 0""")
 def insert_conflicts(t: Tables) -> DataFrame:
     table = class_table(t, "Customer")
