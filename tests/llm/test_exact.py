@@ -52,6 +52,37 @@ def test_memo_and_heap_give_the_same(monkeypatch):
             assert plain._merge_long(list(w)) == plain._merge_short(list(w))
 
 
+def test_places_in_bulk_are_those_of_the_pieces(spark):
+    texts = [None, "", " ", "a" * 30000 + "bé" * 20000, "\u3000 x\U0001f600y  ", *random_texts(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    model = pieces.PieceModel(piece_model())
+    held = pieces.encode_documents(df, piece_model(), spans=True, bounds=True).collect()
+    assert len(held) == len(texts)
+    for r in held:
+        plain = model.spans(texts[r["doc_id"]] or "")
+        assert [tuple(s) for s in r["spans"]] == plain
+        assert r["starts"] == [s[2] for s in plain] and r["ends"] == [s[3] for s in plain]
+
+
+def test_places_through_squeezed_spaces_and_a_map():
+    model = pieces.PieceModel(piece_model())
+
+    class Upper:
+        """Stands for a compiled map: two letters become three, a tab a space."""
+
+        def longest(self, data, at):
+            return (2, "cab") if data[at : at + 2] == b"xy" else (1, " ") if data[at] == 9 else None
+
+    model.map, model.squeeze = Upper(), True
+    for t in ["", "  ", "xy", "a  xy\té ", " xyxy\t\t\u4e2dxy", *random_texts(40)]:
+        ids, surface, places = model.coded(t)
+        plain = model.spans(t)
+        assert ids.tolist() == [s[0] for s in plain] and surface == model.decode(ids.tolist())
+        assert [tuple(p) for p in places.tolist()] == [s[2:] for s in plain]
+        data = t.encode()
+        assert all(data[a:b].decode() is not None for a, b in places.tolist())
+
+
 def test_longest_prefix_of_a_compiled_map():
     # A double array over "ab" -> "X" and "abc" -> "YZ", laid out by hand.
     import struct

@@ -19,6 +19,7 @@ import itertools
 import math
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,19 +128,39 @@ class PieceModel:
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i, kind in enumerate(self.kinds) if kind == BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.words = next(b for b in BORDERS if all(b.fullmatch(p) and b.match(p).end() == len(p) for p in self.ids))
-        self.memo: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.memo: dict[str, tuple[bytes, str, bytes]] = {}
+        self.older: dict[str, tuple[bytes, str, bytes]] = {}
 
-    def normalise(self, text: str) -> tuple[str, list[int]]:
+    def aligned(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text with marks for spaces, and for each of its characters the original byte where its source starts.
 
-        The list has one item more: the end of the source of the last character.
+        The array has one item more: the end of the source of the last character. Where the model has no map, the longest
+        prefix at every place is the character itself, and all places are found at once.
         """
+        data = text.encode()
+        if self.map is None:
+            chars: str | list[str] = text
+            starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80).astype(np.int32)
+        else:
+            chars, starts = self._mapped(data)
+        end = len(data)
+        if self.squeeze:
+            kept = [i for i, c in enumerate(chars) if c != " " or (i and chars[i - 1] != " ")]
+            while kept and chars[kept[-1]] == " ":
+                end = int(starts[kept.pop()])
+            chars, starts = [chars[i] for i in kept], starts[kept]
+        normal = "".join(chars).replace(" ", MARK)
+        if self.dummy and normal:
+            normal, starts = MARK + normal, np.concatenate([starts[:1], starts])
+        return normal, np.append(starts, np.int32(end))
+
+    def _mapped(self, data: bytes) -> tuple[list[str], np.ndarray]:
+        """Characters by the longest prefix the map holds at each place, and where their sources start."""
         chars: list[str] = []
         starts: list[int] = []
-        data, at = text.encode(), 0
+        at = 0
         while at < len(data):
-            hit = self.map.longest(data, at) if self.map else None
+            hit = self.map.longest(data, at)
             if hit:
                 size, out = hit
             else:
@@ -149,22 +170,16 @@ class PieceModel:
             chars.extend(out)
             starts.extend([at] * len(out))
             at += size
-        end = len(data)
-        if self.squeeze:
-            kept = [i for i, c in enumerate(chars) if c != " " or (i and chars[i - 1] != " ")]
-            while kept and chars[kept[-1]] == " ":
-                end = starts[kept.pop()]
-            chars, starts = [chars[i] for i in kept], [starts[i] for i in kept]
-        if self.dummy and chars:
-            chars.insert(0, " ")
-            starts.insert(0, starts[0])
-        return "".join(chars).replace(" ", MARK), [*starts, end]
+        return chars, np.array(starts, dtype=np.int32)
+
+    def normalise(self, text: str) -> tuple[str, list[int]]:
+        """``aligned`` with a plain list."""
+        normal, starts = self.aligned(text)
+        return normal, starts.tolist()
 
     def marked(self, text: str) -> str:
-        """``normalise`` without the alignment; a plain replacement where the model has no map and keeps all spaces."""
-        if self.map or self.squeeze:
-            return self.normalise(text)[0]
-        return (MARK if self.dummy and text else "") + text.replace(" ", MARK)
+        """The normalised text alone."""
+        return self.aligned(text)[0]
 
     def _merge_short(self, parts: list[str]) -> list[str]:
         """Merge the best adjacent pair, the leftmost of equals, until none is a piece."""
@@ -218,35 +233,51 @@ class PieceModel:
             return [known]
         return [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unknown]
 
-    def _learn(self, word: str) -> tuple[tuple[int, ...], str]:
+    def _learn(self, word: str) -> tuple[bytes, str, bytes]:
+        """Ids of a word, the text they decode to, and the first and the end character of each id; numbers as 32-bit integers."""
         if (entry := self.older.get(word)) is not None:
             self.memo[word] = entry
             return entry
-        pieces = self.split(word)
-        try:
-            ids = tuple([self.ids[p] for p in pieces])
-        except KeyError:
-            ids = tuple(i for piece in pieces for i in self._piece_ids(piece))
-        entry = ids, self._surface(ids)
+        ids: list[int] = []
+        places: list[int] = []
+        at = 0
+        for piece in self.split(word):
+            end = at + len(piece)
+            for i in self._piece_ids(piece):
+                ids.append(i)
+                places += (at, end)
+            at = end
+        entry = array("i", ids).tobytes(), self._surface(ids), array("i", places).tobytes()
         if len(self.memo) >= MEMO_WORDS:
             self.older, self.memo = self.memo, {}
         if len(word) <= 64:
             self.memo[word] = entry
         return entry
 
-    def _entries(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+    def coded(self, text: str) -> tuple[np.ndarray, str, np.ndarray]:
+        """The ids, the text that ``decode`` makes of them, and the first and the end byte of each id in the original text.
+
+        Words decode alone, as no byte run crosses their border.
+        """
+        normal, starts = self.aligned(text)
         known, learn = self.memo.get, self._learn
-        return [known(w) or learn(w) for w in self.words.findall(self.marked(text))]
+        words = self.words.findall(normal)
+        entries = [known(w) or learn(w) for w in words]
+        ids = np.frombuffer(b"".join([e[0] for e in entries]), np.int32)
+        before = np.cumsum([0, *map(len, words)])[:-1]
+        counts = np.fromiter((len(e[0]) for e in entries), np.int64, len(entries)) // 4
+        places = np.frombuffer(b"".join([e[2] for e in entries]), np.int32).reshape(-1, 2) + np.repeat(before, counts)[:, None]
+        surface = "".join([e[1] for e in entries])
+        return ids, surface[1:] if self.dummy and surface[:1] == " " else surface, starts[places]
 
     def encode(self, text: str) -> list[int]:
         """Ids of all pieces, without begin and end."""
-        return [i for ids, _ in self._entries(text) for i in ids]
+        return self.coded(text)[0].tolist()
 
     def both(self, text: str) -> tuple[list[int], str]:
-        """The ids, and the text that ``decode`` makes of them: words decode alone, as no byte run crosses their border."""
-        entries = self._entries(text)
-        surface = "".join([e[1] for e in entries])
-        return [i for ids, _ in entries for i in ids], surface[1:] if self.dummy and surface[:1] == " " else surface
+        """The ids, and the text that ``decode`` makes of them."""
+        ids, surface, _ = self.coded(text)
+        return ids.tolist(), surface
 
     def spans(self, text: str) -> list[tuple[int, str, int, int]]:
         """Id, piece, first byte and end byte in the original text, for every id.
@@ -288,27 +319,35 @@ class PieceModel:
         return text[1:] if self.dummy and text[:1] == " " else text
 
 
-def encode_documents(df: DataFrame, model: str, text: str = "text", decoded: bool = True, spans: bool = False) -> DataFrame:
-    """Replace the text by ``ids``, and if asked for by ``decoded`` and ``spans`` (id, piece, start, end in bytes).
+def encode_documents(df: DataFrame, model: str, text: str = "text", decoded: bool = True, spans: bool = False, bounds: bool = False) -> DataFrame:
+    """Replace the text by ``ids``, and if asked for by ``decoded``, ``spans`` (id, piece, start, end) and ``bounds``.
 
-    ``model`` is the path of a model file that exists on every machine (part of an installed package, or shipped with
-    ``addFile``); it is opened once in a task.
+    Starts and ends count bytes of the original text. ``bounds`` gives the columns ``starts`` and ``ends``: the spans without
+    ids and pieces. ``model`` is the path of a model file that exists on every machine (part of an installed package, or
+    shipped with ``addFile``); it is opened once in a task.
     """
     parts = ["ids array<int>"] + ["decoded string"] * decoded + ["spans array<struct<id:int,piece:string,start:int,end:int>>"] * spans
+    parts += ["starts array<int>", "ends array<int>"] * bounds
 
     def make():
         coder = PieceModel(model)
+        names = pa.array(coder.pieces, pa.string())
 
         def work(texts: list[str]) -> dict[str, pa.Array]:
-            found = [coder.both(t) for t in texts]
-            ends = [0, *itertools.accumulate(len(ids) for ids, _ in found)]
-            flat = np.fromiter((i for ids, _ in found for i in ids), dtype=np.int32, count=ends[-1])
-            new = {"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))}
+            found = [coder.coded(t) for t in texts]
+            limits = pa.array(np.cumsum([0, *[len(ids) for ids, _, _ in found]]), pa.int32())
+            flat = pa.array(np.concatenate([ids for ids, _, _ in found]) if found else np.empty(0, np.int32))
+            new = {"ids": pa.ListArray.from_arrays(limits, flat)}
             if decoded:
-                new["decoded"] = pa.array([d for _, d in found], pa.string())
+                new["decoded"] = pa.array([d for _, d, _ in found], pa.string())
+            if spans or bounds:
+                places = np.concatenate([p for _, _, p in found]) if found else np.empty((0, 2), np.int32)
+                start, end = (pa.array(np.ascontiguousarray(places[:, side])) for side in (0, 1))
             if spans:
-                kind = pa.struct([("id", pa.int32()), ("piece", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-                new["spans"] = pa.array([[dict(zip(("id", "piece", "start", "end"), s, strict=True)) for s in coder.spans(t)] for t in texts], pa.list_(kind))
+                told = pa.StructArray.from_arrays([flat, names.take(flat), start, end], ["id", "piece", "start", "end"])
+                new["spans"] = pa.ListArray.from_arrays(limits, told)
+            if bounds:
+                new["starts"], new["ends"] = pa.ListArray.from_arrays(limits, start), pa.ListArray.from_arrays(limits, end)
             return new
 
         return work

@@ -182,9 +182,10 @@ def op9_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    """Number of pieces of each document, and hashes of its ids and of the text decoded from them."""
+    """Number of pieces of each document, hashes of its ids, of the text decoded from them, and of the byte spans of its pieces."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return digests(pieces.encode_documents(docs, piece_model()))
+    coded = pieces.encode_documents(docs, piece_model(), bounds=True)
+    return digests(coded.withColumn("spans_xxh64", F.lower(F.hex(F.xxhash64("starts", "ends")))), "spans_xxh64")
 
 
 @query("op11_token_alignment")
