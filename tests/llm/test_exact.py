@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -137,7 +139,7 @@ def targets(sizes, weights=(5, 2, 1)):
         full |= over
 
 
-@pytest.mark.parametrize("block", [7, 1024])
+@pytest.mark.parametrize("block", [7, 1024, None])
 def test_mix(spark, block):
     rnd = random.Random(6)
     rows = [(i, " ".join(["w"] * rnd.randrange(60)), rnd.choice(["a", "a", "a", "b", "c", "d", None])) for i in range(300)]
@@ -155,10 +157,36 @@ def test_mix(spark, block):
         assert 0 <= r["taken"] <= 3 * r["size"]
         assert math.isclose(r["target"], want[r["source"]], abs_tol=1e-6)
         taken[r["source"]] += r["taken"]
-    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    total = sum(want.values())
+    whole = sum({r["source"]: math.floor(r["target"] + 0.5) for r in got}.values())
+    length = block or max(1, min(mixing.BLOCK, -(-whole // mixing.SLOTS)))
+    n_slots = -(-whole // length)
+    assert all(abs(taken[s] - want[s]) <= length * max(1, math.log2(n_slots)) for s in sizes)
+    # What is taken is what the slots of the schedule hold, by a plain walk over points and documents.
+    goal = {r["source"]: math.floor(r["target"] + 0.5) for r in got}
+    order = sorted((s for s in goal if goal[s]), key=lambda s: (s is None, s or ""))
+    ends = list(itertools.accumulate(goal[s] for s in order))
+    points = [int(f"{n:048b}"[::-1], 2) / 2**48 * ends[-1] for n in range(n_slots)]
+    given = Counter(order[bisect.bisect_right(ends, x)] for x in points)
+    streams = defaultdict(list)
+    for r in got:
+        streams[r["source"]].append(r)
+    for s, held in streams.items():
+        at, limit = 0, given[s] * length
+        plain = Counter()
+        held.sort(key=lambda r: r["digest"])
+        for _ in range(3):
+            for k, r in enumerate(held):
+                plain[k] += max(0, min(r["size"], limit - at))
+                at += r["size"]
+        alike = Counter((r["doc_id"], r["taken"]) for r in held)
+        assert alike == Counter((r["doc_id"], plain[k]) for k, r in enumerate(held))
+    assert all((r["taken"] == 0) == (r["first_slot"] is None) == (r["n_pieces"] == 0) for r in got)
+    # Without slots nothing is taken.
+    assert {r["taken"] for r in mixing.taken_per_document(placed, mixed.where("slot < 0")).collect()} == {0}
     # The schedule is even: at each point a source has had about its share of the slots.
     slots = [r["source"] for r in mixed.where("slot IS NOT NULL").select("slot", "source").distinct().orderBy("slot").collect()]
-    seen, total = Counter(), sum(want.values())
+    seen = Counter()
     for n, s in enumerate(slots, 1):
         seen[s] += 1
         assert all(abs(seen[k] - n * want[k] / total) <= 2 + math.log2(n + 1) for k in sizes)

@@ -130,19 +130,40 @@ WITH sized AS (
            CASE WHEN level <= 3 * source_size / w THEN level END IGNORE NULLS) OVER (
              ORDER BY 3 * source_size / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0)) AS target
   FROM levels
+), goals AS (
+  SELECT source, CAST(round(target) AS BIGINT) AS goal FROM targets WHERE round(target) > 0
+), ends AS (
+  SELECT source, goal, CAST(sum(goal) OVER (ORDER BY source IS NULL, source ROWS UNBOUNDED PRECEDING) AS BIGINT) AS up_to FROM goals
+), whole AS (
+  SELECT CAST(coalesce(sum(goal), 0) AS BIGINT) AS total, greatest(1, least(1024, (total + 65535) // 65536)) AS block FROM goals
+), points AS (
+  SELECT slot, list_sum(list_transform(range(40), lambda i: CAST((slot >> CAST(i AS INT)) & 1 AS DOUBLE) / pow(2, i + 1))) * total AS x
+  FROM (SELECT total, unnest(range((total + block - 1) // block)) AS slot FROM whole)
+), slots AS (
+  SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+  FROM points JOIN ends ON x >= up_to - goal AND x < up_to
+), counts AS (SELECT source, count(*) AS n FROM slots GROUP BY source
 ), placed AS (
-  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS whole,
+  SELECT row_number() OVER () AS r, doc_id, sized.source, size, source_size, target, coalesce(n, 0) AS n,
          CAST(coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
+  LEFT JOIN counts ON sized.source IS NOT DISTINCT FROM counts.source
+), laid AS (
+  SELECT r, source, turn * source_size + start AS a, least(turn * source_size + start + size, n * block) AS b, block
+  FROM placed, whole, (SELECT unnest(range(3)) AS turn)
+), pieces AS (
+  SELECT r, source, a, b, block, unnest(range(a // block, (b - 1) // block + 1)) AS rank FROM laid WHERE b > a
+), taken AS (
+  SELECT r, sum(least(b, (rank + 1) * block) - greatest(a, rank * block)) AS taken, min(slot) AS first_slot, count(*) AS n_pieces
+  FROM pieces JOIN slots USING (rank) WHERE pieces.source IS NOT DISTINCT FROM slots.source GROUP BY r
 )
-SELECT doc_id, size, source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE whole // source_size * size + greatest(0, least(size, whole % source_size - start)) END AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, first_slot, coalesce(n_pieces, 0) AS n_pieces
+FROM placed LEFT JOIN taken USING (r)
 """)
 def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Size of each document, size and target of its source, and the words that the scheduled mix takes of it."""
+    """Size of each document, size and target of its source, the words that the scheduled blocks take of it, and where it comes first."""
     placed, mixed = mixing.mix(table(spark, folder, "documents"))
-    return mixing.taken_per_document(placed, mixed).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken_per_document(placed, mixed).select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_pieces")
 
 
 @query("op8_toxicity")
