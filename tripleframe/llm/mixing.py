@@ -122,11 +122,11 @@ def mix(docs: DataFrame, block: int | None = None, weights: tuple[int, ...] = (5
     total = whole_target(sources)
     block = block or max(1, min(BLOCK, -(-total // SLOTS)))
     slots = cut(schedule(sources, block, total)).select("slot", F.col("source").alias("_s"), F.col("rank").alias("_r"))
-    # One row per source.
+    # One row per source; written, so that the next join knows its size and need not deal documents by source.
     counts = slots.groupBy("_s").agg(F.count(F.lit(1)).alias("_slots"))
-    told = sources.join(counts, F.col("source").eqNullSafe(F.col("_s")), "left").select(
+    told = cut(sources.join(counts, F.col("source").eqNullSafe(F.col("_s")), "left").select(
         F.col("source").alias("_s"), "source_size", "target", F.coalesce("_slots", F.lit(0)).alias("_slots")
-    )
+    ))
     placed = cut(_positions(sized).join(told, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
     taken = _blocks(placed, block, most)
     mixed = taken.join(slots, F.col("source").eqNullSafe(F.col("_s")) & (F.col("rank") == F.col("_r"))).drop("_s", "_r")
