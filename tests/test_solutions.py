@@ -143,12 +143,88 @@ def test_range_join(spark, monkeypatch, hot):
     points = [(i, random.randrange(100)) for i in range(80)]
     spans = [(i, s, s + random.randrange(0, 40)) for i, s in enumerate(random.sample(range(100), 30))]
     got = c.range_join(
-        spark.createDataFrame(points, "p int, at int"), spark.createDataFrame(spans, "i int, s int, e int"), "at", "s", "e", 10
+        spark.createDataFrame(points, "p int, at int"), spark.createDataFrame(spans, "i int, s int, e int"), "at", "s", "e"
     )
     want = [(p, i) for p, at in points for i, s, e in spans if s <= at < e]
     assert rows(got.select("p", "i")) == sorted(want, key=repr)
 
 
+def test_range_join_of_spans_of_any_length(spark):
+    """A span over all data beside short ones, tiny, huge and unbounded ones, and odd points."""
+    spans = [(0, -1e18, 1e18), (1, 0.0, 5e-324), (2, 1.0, 1.0000001), (3, 1e300, 1.1e300), (4, 5.0, float("inf")), (5, 7.0, 7.0), (6, None, 3.0), (7, float("-inf"), 0.0)]
+    spans += [(10 + i, float(i), i + 0.5) for i in range(50)]
+    points = [(i, v) for i, v in enumerate([0.0, 5e-324, 1.0, 1.05e300, -1e300, float("inf"), float("-inf"), None, 7.0, 49.5] + [i / 4 for i in range(200)])]
+    got = c.range_join(spark.createDataFrame(points, "p int, at double"), spark.createDataFrame(spans, "i int, s double, e double"), "at", "s", "e")
+    want = [(p, i) for p, at in points for i, s, e in spans if None not in (at, s, e) and s <= at < e]
+    assert rows(got.select("p", "i")) == sorted(want, key=repr)
+    none = c.range_join(spark.createDataFrame(points, "p int, at double"), spark.createDataFrame([], "i int, s double, e double"), "at", "s", "e")
+    assert none.count() == 0
+
+
+def test_join_of_two_masks(spark):
+    """Every pair agrees on what both bind; each input is read once."""
+    values = [None, 1, 2]
+    a = [(0, x, y, 10 * i + j) for i, x in enumerate(values) for j, y in enumerate(values)]
+    b = [(0, x, y, 100 + 10 * i + j) for i, x in enumerate(values) for j, y in enumerate(values)] + [(1, 1, 1, 200)]
+    left = c.mark_unbound(spark.createDataFrame(a, "k int, x int, y int, l int"), ["x", "y"])
+    right = c.mark_unbound(spark.createDataFrame(b, "k int, x int, y long, r int"), ["x", "y"])
+    agree = lambda u, v: u is None or v is None or u == v
+    first = lambda u, v: v if u is None else u
+    want = [(k, first(x, u), first(y, v), m, r) for k, x, y, m in a for j, u, v, r in b if k == j and agree(x, u) and agree(y, v)]
+    joined = c.and_(left, right)
+    assert rows(joined.select("k", "x", "y", "l", "r")) == sorted(want, key=repr)
+    assert c.maybe_unbound(joined) == {"x", "y"}
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_values_of_unlike_types_do_not_meet(spark):
+    df = spark.createDataFrame([(1, "1", [1, 2], ["1"])], "n int, t string, ns array<int>, ts array<string>")
+    assert c.in_range(df, "v:t", 0, 5).count() == 0 and c.in_range(df, "v:n", 0, 5).count() == 1
+    assert c.member(df, "v:t", "v:ns").count() == 0 and c.member(df, "v:n", "v:ns").count() == 1
+    assert c.set_member(df, "v:n", "v:ts").count() == 0 and c.set_member(df, "v:t", "v:ts").count() == 1
+    numbers, texts = df.select("n"), df.select(F.col("t").alias("n"))
+    assert c.and_(numbers, texts).count() == 0
+    loose = c.mark_unbound(spark.createDataFrame([(1, "1"), (1, None)], "n int, x string"), ["x"])
+    assert rows(c.and_(loose, spark.createDataFrame([(1, 1)], "n int, x int"))) == [(1, "1")]
+
+
+def test_next_and_previous_of_solutions(spark):
+    random.seed(8)
+    held = [(f"s{random.randrange(3)}", random.randrange(40)) for _ in range(60)] + [("hot", i % 50) for i in range(300)]
+    g = Graph({"A": spark.createDataFrame(held, "id string, v int")})
+    asked = [(random.choice(["s0", "s1", "s2", "hot", "none"]), random.choice([None, *range(-2, 52)])) for _ in range(120)]
+    df = spark.createDataFrame(asked + asked[:10], "s string, ref long")
+
+    def want(test, best):
+        for s, ref in asked + asked[:10]:
+            near = [v for t, v in held if t == s and ref is not None and test(v, ref)]
+            if near:
+                yield (s, ref, best(near))
+
+    larger = sorted(want(lambda v, r: v > r, min), key=repr)
+    smaller = sorted(want(lambda v, r: v < r, max), key=repr)
+    assert rows(match.next_of(df, g, "v:s", "v", "v:ref", "v:n")) == larger
+    assert rows(match.previous_of(df, g, "v:s", "v", "v:n", "v:ref")) == larger
+    assert rows(match.previous_of(df, g, "v:s", "v", "v:ref", "v:n")) == smaller
+    assert rows(match.next_of(df, g, "v:s", "v", "v:n", "v:ref")) == smaller
+    bound = match.next_of(df, g, "v:s", "v", "v:ref", "v:n")
+    assert rows(match.next_of(bound, g, "v:s", "v", "v:ref", "v:n")) == larger
+    assert match.next_of(bound.withColumn("n", F.lit(-9)), g, "v:s", "v", "v:ref", "v:n").count() == 0
+    assert rows(match.next_of(df, g, "hot", "v", "v:ref", 50)) == []
+    target = larger[-1][2]
+    assert rows(match.next_of(df, g, "v:s", "v", "v:ref", target)) == [(s, r) for s, r, n in larger if n == target]
+    assert match.next_of(df.withColumn("ref", F.lit("x")), g, "v:s", "v", "v:ref", "v:n").count() == 0
+    with pytest.raises(ValueError):
+        match.next_of(df, g, "v:other", "v", "v:ref", "v:n")
+
+
+def test_numbers_of_rows_without_an_order_and_of_copies(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    got = number_rows(df, ["k"], [])
+    assert sorted((r.k, r.pos) for r in got.collect()) == [(k, i) for k in (0, 1) for i in range(500)]
+    assert c.page(df, 10, 5, "v:k").count() == 5
+
+
 @pytest.mark.parametrize("relation", ALLEN_RELATIONS)
 def test_interval_join(spark, relation):
     random.seed(6)
@@ -161,11 +237,11 @@ def test_interval_join(spark, relation):
     want = rows(x.crossJoin(y.drop("k")).where(holds(relation, "v:a", "v:b", "v:c", "v:d")).select("i", "j"))
     keys = ["k"] if relation in ("before", "after") else []
     right = y if keys else y.drop("k")
-    got = c.interval_join(x, right, relation, ("a", "b"), ("c", "d"), 7, keys=keys)
+    got = c.interval_join(x, right, relation, ("a", "b"), ("c", "d"), keys=keys)
     assert rows(got.select("i", "j")) == want
     if relation == "before":
         with pytest.raises(ValueError):
-            c.interval_join(x, y.drop("k"), relation, ("a", "b"), ("c", "d"), 7)
+            c.interval_join(x, y.drop("k"), relation, ("a", "b"), ("c", "d"))
 
 
 def test_collect(spark):

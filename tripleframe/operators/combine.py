@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tripleframe.model import Schema, column, names, variable
 from tripleframe.operators.spread import number_rows
+from tripleframe.session import cut, cut_counted
 
 _MARK = "maybe_unbound"
 
@@ -89,7 +90,8 @@ def eq(df: DataFrame, left: Any, right: Any) -> DataFrame:
     return df.where(_operand(df, left) == _operand(df, right))
 
 
-def _family(kind: T.DataType) -> str:
+def family(kind: T.DataType) -> str:
+    """Values are compared within a family of types; between families nothing is equal or ordered."""
     if isinstance(kind, T.NumericType):
         return "number"
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
@@ -100,7 +102,11 @@ def _family(kind: T.DataType) -> str:
 def _alike(df: DataFrame, *args: Any) -> bool:
     """Whether operands are of one family of types; values of unlike types are never equal and have no order."""
     kinds = df.select(*[_operand(df, a).alias(f"_{i}") for i, a in enumerate(args)]).schema
-    return len({_family(f.dataType) for f in kinds if not isinstance(f.dataType, T.NullType)}) <= 1
+    return len({family(f.dataType) for f in kinds if not isinstance(f.dataType, T.NullType)}) <= 1
+
+
+def _alike_item(df: DataFrame, element: Any, items: Column) -> bool:
+    return _alike(df, element, F.element_at(items, 1))
 
 
 def _operand(df: DataFrame, arg: Any) -> Column:
@@ -131,7 +137,9 @@ less, greater, lte, gte = _compare("<"), _compare(">"), _compare("<="), _compare
 
 
 def in_range(df: DataFrame, value: Any, start: Any, end: Any) -> DataFrame:
-    """``start <= value < end``."""
+    """``start <= value < end``; values of unlike types are in no range."""
+    if not _alike(df, value, start, end):
+        return df.where(F.lit(False))
     v = _operand(df, value)
     return df.where((v >= _operand(df, start)) & (v < _operand(df, end)))
 
@@ -147,13 +155,17 @@ def member(df: DataFrame, element: Any, mem_list: Any) -> DataFrame:
     name = variable(element)
     if name is not None and name not in df.columns:
         return df.select("*", F.explode(items).alias(name))
+    if not _alike_item(df, element, items):
+        return df.where(F.lit(False))
     value = _operand(df, element)
     copies = df.withColumn("_hit", F.explode(F.filter(items, lambda x: x == value)))
     return copies.drop("_hit")
 
 
 def set_member(df: DataFrame, element: Any, set_list: Any) -> DataFrame:
-    """Keep solutions whose element is in the set."""
+    """Keep solutions whose element is in the set; a set of unlike type holds nothing equal."""
+    if not _alike_item(df, element, column(set_list)):
+        return df.where(F.lit(False))
     return df.where(F.array_contains(column(set_list), _operand(df, element)))
 
 
@@ -253,24 +265,57 @@ def _join(left: DataFrame, right: DataFrame, pairs: bool) -> DataFrame:
         raise ValueError("the patterns share no variable that is always bound: add one, or ask for all pairs")
     if not shared:
         return left.join(right, how="cross")
+    unlike = [c for c in shared if family(left.schema[c].dataType) != family(right.schema[c].dataType)]
+    if unlike:
+        # Only a null agrees with a value of another family; as text of its own family no value equals one of the other.
+        left, right = (
+            df.withColumns({c: F.concat(F.lit(f"{family(df.schema[c].dataType)} "), F.col(c).cast("string")) for c in unlike}) for df in (left, right)
+        )
+        left, right = mark_unbound(left, left_flags), mark_unbound(right, right_flags)
+        plain = {c: F.regexp_replace(c, "^[a-z]+ ", "") for c in unlike}
+        joined = _join(left, right, pairs)
+        return mark_unbound(joined.withColumns(plain), list(maybe_unbound(joined)))
     if not left_flags and not right_flags:
         return left.join(right, shared)
     unbound = maybe_unbound(left) | maybe_unbound(right)
-    columns = left.columns + [c for c in right.columns if c not in shared]
-    parts = []
-    for lm in _masks(left_flags):
-        for rm in _masks(right_flags):
-            lhs, rhs = _with_mask(left, left_flags, lm), _with_mask(right, right_flags, rm)
-            left_null = {c for c, u in zip(left_flags, lm) if u}
-            right_null = {c for c, u in zip(right_flags, rm) if u}
-            keys = [c for c in shared if c not in left_null | right_null]
-            lhs = lhs.drop(*left_null)
-            rhs = rhs.drop(*(right_null - left_null))
-            both = lhs.join(rhs, keys) if keys else lhs.join(rhs, how="cross")
-            parts.append(both.select(*columns))
-    joined = reduce(lambda a, b: a.unionByName(b), parts)
+    both = _routed(left, right, shared, left_flags, right_flags)
     still = [c for c in unbound if c not in shared or (c in left_flags and c in right_flags)]
-    return mark_unbound(mark_bound(joined, shared), still)
+    return mark_unbound(mark_bound(both, shared), still)
+
+
+def _mask(flags: Sequence[str]) -> Column:
+    """Which of the flagged columns are null, a bit each."""
+    bits = [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(flags)]
+    return reduce(lambda a, b: a + b, bits, F.lit(0))
+
+
+def _routed(left: DataFrame, right: DataFrame, shared: list[str], left_flags: list[str], right_flags: list[str]) -> DataFrame:
+    """One equi-join over columns that may be unbound.
+
+    A row is copied to every mask of nulls the other side may have. The key is the pair of masks and the shared columns that
+    both masks leave bound, so rows meet exactly where they agree, and each input is read once.
+    """
+
+    def keyed(df: DataFrame, own: list[str], other: list[str], own_mask: str, other_mask: str, mark: str) -> DataFrame:
+        every = F.array(*[F.lit(m) for m in range(1 << len(other))])
+        df = df.withColumn(own_mask, _mask(own)).withColumn(other_mask, F.explode(every))
+        keys = []
+        for c in shared:
+            null = F.col(c).isNull()
+            if c in other:
+                null = null | (F.col(other_mask).bitwiseAND(F.lit(1 << other.index(c))) != 0)
+            keys.append((F.when(~null, F.col(c)) if c in left_flags + right_flags else F.col(c)).alias(f"{mark}{c}"))
+        renamed = [F.col(c).alias(f"_v{mark}{c}") if c in shared else F.col(c) for c in df.columns if c not in (own_mask, other_mask)]
+        return df.select(*renamed, *keys, F.col(own_mask).alias(f"{mark}{own_mask}"), F.col(other_mask).alias(f"{mark}{other_mask}"))
+
+    mine = keyed(left, left_flags, right_flags, "_lm", "_rm", "_l_")
+    theirs = keyed(right, right_flags, left_flags, "_rm", "_lm", "_r_")
+    condition = (F.col("_l__lm") == F.col("_r__lm")) & (F.col("_l__rm") == F.col("_r__rm"))
+    for c in shared:
+        a, b = F.col(f"_l_{c}"), F.col(f"_r_{c}")
+        condition = condition & (a.eqNullSafe(b) if c in left_flags + right_flags else a == b)
+    out = [F.coalesce(f"_v_l_{c}", f"_v_r_{c}").alias(c) if c in shared else F.col(c) for c in left.columns]
+    return mine.join(theirs, condition).select(*out, *[c for c in right.columns if c not in shared])
 
 
 def and_(*frames: DataFrame, pairs: bool = False) -> DataFrame:
@@ -355,104 +400,112 @@ def or_(*frames: DataFrame) -> DataFrame:
     return mark_unbound(out.select(*every), loose)
 
 
-def _bucket(value: Column, kind: T.DataType, width: float) -> Column:
+#: Rows of one key and bucket that meet the other side in one piece.
+HOT_ROWS = 100_000
+#: Bits of a double; a bucket is never finer than the numbers it holds.
+_MANTISSA = 52
+#: Buckets of a level are this many times (as a power of two) as wide as those of the level below.
+_STEP = 2
+
+
+def _number(value: Column, kind: T.DataType) -> Column:
+    """A value as a double in the order of its type; moments in microseconds."""
     if isinstance(kind, T.TimestampNTZType):
-        value = F.unix_micros(value.cast("timestamp")) / 1_000_000
+        value = F.unix_micros(value.cast("timestamp"))
     elif isinstance(kind, T.TimestampType):
-        value = F.unix_micros(value) / 1_000_000
+        value = F.unix_micros(value)
     elif isinstance(kind, T.DateType):
-        value = F.datediff(value, F.lit("1970-01-01").cast("date")) * 86_400
-    return F.floor(value / width)
+        value = F.datediff(value, F.lit("1970-01-01").cast("date")).cast("double") * 86_400_000_000
+    return value.cast("double")
 
 
-def _buckets(df: DataFrame, start: str, end: str, width: float) -> Column:
-    kinds = df.schema[start].dataType, df.schema[end].dataType
-    return F.sequence(_bucket(F.col(start), kinds[0], width), _bucket(F.col(end), kinds[1], width))
+def _level(start: Column, end: Column) -> Column:
+    """The level whose buckets are at least as wide as a span, so that it touches two of them at most."""
+    finest = F.log2(F.greatest(F.abs(start), F.abs(end))) - _MANTISSA
+    wide = F.greatest(F.log2(end - start), finest, F.lit(-1000.0))
+    return (F.ceil(F.least(wide, F.lit(1024.0)) / _STEP) * _STEP).cast("int")
 
 
-#: Rows of one key and bucket that meet the other side in one piece.
-HOT_ROWS = 100_000
+def _bucket(value: Column, level: Column) -> Column:
+    return F.floor(value / F.pow(F.lit(2.0), level))
 
 
 def _salted(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
     """Cut hot keys of either side into pieces of about ``HOT_ROWS`` rows and repeat the rows of the same keys opposite.
 
-    Keys below that are one piece and nothing is repeated for them. The counts are part of the plan.
+    Keys below that are one piece and nothing is repeated for them. Both sides are written tables, which the counts and the
+    join read; the hot keys are written too, so that the join knows their size.
     """
-    left, right = _cut_hot(left, right, on, "_sl")
-    right, left = _cut_hot(right, left, on, "_sr")
+    tells = [df.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / HOT_ROWS).cast("int").alias("_n")).where(F.col("_n") > 1) for df in (left, right)]
+    hot = cut(tells[0].withColumn("_side", F.lit(0)).unionByName(tells[1].withColumn("_side", F.lit(1))))
+    for side, name in enumerate(("_sl", "_sr")):
+        pieces = hot.where(F.col("_side") == side).drop("_side")
+        own, other = (left, right) if side == 0 else (right, left)
+        n = F.coalesce(F.col("_n"), F.lit(1))
+        own = own.join(pieces, on, "left").withColumn(name, F.pmod(F.xxhash64(*[_hashable(own, c) for c in own.columns]), n).cast("int")).drop("_n")
+        other = other.join(pieces, on, "left").withColumn(name, F.explode(F.sequence(F.lit(0), n - 1))).drop("_n")
+        left, right = (own, other) if side == 0 else (other, own)
     return left, right, [*on, "_sl", "_sr"]
 
 
-def _cut_hot(own: DataFrame, other: DataFrame, on: list[str], name: str) -> tuple[DataFrame, DataFrame]:
-    hot = own.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / HOT_ROWS).cast("int").alias("_n")).where(F.col("_n") > 1)
-    pieces = F.coalesce(F.col("_n"), F.lit(1))
-    cut_up = own.join(hot, on, "left").withColumn(name, F.pmod(F.xxhash64(*own.columns), pieces).cast("int")).drop("_n")
-    return cut_up, other.join(hot, on, "left").withColumn(name, F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_n")
+def _hashable(df: DataFrame, name: str) -> Column:
+    plain = isinstance(df.schema[name].dataType, T.AtomicType) and not isinstance(df.schema[name].dataType, T.VariantType)
+    return F.col(name) if plain else F.to_json(F.struct(F.col(name)))
 
 
-def range_join(
-    points: DataFrame,
-    spans: DataFrame,
-    point: str,
-    start: str,
-    end: str,
-    width: float,
-    keys: Sequence[str] = (),
-) -> DataFrame:
-    """Pairs with ``start <= point < end`` by equal bucket, without comparing every pair.
+def range_join(points: DataFrame, spans: DataFrame, point: str, start: str, end: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Pairs with ``start <= point < end``, without comparing every pair, for spans of any length.
 
-    Spans are copied into the buckets of ``width`` they touch (seconds for timestamps). A hot bucket of either side is cut
-    into pieces, and only the rows that meet it are repeated.
+    A span lives on the level of its length, in the one or two buckets it touches there; a point looks up one bucket on each
+    level that has spans. A point and a span that meet in a bucket are at most four span lengths (or two steps of the
+    numbers themselves) apart, so a long span beside short ones costs them nothing. Both inputs are read once and written;
+    hot buckets of either side are cut into pieces, and only the rows that meet them are repeated. Rows with a null point,
+    start or end join nothing, and neither do empty spans.
     """
-    left = points.withColumn("_bucket", _bucket(F.col(point), points.schema[point].dataType, width))
-    right = spans.where(F.col(start) < F.col(end))
-    right = right.withColumn("_bucket", F.explode(_buckets(spans, start, end, width)))
-    left, right, on = _salted(left, right, [*keys, "_bucket"])
+    kinds = points.schema[point].dataType, spans.schema[start].dataType, spans.schema[end].dataType
+    low, high = _number(F.col(start), kinds[1]), _number(F.col(end), kinds[2])
+    placed = spans.where(F.col(start) < F.col(end)).withColumn("_level", _level(low, high))
+    buckets = F.sequence(_bucket(low, F.col("_level")), _bucket(high, F.col("_level")))
+    right, seen = cut_counted(placed.withColumn("_bucket", F.explode(buckets)), levels=F.collect_set("_level"))
+    levels = F.array(*[F.lit(n) for n in sorted(seen["levels"])]).cast("array<int>")
+    left = cut(points.where(F.col(point).isNotNull()).withColumn("_level", F.explode(levels)))
+    left = left.withColumn("_bucket", _bucket(_number(F.col(point), kinds[0]), F.col("_level")))
+    left, right, on = _salted(left, right, [*keys, "_level", "_bucket"])
     inside = (F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))
-    return left.join(right, on).where(inside).drop("_bucket", "_sl", "_sr")
+    return left.join(right, on).where(inside).drop("_level", "_bucket", "_sl", "_sr")
 
 
 # Relations that hold only where one endpoint of each interval is the same.
 _TOUCHING = {
     "meets": (1, 0), "met_by": (0, 1), "starts": (0, 0), "started_by": (0, 0), "equals": (0, 0), "finishes": (1, 1), "finished_by": (1, 1),
-}
+}
+# Relations in which the second interval starts within the first; in the others with common points it is the other way round.
+_STARTS_WITHIN = ("overlaps", "contains")
 
 
 def interval_join(
-    x: DataFrame,
-    y: DataFrame,
-    relation: str,
-    x_ends: tuple[str, str],
-    y_ends: tuple[str, str],
-    width: float,
-    keys: Sequence[str] = (),
+    x: DataFrame, y: DataFrame, relation: str, x_ends: tuple[str, str], y_ends: tuple[str, str], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Pairs of intervals in a named relation.
 
-    Touching intervals join on the endpoint they share. Intervals with common points meet in the bucket where
-    the later one starts, so each pair appears once. Intervals apart have no common bucket: they need keys.
+    Touching intervals join on the endpoint they share. Of intervals with common points one starts within the other, which
+    is a ``range_join``, so each pair appears once. Intervals apart share nothing: they need keys.
     """
     from tripleframe.functions.dates import holds
 
     test = holds(relation, *x_ends, *y_ends)
     if relation in _TOUCHING:
         i, j = _TOUCHING[relation]
-        left, right = x.withColumn("_end", F.col(x_ends[i])), y.withColumn("_end", F.col(y_ends[j]))
+        left, right = cut(x.withColumn("_end", F.col(x_ends[i]))), cut(y.withColumn("_end", F.col(y_ends[j])))
         left, right, on = _salted(left, right, [*keys, "_end"])
         return left.join(right, on).where(test).drop("_end", "_sl", "_sr")
     if relation in ("before", "after"):
         if not keys:
             raise ValueError("intervals apart from each other need a shared variable")
         return x.join(y, list(keys)).where(test)
-    left = x.withColumn("_bucket", F.explode(_buckets(x, *x_ends, width)))
-    right = y.withColumn("_bucket", F.explode(_buckets(y, *y_ends, width)))
-    left, right, on = _salted(left, right, [*keys, "_bucket"])
-    later = F.greatest(
-        _bucket(F.col(x_ends[0]), x.schema[x_ends[0]].dataType, width),
-        _bucket(F.col(y_ends[0]), y.schema[y_ends[0]].dataType, width),
-    )
-    return left.join(right, on).where(test & (F.col("_bucket") == later)).drop("_bucket", "_sl", "_sr")
+    if relation in _STARTS_WITHIN:
+        return range_join(y, x, y_ends[0], *x_ends, keys=keys).where(test)
+    return range_join(x, y, x_ends[0], *y_ends, keys=keys).where(test)
 
 
 # Order and paging -----------------------------------------------------------------------------------
@@ -502,7 +555,7 @@ def page(
 
 
 __all__ = [
-    "and_", "cast", "distinct", "drop_unbound", "eq", "exists", "greater", "gte", "in_range", "interval_join", "isa", "less", "like",
+    "and_", "cast", "distinct", "drop_unbound", "eq", "exists", "family", "greater", "gte", "in_range", "interval_join", "isa", "less", "like",
     "limit", "lte", "mark_bound", "mark_unbound", "maybe_unbound", "member", "not_", "once", "opt", "or_", "order_by",
     "page", "range_join", "regexp", "select", "set_member", "start", "subsumption", "true", "type_of",
 ]

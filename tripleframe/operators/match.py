@@ -17,23 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleframe.model import RDF_TYPE, Graph, Lit, Var, variable
+from tripleframe.operators.combine import family as _family
 from tripleframe.operators.combine import opt as optional
-from tripleframe.operators.spread import neighbours
+from tripleframe.operators.spread import nearest, neighbours
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _family(kind: T.DataType) -> str:
-    """Values are compared within a family of types; between families nothing is equal or ordered."""
-    if isinstance(kind, T.NumericType):
-        return "number"
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        return "moment"
-    return kind.typeName()
-
-
 def _family_of(value: Any) -> str:
     """Family of a Python constant."""
     if isinstance(value, bool):
@@ -268,8 +260,63 @@ def quad_previous(graph: Graph, sub: Any, pred: Any, obj: Any, prev_val: Any, na
     return triple_previous(graph.using(graph=name), sub, pred, obj, prev_val)
 
 
+def _near_solutions(solutions: DataFrame, graph: Graph, sub: Any, pred: Any, obj: Any, other: Any, forward: bool) -> DataFrame:
+    from_object = variable(obj) in solutions.columns
+    ref, found = (variable(obj), other) if from_object else (variable(other), obj)
+    if ref not in solutions.columns:
+        raise ValueError("the solutions bind neither value")
+    keys = {place: variable(arg) for place, arg in (("s", sub), ("p", pred)) if variable(arg) is not None}
+    if not set(keys.values()) <= set(solutions.columns):
+        raise ValueError("subject and predicate must be constants or variables of the solutions")
+    own = solutions.schema[ref].dataType
+    parts = _typed_parts(graph, pred, _family(own))
+    name = variable(found)
+    if not parts:
+        # No value is of the reference's family.
+        none = solutions.where(F.lit(False))
+        return none if name is None or name in solutions.columns else none.withColumn(name, F.col(ref))
+    held = _widened([p.select("s", "p", "o") for p in parts])
+    if variable(sub) is None:
+        held = held.where(F.col("s") == F.lit(_value(sub)))
+    moments = _family(own) == "moment" and held.schema["o"].dataType != own
+    kind = T.TimestampNTZType() if moments else held.select("o").unionAll(solutions.select(ref)).schema["o"].dataType
+    values = held.select(*keys, F.col("o").cast(kind).alias("_at")).where(F.col("_at").isNotNull()).distinct()
+    asked = solutions.withColumn("_ref", F.col(ref).cast(kind))
+    lookups = asked.select(*[F.col(n).alias(place) for place, n in keys.items()], F.col("_ref").alias("_at")).dropna().distinct()
+    near = nearest(lookups, values, list(keys), "_at", forward == from_object, "_near").where(F.col("_near").isNotNull())
+    near = near.select(*[F.col(place).alias(f"_k_{place}") for place in keys], F.col("_at").alias("_k_at"), "_near")
+    condition = F.col("_ref") == F.col("_k_at")
+    for place, n in keys.items():
+        condition = condition & (F.col(n) == F.col(f"_k_{place}"))
+    out = asked.join(near, condition)
+    if name is None:
+        out = out.where(F.col("_near") == F.lit(_value(found)))
+    elif name in solutions.columns:
+        out = out.where(F.col("_near") == F.col(name))
+    else:
+        return out.select(*solutions.columns, F.col("_near").alias(name))
+    return out.select(*solutions.columns)
+
+
+def next_of(solutions: DataFrame, graph: Graph, sub: Any, pred: Any, obj: Any, next_val: Any) -> DataFrame:
+    """Extend solutions that bind ``obj`` by the smallest larger value of their subject and predicate; solutions that bind
+    ``next_val`` instead get the largest smaller one.
+
+    Subject and predicate are constants or variables of the solutions. The reference need not be a value of the subject.
+    Solutions without such a value, with an unbound reference, or of a type that nothing compares with, are dropped.
+    Repeated solutions stay repeated; equal references of a subject are looked up once.
+    """
+    return _near_solutions(solutions, graph, sub, pred, obj, next_val, True)
+
+
+def previous_of(solutions: DataFrame, graph: Graph, sub: Any, pred: Any, obj: Any, prev_val: Any) -> DataFrame:
+    """Extend solutions that bind ``obj`` by the largest smaller value, those that bind ``prev_val`` by the smallest larger
+    one; else as ``next_of``."""
+    return _near_solutions(solutions, graph, sub, pred, obj, prev_val, False)
+
+
 __all__ = [
-    "added", "all_facts", "bind", "quad", "quad_next", "quad_previous", "quad_slice",
+    "added", "all_facts", "bind", "next_of", "previous_of", "quad", "quad_next", "quad_previous", "quad_slice",
     "quad_slice_rev", "removed", "star", "triple", "triple_next", "triple_previous", "triple_slice",
     "triple_slice_rev",
 ]

@@ -665,6 +665,33 @@ def triple_previous_bound_object(t: Tables) -> DataFrame:
     return match.triple_previous(_visits(t), "v:user", "seen", datetime("2024-01-15T12:00:00Z"), "v:previous")
 
 
+REFERENCES_SQL = "(select event_id, 'User/' || user_id as u, ts + interval 6 hour as \"at\" from events)"
+
+
+def _references(t: Tables) -> DataFrame:
+    """For each event its user and the moment six hours later, which need not be one of the user's."""
+    user = F.concat(F.lit("User/"), F.col("user_id").cast("string"))
+    return t.events.select("event_id", user.alias("user"), F.expr("ts + interval 6 hours").alias("at"))
+
+
+@query(
+    "B8_next_of_solutions",
+    f"""select event_id, r.u as "user", r."at", v.ts as "next" from {REFERENCES_SQL} r
+        asof join {VISITS_SQL} v on r.u = v.u and r."at" < v.ts""",
+)
+def next_of_solutions(t: Tables) -> DataFrame:
+    return match.next_of(_references(t), _visits(t), "v:user", "seen", "v:at", "v:next")
+
+
+@query(
+    "B9_previous_of_solutions",
+    f"""select event_id, r.u as "user", r."at", v.ts as "previous" from {REFERENCES_SQL} r
+        asof join {VISITS_SQL} v on r.u = v.u and r."at" > v.ts""",
+)
+def previous_of_solutions(t: Tables) -> DataFrame:
+    return match.previous_of(_references(t), _visits(t), "v:user", "seen", "v:at", "v:previous")
+
+
 @query(
     "B8_quad_next",
     f"""select * from (select 'User/' || user_id as "user", value, lead(value) over (partition by user_id order by value) as "next"

@@ -269,7 +269,7 @@ MONTHS_SQL = """(select distinct strftime(date_trunc('month', o_orderdate), '%Y-
 )
 def range_join(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("line"), "l_shipdate")
-    pairs = c.range_join(lines, _months(t), "l_shipdate", "opens", "closes", width=30 * 86_400)
+    pairs = c.range_join(lines, _months(t), "l_shipdate", "opens", "closes")
     return c.select(pairs, "v:doc", "v:line", "v:month")
 
 
@@ -282,7 +282,7 @@ def interval_join(t: Tables) -> DataFrame:
     windows = t.orders.select(
         F.col("o_orderkey").alias("doc"), F.col("o_orderdate").alias("x0"), F.expr("o_orderdate + interval 30 day").alias("x1")
     )
-    pairs = c.interval_join(windows, _months(t), "overlaps", ("x0", "x1"), ("opens", "closes"), width=30 * 86_400)
+    pairs = c.interval_join(windows, _months(t), "overlaps", ("x0", "x1"), ("opens", "closes"))
     return c.select(pairs, "v:doc", "v:month")
 
 
@@ -294,10 +294,33 @@ def interval_join_meets(t: Tables) -> DataFrame:
     windows = t.orders.select(
         F.col("o_orderkey").alias("doc"), F.col("o_orderdate").alias("x0"), F.expr("o_orderdate + interval 1 day").alias("x1")
     )
-    pairs = c.interval_join(windows, _months(t), "meets", ("x0", "x1"), ("opens", "closes"), width=30 * 86_400)
+    pairs = c.interval_join(windows, _months(t), "meets", ("x0", "x1"), ("opens", "closes"))
     return c.select(pairs, "v:doc", "v:month")
 
 
+_SPANS_SQL = f"""(select month as span, opens, closes from {MONTHS_SQL}
+  union all select 'all', min(o_orderdate), max(o_orderdate) from orders
+  union all select 'day ' || o_orderkey, o_orderdate, o_orderdate + interval 1 day from orders where o_orderstatus = 'P')"""
+
+
+@query(
+    "JN3_long_spans",
+    f"""select span, count(*) as n, sum(l_orderkey) as keys from lineitem join {_SPANS_SQL} on l_shipdate >= opens and l_shipdate < closes
+        group by span""",
+)
+def long_spans(t: Tables) -> DataFrame:
+    """One span over all data beside months and single days."""
+    lines = t.lineitem.select("l_orderkey", "l_shipdate")
+    at = F.col("o_orderdate").cast("timestamp_ntz")
+    every = t.orders.agg(F.min(at).alias("opens"), F.max(at).alias("closes")).select(F.lit("all").alias("span"), "opens", "closes")
+    days = t.orders.where("o_orderstatus = 'P'").select(
+        F.concat(F.lit("day "), F.col("o_orderkey").cast("string")).alias("span"), at.alias("opens"), (at + F.expr("interval 1 day")).alias("closes")
+    )
+    spans = _months(t).select(F.col("month").alias("span"), "opens", "closes").unionByName(every).unionByName(days)
+    pairs = c.range_join(lines, spans, "l_shipdate", "opens", "closes")
+    return pairs.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
+
+
 #: Windows that start and end with months, and others: which hold of (a, b) against (m0, m1) for each relation.
 _RELATION_SQL = {
     "starts": "a = m0 and b < m1", "started_by": "a = m0 and b > m1", "finishes": "b = m1 and a > m0", "finished_by": "b = m1 and a < m0",
@@ -317,7 +340,7 @@ def _relation_join(relation: str) -> None:
         begin = F.when(F.col("o_orderkey") % 2 == 0, F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")).otherwise(F.col("o_orderdate").cast("timestamp_ntz"))
         ends = F.expr("case doc % 4 when 0 then add_months(cast(date_trunc('month', a) as date), 1) when 1 then a + interval 3 day else a + interval 40 day end")
         windows = t.orders.select(F.col("o_orderkey").alias("doc"), begin.alias("a")).withColumn("b", ends.cast("timestamp_ntz"))
-        pairs = c.interval_join(windows, _months(t), relation, ("a", "b"), ("opens", "closes"), width=30 * 86_400)
+        pairs = c.interval_join(windows, _months(t), relation, ("a", "b"), ("opens", "closes"))
         return c.select(pairs, "v:doc", "v:month")
 
 
@@ -399,6 +422,30 @@ def compatibility_join(t: Tables) -> DataFrame:
     return c.and_(loose, statuses)
 
 
+_TWO_LOOSE_SQL = """(select o_custkey as customer, {n}, case when o_orderpriority <> '1-URGENT' then o_orderstatus end as status,
+  case when o_orderpriority <> '2-HIGH' then o_orderpriority end as priority from orders where {which})"""
+
+
+@query(
+    "JN8_two_masks",
+    f"""select a.customer, coalesce(a.status, b.status) as status, coalesce(a.priority, b.priority) as priority, doc, other
+        from {_TWO_LOOSE_SQL.format(n="o_orderkey as doc", which="o_orderkey % 2 = 0")} a
+        join {_TWO_LOOSE_SQL.format(n="o_orderkey as other", which="o_orderkey % 2 = 1")} b on a.customer = b.customer
+        and (a.status = b.status or a.status is null or b.status is null) and (a.priority = b.priority or a.priority is null or b.priority is null)""",
+)
+def two_masks(t: Tables) -> DataFrame:
+    """Two variables that may be unbound on both sides."""
+
+    def loose(number: str, rest: int) -> DataFrame:
+        status = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus"))
+        priority = F.when(F.col("o_orderpriority") != "2-HIGH", F.col("o_orderpriority"))
+        own = t.orders.where(F.col("o_orderkey") % 2 == rest)
+        df = own.select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias(number), status.alias("status"), priority.alias("priority"))
+        return c.mark_unbound(df, ["status", "priority"])
+
+    return c.and_(loose("doc", 0), loose("other", 1)).select("customer", "status", "priority", "doc", "other")
+
+
 # Aggregation ------------------------------------------------------------------------------------------
 
 
