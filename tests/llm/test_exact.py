@@ -10,6 +10,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tripleframe.llm import mixing, pieces, search
@@ -235,6 +236,27 @@ def test_search_is_exact(spark, monkeypatch, block, shard, group):
     assert search.top_k(none, spark.createDataFrame(asked, "item_id long, text string")).collect() == []
 
 
+def test_rows_of_one_query_are_one_query(spark):
+    docs = [(i, f"common w{i % 7} w{i}") for i in range(40)]
+    shards = search.index(spark.createDataFrame(docs, "doc_id long, text string"))
+    asked = [(1, "w3"), (1, "w3"), (1, "w5 w12"), (2, "common")]
+    got = sorted((r[0], r[1], r[2]) for r in search.top_k(shards, spark.createDataFrame(asked, "item_id long, text string"), k=10).collect())
+    assert got == [w[:3] for w in bm25(docs, [(1, "w3 w5 w12"), (2, "common")], 10)]
+
+
+def test_blocks_beyond_the_bound_are_not_scored():
+    """Only one block holds documents that can enter; scores of the others are never computed."""
+    n, block = 64 * 200, 64
+    docs = np.arange(n)
+    counts = np.where((docs >= 64 * 3) & (docs < 64 * 4), 9, 1)
+    starts = np.arange(0, n, block)
+    tops = np.maximum.reduceat(counts, starts).astype(float)
+    lists = [search.Postings(docs, counts, starts, tops, lambda f, d: f.astype(float)) for _ in range(2)]
+    found = search.search_shard(lists, 10)
+    assert found == [(18.0, 64 * 3 + i) for i in range(10)]
+    assert all(c.scored <= 4 for c in lists)
+
+
 def test_stages_on_odd_rows(spark, tmp_path):
     import corpus_pipeline
 

@@ -118,3 +118,10 @@ def test_vectors_that_link_with_nothing(spark):
     got = {(r["vec_id"]): (r["n_links"], r["component_id"], r["kept"]) for r in vectors.near_duplicates(df).collect()}
     assert got == {**{k: (0, k, True) for k in (1, 2, 3, 4, 5, 6, 9)}, 7: (4, 7, True), 8: (4, 7, False), None: (4, 7, False), 10: (4, 7, False), 11: (4, 7, False)}
     assert vectors.near_duplicates(df.where("1 = 0")).collect() == []
+
+
+def test_rows_of_one_id_with_different_vectors_are_apart(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [1.0, 0.0]), (None, [0.0, 1.0]), (5, None)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    want = [(1, 0 + 1, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (5, 0, 5, True), (None, 1, 1, False)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)

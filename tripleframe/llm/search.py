@@ -1,24 +1,28 @@
 """Exact top-k search by BM25 over an inverted index with block-max WAND pruning.
 
 Texts become terms: runs of letters and digits in lower case. Documents are indexed in shards; a shard is a row that holds the
-postings of all its terms, in blocks of ``BLOCK`` documents. Document frequencies of the query's terms, the number of
+postings of all its terms, in blocks of ``BLOCK`` documents, and of each block the largest count of the term and the
+smallest length of a document, which bound every score in it. Document frequencies of the query's terms, the number of
 documents and their mean length are gathered over all shards, so every shard scores with the statistics of the whole
 collection. In a shard the cursors of a query's terms move through the blocks: the sum of the terms' largest scores names
 the first document that could enter the top k (the pivot), the largest scores of the blocks around it decide whether it is
-scored or whole blocks are passed over. Shards are searched independently and their lists merged, which is exact.
+scored or whole blocks are passed over; a block is decoded when a cursor stops in it and scored when a document of it is.
+Shards are searched independently and their lists merged, which is exact.
 
 Score of a document for a query: sum over distinct query terms t, times their count in the query, of
 ``log(1 + (N - n_t + 0.5) / (n_t + 0.5)) * f * (k1 + 1) / (f + k1 * (1 - b + b * length / mean length))``. Documents that hold no
 term of a query are not returned for it. Ties go to the smaller id; a null id sorts last. Null and empty texts are empty
-documents: they count in N and match nothing. Repeated rows are documents of their own. Other columns are not carried. An
+documents: they count in N and match nothing. Repeated rows are documents of their own. Rows of ``queries`` with one id are one
+query that asks for the terms of all its different texts; a query without an id is left out. Other columns are not carried. An
 empty table, or an empty set of queries, gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +56,12 @@ def _code(term: str) -> int:
     return xxhash.xxh64_intdigest(term)
 
 
-SCHEMA = "shard long, ids array<long>, lengths array<int>, terms array<long>, ends array<int>, docs array<int>, counts array<int>"
+SCHEMA = "shard long, ids array<long>, lengths array<int>, terms array<long>, ends array<int>, docs array<int>, counts array<int>, block_ends array<int>, starts array<int>, most array<int>, least array<int>"
 
 
 def index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The shards. ``terms`` are sorted 64-bit names of terms, ``ends`` their posting lists' ends in ``docs`` and ``counts``.
-
+    A term's blocks end at ``block_ends`` in ``starts`` (their first postings), ``most`` (largest counts) and ``least`` (smallest lengths).
     Documents are numbered in the order of their ids, so postings are in the order in which ties are decided.
     """
 
@@ -98,7 +102,14 @@ def _shard(name: int, held: list[tuple[int, str]]) -> pa.RecordBatch:
     of = rank[np.array(flat, np.int64)] if flat else np.empty(0, np.int64)
     docs = np.repeat(np.arange(len(held)), sizes)
     by_term = np.argsort(of, kind="stable")
-    ends = np.cumsum(np.bincount(of, minlength=len(order)))
+    held_by = np.bincount(of, minlength=len(order))
+    ends = np.cumsum(held_by)
+    docs, tallies = docs[by_term], np.array(counts, np.int32)[by_term]
+    blocks = -(-held_by // BLOCK)
+    block_ends = np.cumsum(blocks)
+    starts = np.repeat(ends - held_by, blocks) + BLOCK * (np.arange(int(blocks.sum())) - np.repeat(block_ends - blocks, blocks))
+    spread = np.array(lengths, np.int32)
+    most, least = (f.reduceat(v, starts) if len(starts) else np.empty(0, np.int32) for f, v in ((np.maximum, tallies), (np.minimum, spread[docs])))
 
     def one(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
@@ -106,41 +117,56 @@ def _shard(name: int, held: list[tuple[int, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([name], pa.int64()), one(np.array([i for i, _ in held], np.int64), pa.int64()), one(np.array(lengths, np.int32), pa.int32()),
-            one(codes[order], pa.int64()), one(ends.astype(np.int32), pa.int32()), one(docs[by_term].astype(np.int32), pa.int32()), one(np.array(counts, np.int32)[by_term], pa.int32()),
+            one(codes[order], pa.int64()), one(ends.astype(np.int32), pa.int32()), one(docs.astype(np.int32), pa.int32()), one(tallies, pa.int32()),
+            one(block_ends.astype(np.int32), pa.int32()), one(starts.astype(np.int32), pa.int32()), one(most, pa.int32()), one(least, pa.int32()),
         ],
-        names=["shard", "ids", "lengths", "terms", "ends", "docs", "counts"],
+        names=["shard", "ids", "lengths", "terms", "ends", "docs", "counts", "block_ends", "starts", "most", "least"],
     )
 
 
 class Postings:
-    """Cursor over the documents of a term in a shard, with the largest score of each block."""
+    """Cursor over the documents of a term in a shard, with a bound of the scores of each block.
+
+    ``docs`` and ``counts`` are the term's postings, ``starts`` the first one of each block, ``tops`` the blocks' bounds;
+    ``score`` gives the scores of some counts and documents. Only blocks a cursor stops in are turned into lists, and only
+    blocks of scored documents are scored; ``scored`` counts these.
+    """
 
-    __slots__ = ("docs", "scores", "best", "last", "tops", "at", "doc")
+    __slots__ = ("docs", "counts", "starts", "score", "tops", "last", "best", "block", "held", "scores", "at", "doc", "scored")
 
-    def __init__(self, docs: np.ndarray, scores: np.ndarray):
-        starts = np.arange(0, len(docs), BLOCK)
-        self.docs, self.scores = docs.tolist(), scores.tolist()
-        self.tops = np.maximum.reduceat(scores, starts).tolist()
-        self.last = docs[np.minimum(starts + BLOCK, len(docs)) - 1].tolist()
-        self.best = max(self.tops)
-        self.at, self.doc = 0, self.docs[0]
+    def __init__(self, docs: np.ndarray, counts: np.ndarray, starts: np.ndarray, tops: np.ndarray, score: Callable[[np.ndarray, np.ndarray], np.ndarray]):
+        self.docs, self.counts, self.score = docs, counts, score
+        self.starts = [*starts.tolist(), len(docs)]
+        self.last = docs[np.append(starts[1:], len(docs)) - 1].tolist()
+        self.tops, self.best = tops.tolist(), float(tops.max())
+        self.block, self.at, self.scored, self.doc = 0, 0, 0, int(docs[0])
+        self.held: list[int] | None = None
+        self.scores: list[float] | None = None
 
     def seek(self, doc: int) -> None:
         """Move to the first document not before ``doc``: over blocks first, then inside one."""
-        block = self.at // BLOCK
-        while block < len(self.last) and self.last[block] < doc:
-            block += 1
-        at = max(self.at, block * BLOCK)
-        while at < len(self.docs) and self.docs[at] < doc:
-            at += 1
-        self.at, self.doc = at, self.docs[at] if at < len(self.docs) else NO_ID
+        block = self.block_of(doc)
+        if block == len(self.last):
+            self.doc = NO_ID
+            return
+        if block != self.block or self.held is None:
+            if block != self.block:
+                self.block, self.at, self.scores = block, 0, None
+            self.held = self.docs[self.starts[block] : self.starts[block + 1]].tolist()
+        self.at = bisect_left(self.held, doc, self.at)
+        self.doc = self.held[self.at]
+
+    def value(self) -> float:
+        """Score of the document under the cursor."""
+        if self.scores is None:
+            own = slice(self.starts[self.block], self.starts[self.block + 1])
+            self.scores = self.score(self.counts[own], self.docs[own]).tolist()
+            self.scored += 1
+        return self.scores[self.at]
 
     def block_of(self, doc: int) -> int:
         """The block that would hold ``doc``; the cursor stays."""
-        block = self.at // BLOCK
-        while block < len(self.last) and self.last[block] < doc:
-            block += 1
-        return block
+        return bisect_left(self.last, doc, self.block)
 
 
 def search_shard(lists: list[Postings], k: int) -> list[tuple[float, int]]:
@@ -172,7 +198,7 @@ def search_shard(lists: list[Postings], k: int) -> list[tuple[float, int]]:
             score = 0.0
             # Terms are added in a fixed order, so equal documents score equally.
             for c in sorted((c for c in lists if c.doc == doc), key=lambda c: c.best):
-                score += c.scores[c.at]
+                score += c.value()
                 c.seek(doc + 1)
             if len(heap) < k:
                 heapq.heappush(heap, (score, -doc))
@@ -222,13 +248,25 @@ def _search_group(shards: DataFrame, asked: list[tuple[int, dict[int, int]]], k:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             ids, lengths, names, ends, docs, counts = _arrays(row, "ids", "lengths", "terms", "ends", "docs", "counts")
+            block_ends, starts, most, least = _arrays(row, "block_ends", "starts", "most", "least")
             norm = K1 * (1 - B + B * lengths / mean)
             place = {int(t): i for t, i in zip(wanted, np.searchsorted(names, wanted), strict=True) if i < len(names) and names[i] == t}
-            parts = {t: slice(int(ends[i - 1]) if i else 0, int(ends[i])) for t, i in place.items()}
-            plain = {t: idf[t] * counts[p] * (K1 + 1) / (counts[p] + norm[docs[p]]) for t, p in parts.items()}
+
+            def cursor(t: int, n: int, at: dict[int, int] = place, norm: np.ndarray = norm) -> Postings:
+                i = at[t]
+                first, last = int(ends[i - 1]) if i else 0, int(ends[i])
+                own = slice(int(block_ends[i - 1]) if i else 0, int(block_ends[i]))
+
+                def score(f: np.ndarray, d: np.ndarray) -> np.ndarray:
+                    return idf[t] * f * (K1 + 1) / (f + norm[d]) * n
+
+                # The score grows with the count and falls with the length.
+                tops = idf[t] * most[own] * (K1 + 1) / (most[own] + K1 * (1 - B + B * least[own] / mean)) * n
+                return Postings(docs[first:last], counts[first:last], starts[own] - first, tops, score)
+
             out: list[tuple[int, int, float]] = []
             for query, bag in asked:
-                lists = [Postings(docs[parts[t]], plain[t] * n) for t, n in bag.items() if t in parts]
+                lists = [cursor(t, n) for t, n in bag.items() if t in place]
                 out.extend((query, int(ids[d]), s) for s, d in search_shard(lists, k))
             columns = list(zip(*out, strict=True)) if out else [[], [], []]
             kinds = pa.int64(), pa.int64(), pa.float64()
@@ -251,11 +289,16 @@ def top_k(shards: DataFrame, queries: DataFrame, k: int = TOP, query_id: str = "
         group.clear()
 
     signed = np.iinfo(np.int64)
-    for row in queries.select(F.col(query_id).cast("long").alias("q"), F.col(text).alias("t")).where("q IS NOT NULL").orderBy("q").toLocalIterator():
+    asked = queries.select(F.col(query_id).cast("long").alias("q"), F.col(text).alias("t")).where("q IS NOT NULL").distinct()
+    for row in asked.orderBy("q", "t").toLocalIterator():
         bag = Counter(_code(t) for t in terms(row["t"]))
-        group.append((row["q"], {c - (1 << 64) if c > signed.max else c: n for c, n in bag.items()}))
+        signs = Counter({c - (1 << 64) if c > signed.max else c: n for c, n in bag.items()})
+        if group and group[-1][0] == row["q"]:
+            group[-1][1].update(signs)
+            continue
         if len(group) == QUERIES:
             search()
+        group.append((row["q"], signs))
     if group or not found:
         search()
     merged = found[0]

@@ -13,7 +13,8 @@ and at least one of ``TABLES`` = 24 with 0.99; closer pairs nearly always do. Re
 thus about 0.98, and tests measure it.
 
 Equal vectors are one entry with a count. Vectors that are null, empty, zero, or hold null or non-finite components link with
-nothing and are their own component. Vectors of different lengths never meet. Rows of a null id count as links of others, and
+nothing and are their own component. Vectors of different lengths never meet. Rows of one id with different vectors are vectors
+of their own, each with its own links and component. Rows of a null id count as links of others, and
 get a null component if nothing else names theirs. An empty table gives an empty result.
 """
 
@@ -136,16 +137,16 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, vec_id: str = "vec_id
     # Adding zero makes -0 and 0 the same bytes.
     plain = F.transform(F.col(vector).cast("array<double>"), lambda x: x + F.lit(0.0))
     rows = cut(df.select(F.col(vec_id).cast("long").alias("vec_id"), F.when(usable(F.col(vector)), plain).alias("_v")).withColumn("_h", F.when(F.col("_v").isNotNull(), F.sha2(F.array_join(F.col("_v").cast("array<string>"), ",").cast("binary"), 256))))
-    # Vectors are equal if their texts are; the node of a group is its smallest id, or a number below all ids without one.
+    # Vectors are equal if their texts are. The number of a distinct vector is given by the written table, so rows of one id
+    # with different vectors are apart.
     groups = rows.where("_h IS NOT NULL").groupBy("_h").agg(F.min("vec_id").alias("_least"), F.count(F.lit(1)).alias("_copies"), F.any_value("_v").alias("vector"))
-    groups = cut(groups.withColumn("node", F.coalesce("_least", -F.lit(1 << 62) + F.pmod(F.xxhash64("_h"), F.lit(1 << 61)))))
+    groups = cut(groups.withColumn("node", F.monotonically_increasing_id()))
     found = cut(links(groups.select("node", "vector"), threshold))
     both = found.select("a", "b").unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = groups.select(F.col("node").alias("b"), F.col("_copies").alias("_n"))
     linked = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("_n").alias("_links"))
     parts = components(found.select("a", "b"))
-    # Nodes without an id do not name a component.
-    named = parts.groupBy("component").agg(F.min(F.when(F.col("node") > -(1 << 61), F.col("node"))).alias("component_id"))
+    named = parts.join(groups.select("node", "_least"), "node").groupBy("component").agg(F.min("_least").alias("component_id"))
     known = groups.select("_h", "node", "_least", "_copies").join(linked, "node", "left").join(parts, "node", "left").join(named, "component", "left")
     told = known.select(
         F.col("_h").alias("_g"),
