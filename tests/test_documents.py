@@ -426,3 +426,27 @@ def test_unfolded_documents(spark):
     wide = docs.with_prefixes(people, schema, "Person", spaces, prefixed=False)
     back = docs.with_prefixes(wide, schema, "Person", spaces).where("id = 'Person/1'").first()
     assert back.home.city == "c:1" and back.boss == "Person/2" and back.friends == ["Person/1", "Clerk/1"]
+
+
+def test_datatypes_of_text_columns(spark):
+    """Each column takes the first datatype all its values have in common, whatever part of the table they are in."""
+    from tripleframe.operators import validate
+
+    held = {
+        "whole": (["1", " -7 ", None], "xsd:integer"), "double": (["1", "2.5", "1e3"], "xsd:double"), "point": (["1.0", "2.", "3"], "xsd:double"),
+        "decimal": (["12345678901234567890", "1.5", "0"], "xsd:decimal"), "huge": (["1" * 40, "1.5", "2"], "xsd:double"),
+        "day": (["2020-02-29", "1999-12-31", None], "xsd:date"), "moment": (["2020-02-29", "2020-02-29T01:02:03", None], "xsd:dateTime"),
+        "noday": (["2021-02-29", "2020-01-01", None], "xsd:string"), "lasts": (["P1Y2M", "PT0.5S", "-P3DT4H"], "xsd:duration"), "p": (["P", "PT", "P1D"], "xsd:string"),
+        "flag": (["true", "false", None], "xsd:boolean"), "mixed": (["1", "P1D", "x"], "xsd:string"), "none": ([None, None, None], "xsd:string"),
+    }
+    rows_ = list(zip(*[v for v, _ in held.values()], strict=True))
+    df = spark.createDataFrame(rows_, ", ".join(f"{c} string" for c in held)).repartition(3)
+    found = validate.profile(df)
+    assert found.ranges == {c: r for c, (_, r) in held.items()}
+    assert found.nulls == {c for c, (v, _) in held.items() if None in v} and found.rows == 3
+    typed = df.selectExpr("make_dt_interval(1) as d", "cast('2020-01-01' as date) as e", "1.5BD as f")
+    assert list(validate.profile(typed).ranges.values()) == ["xsd:duration", "xsd:date", "xsd:decimal"]
+    assert validate.profile(df.where("false")).ranges == dict.fromkeys(held, "xsd:string")
+    definition = validate.infer_class(df, "A", keys=["whole"], na_mode="optional", embedded=["p"])
+    assert [(p.range, p.kind) for p in definition.props][:1] == [("xsd:integer", "required")]
+    assert next(p for p in definition.props if p.name == "p").range == "A"

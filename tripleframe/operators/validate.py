@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -163,41 +163,87 @@ def key_changes(before: DataFrame, after: DataFrame, definition: ClassDef) -> Da
 
 # Inference ------------------------------------------------------------------------------------------
 
-# Types tried on text columns, narrowest first.
-_CANDIDATES = ("bigint", "double", "boolean", "timestamp_ntz")
-# Fixed pattern: text of a number. Text that fails it is never parsed, which is much cheaper than a failed parse.
+# Datatypes tried on text columns, the one to prefer first. A value has a bit for each datatype it can be read
+# as, and a column has the datatypes that all its values have in common.
+_LATTICE = ("xsd:integer", "xsd:double", "xsd:decimal", "xsd:boolean", "xsd:date", "xsd:dateTime", "xsd:duration")
+# Fixed patterns: texts of datatypes. Text that fails its pattern is never parsed, which is much cheaper than a failed parse.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?([Nn]a[Nn]|[Ii]nf(inity)?)$"
+_LONG_NUMBER = r"^[+-]?0*(\d\.?){18,}$"
+_DECIMAL = r"^[+-]?\d{1,28}(\.\d{0,10})?$"
+_DATE = r"^\d{4}-\d{2}-\d{2}$"
+_DURATION = r"^-?P(?=.)(\d+Y)?(\d+M)?(\d+D)?(T(?=.)(\d+H)?(\d+M)?(\d+(\.\d+)?S)?)?$"
 
 
-def _fits(text: Column, kind: str) -> Column:
-    value = F.trim(text)
-    return F.when(value.rlike(_NUMBER), value.try_cast(kind)) if kind in ("bigint", "double") else value.try_cast(kind)
+@dataclass(frozen=True)
+class Profile:
+    """What one pass over a table tells: datatype of each column, and the columns that hold a null."""
 
+    ranges: dict[str, str]
+    nulls: frozenset[str]
+    rows: int
+
+    def kind(self, name: str) -> str:
+        """Spark type a text column is read as."""
+        return SPARK_TYPES.get(self.ranges[name], "string")
 
-def infer_types(df: DataFrame) -> dict[str, str]:
-    """Spark type of each column; text columns take the narrowest type all their values convert to.
 
-    One aggregation over the table, whatever the number of columns.
+def _readable(text: Column) -> Column:
+    """The datatypes a text can be read as, a bit each."""
+    value = F.trim(text)
+    number = value.rlike(_NUMBER)
+    tests = {
+        "xsd:integer": number & value.try_cast("bigint").isNotNull() & ~value.contains("."),
+        # A number of more digits than a double holds is one only if its column has no other way.
+        "xsd:double": number & ~value.rlike(_LONG_NUMBER),
+        "xsd:decimal": value.rlike(_DECIMAL),
+        "xsd:boolean": value.try_cast("boolean").isNotNull(),
+        "xsd:date": value.rlike(_DATE) & value.try_cast("date").isNotNull(),
+        "xsd:dateTime": ~number & value.try_cast("timestamp_ntz").isNotNull(),
+        "xsd:duration": value.rlike(_DURATION),
+    }
+    bits = [F.when(tests[kind], F.lit(1 << i)).otherwise(F.lit(0)) for i, kind in enumerate(_LATTICE)]
+    return reduce(lambda a, b: a + b, bits, F.when(number, F.lit(1 << len(_LATTICE))).otherwise(F.lit(0)))
+
+
+def _range_of(state: int | None) -> str:
+    for i, kind in enumerate(_LATTICE):
+        if state and state & 1 << i:
+            return kind
+    # Numbers of any length, some of which are no decimals either.
+    return "xsd:double" if state and state & 1 << len(_LATTICE) else "xsd:string"
+
+
+def profile(df: DataFrame, complete: bool = False) -> Profile:
+    """Datatypes and nulls of a table, in one aggregation whatever the number of columns.
+
+    Typed columns keep their type. A text column takes the first datatype of the lattice that all its values can be read as: integer,
+    double, decimal (where some number has more digits than a double holds), boolean, date, dateTime, duration; a column without values
+    is text. States of parts of a table are merged by intersecting them. ``complete`` looks at rows without nulls only, for datatypes.
     """
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    out = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    if not texts:
-        return out
-    checks = [F.count(F.col(f"`{c}`")).alias(f"{i}.n") for i, c in enumerate(texts)]
-    for i, c in enumerate(texts):
-        for kind in _CANDIDATES:
-            checks.append(F.count(_fits(F.col(f"`{c}`"), kind)).alias(f"{i}.{kind}"))
+    names = {f.name: F.col(f"`{f.name}`") for f in df.schema.fields}
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in names.values()], F.lit(True))
+    checks = [F.count(F.lit(1)).alias("rows")]
+    for i, f in enumerate(df.schema.fields):
+        value = names[f.name]
+        checks.append(F.count(value).alias(f"{i}.n"))
+        if isinstance(f.dataType, T.StringType):
+            checks.append(F.bit_and(F.when(whole if complete else value.isNotNull(), _readable(value))).alias(f"{i}.state"))
     row = df.agg(*checks).first().asDict()
-    for i, c in enumerate(texts):
-        fits = [k for k in _CANDIDATES if row[f"{i}.n"] and row[f"{i}.{k}"] == row[f"{i}.n"]]
-        out[c] = fits[0] if fits else "string"
-    return out
+    ranges = {}
+    for i, f in enumerate(df.schema.fields):
+        if isinstance(f.dataType, T.StringType):
+            ranges[f.name] = _range_of(row[f"{i}.state"])
+        elif isinstance(f.dataType, (T.DayTimeIntervalType, T.YearMonthIntervalType)):
+            ranges[f.name] = "xsd:duration"
+        else:
+            ranges[f.name] = literal_type(f.dataType.simpleString())
+    return Profile(ranges, frozenset(f.name for i, f in enumerate(df.schema.fields) if row[f"{i}.n"] < row["rows"]), row["rows"])
 
 
-def nullable_columns(df: DataFrame) -> set[str]:
-    """Columns that hold at least one null; one aggregation."""
-    row = df.agg(*[F.max(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns]).first()
-    return {c for c in df.columns if row[c]}
+def infer_types(df: DataFrame) -> dict[str, str]:
+    """Spark type of each column; text columns take the type their datatype is read as."""
+    found = profile(df)
+    return {f.name: found.kind(f.name) if isinstance(f.dataType, T.StringType) else f.dataType.simpleString() for f in df.schema.fields}
 
 
 def infer_class(
@@ -207,25 +253,26 @@ def infer_class(
     na_mode: str | None = None,
     id_col: str | None = None,
     embedded: Sequence[str] = (),
+    found: Profile | None = None,
 ) -> ClassDef:
-    """Class of a table: datatypes from the columns, optional properties where ``na_mode`` allows missing values."""
-    props = []
-    for name, kind in infer_types(df).items():
-        range_ = class_name if name in embedded else literal_type(kind)
-        loose = na_mode == "optional" and name not in keys and name != id_col
-        props.append(Prop(name, range_, "optional" if loose else "required"))
-    strategy = "Lexical" if keys else "Random"
-    return ClassDef(class_name, tuple(props), key=strategy, key_fields=tuple(keys))
+    """Class of a table from its profile. Each column has a role: a link to a document of the class (``embedded``), part of the
+    identity (keys and id column, always required), or a plain value that may be missing where ``na_mode`` is ``optional``."""
+    found = found or profile(df)
+    identity = {*keys, id_col}
+    links = dict.fromkeys(embedded, class_name)
+    value_kind = "optional" if na_mode == "optional" else "required"
+    props = tuple(Prop(c, links.get(c, r), "required" if c in identity else value_kind) for c, r in found.ranges.items())
+    return ClassDef(class_name, props, key="Lexical" if keys else "Random", key_fields=tuple(keys))
 
 
 def class_table(df: DataFrame, class_name: str) -> DataFrame:
     """(class, property, range, nullable) of an inferred class as rows."""
-    nulls = nullable_columns(df)
-    props = infer_class(df, class_name).props
+    found = profile(df)
+    props = infer_class(df, class_name, found=found).props
     table = local_table(
         df.sparkSession,
         property=[p.name for p in props],
         range=[p.range for p in props],
-        nullable=[str(p.name in nulls).lower() for p in props],
+        nullable=[str(p.name in found.nulls).lower() for p in props],
     )
     return table.select(F.lit(class_name).alias("class"), "property", "range", F.col("nullable").cast("boolean"))

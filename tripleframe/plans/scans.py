@@ -99,6 +99,43 @@ def import_csv_embedded(t: Tables) -> DataFrame:
     return csv.import_csv(t.spark, _part_csv(t), class_name="Part", id_="part_key", embedded=["brand"])[0]
 
 
+@query(
+    "A4_import_csv_error_mode",
+    "select 'Part/' || p_partkey as id, p_partkey as key, p_name as name, p_size::bigint as size, p_retailprice as price from part",
+)
+def import_csv_error_mode(t: Tables) -> DataFrame:
+    """A file without missing values passes the strict mode whole."""
+    path = t.scratch()
+    csv.export_csv(t.part.select(*[F.col(f"p_{c}").alias(n) for c, n in (("partkey", "Key"), ("name", "Name"), ("size", "Size"), ("retailprice", "Price"))]), path)
+    return csv.import_csv(t.spark, path, keys=["key"], class_name="Part", na="error")[0]
+
+
+@query(
+    "A4_import_csv_dates",
+    """select 'Order/' || o_orderkey as id, o_orderkey as key, o_orderdate::date as day, o_orderdate::timestamp as moment,
+         'P' || (o_orderkey % 90) || 'DT6H' as lasts, (o_orderkey::decimal(38, 10) + 1000000000000000000.25)::decimal(38, 10) as exact from orders""",
+)
+def import_csv_dates(t: Tables) -> DataFrame:
+    """Dates, moments, durations and numbers that no double holds keep their datatypes."""
+    path = t.scratch()
+    at = F.col("o_orderdate").cast("timestamp_ntz")
+    lasts = F.concat(F.lit("P"), (F.col("o_orderkey") % 90).cast("string"), F.lit("DT6H"))
+    exact = F.col("o_orderkey").cast("decimal(28,2)") + F.lit("1000000000000000000.25").cast("decimal(28,2)")
+    csv.export_csv(
+        t.orders.select(
+            F.col("o_orderkey").alias("Key"), at.cast("date").cast("string").alias("Day"), at.cast("string").alias("Moment"),
+            lasts.alias("Lasts"), exact.cast("string").alias("Exact"),
+        ),
+        path,
+    )
+    table, found = csv.import_csv(t.spark, path, keys=["key"], class_name="Order", na="error")
+    kinds = {p.name: p.range for p in found.props}
+    expected = {"key": "xsd:integer", "day": "xsd:date", "moment": "xsd:dateTime", "lasts": "xsd:duration", "exact": "xsd:decimal"}
+    if kinds != expected:
+        raise ValueError(f"inferred {kinds}")
+    return table
+
+
 def _flatten_sql(depth: int) -> str:
     cols = ['o.id as "Document id"', "o.status", "o.totalprice", "o.orderdate", "o.priority"]
     joins = f"from {class_sql('Order')} o left join {class_sql('Customer')} c on c.id = o.customer"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripleframe.functions.ids import assign_ids
 from tripleframe.model import SPARK_TYPES, ClassDef, names
-from tripleframe.operators.validate import infer_class, infer_types
+from tripleframe.operators.validate import infer_class, profile
 
 # Texts that mean a missing value.
 MISSING = (
@@ -125,15 +125,16 @@ def import_csv(
     df = df.select([F.when(~F.col(c).isin(*MISSING), F.col(c)).alias(c) for c in df.columns])
     if id_ is not None and id_ not in df.columns:
         raise ValueError(f"the id column {id_} is missing")
-    if na == "error":
-        if df.where(_any_null(df.columns)).limit(1).count():
-            raise ValueError("the data has missing values: skip the records or make the properties optional")
-    elif na == "skip":
+    # One pass over the file tells missing values and datatypes.
+    seen = profile(df, complete=na == "skip")
+    if na == "error" and seen.nulls:
+        raise ValueError("the data has missing values: skip the records or make the properties optional")
+    if na == "skip":
         df = df.dropna("any")
-    elif keys and df.where(_any_null(list(keys))).limit(1).count():
+    elif seen.nulls & set(keys):
         raise ValueError("a key column has missing values")
-    kinds = infer_types(df)
-    found = definition or infer_class(df, cls, keys, na, id_, embedded)
+    found = definition or infer_class(df, cls, keys, na, id_, embedded, seen)
+    kinds = {c: seen.kind(c) for c in df.columns}
     typed = df.select(
         [
             F.concat(F.lit(f"{cls}/"), F.col(c)).alias(c) if c in embedded else F.trim(F.col(c)).try_cast(kinds[c]).alias(c)
@@ -152,13 +153,6 @@ def import_csv(
     return assign_ids(typed, cls, "Lexical", typed.columns), found
 
 
-def _any_null(cols: Sequence[str]) -> Any:
-    test = F.lit(False)
-    for c in cols:
-        test = test | F.col(c).isNull()
-    return test
-
-
 def export_csv(df: DataFrame, path: str) -> None:
     """Write a flat table as CSV."""
     df.write.mode("overwrite").options(**_WRITE).csv(path)
