@@ -20,6 +20,7 @@ empty table, or an empty set of queries, gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -56,12 +57,13 @@ def _code(term: str) -> int:
     return xxhash.xxh64_intdigest(term)
 
 
-SCHEMA = "shard long, ids array<long>, lengths array<int>, terms array<long>, ends array<int>, docs array<int>, counts array<int>, block_ends array<int>, starts array<int>, most array<int>, least array<int>"
+SCHEMA = "shard long, ids array<long>, lengths array<int>, terms array<long>, ends array<int>, docs array<int>, counts array<int>, block int, most array<int>, least array<int>"
 
 
 def index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The shards. ``terms`` are sorted 64-bit names of terms, ``ends`` their posting lists' ends in ``docs`` and ``counts``.
-    A term's blocks end at ``block_ends`` in ``starts`` (their first postings), ``most`` (largest counts) and ``least`` (smallest lengths).
+    ``most`` (largest counts) and ``least`` (smallest lengths) hold the blocks of ``block`` postings of the terms that have several,
+    in the order of the terms; a single block is its own bound.
     Documents are numbered in the order of their ids, so postings are in the order in which ties are decided.
     """
 
@@ -88,7 +90,7 @@ def index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
 def _shard(name: int, held: list[tuple[int, str]]) -> pa.RecordBatch:
     held.sort(key=lambda x: x[0])
     known: dict[str, int] = {}
-    flat, counts, lengths, sizes = [], [], [], []
+    flat, counts, lengths, sizes = array("i"), array("i"), array("i"), array("i")
     for _, text in held:
         bag = Counter(terms(text))
         flat.extend([known.setdefault(t, len(known)) for t in bag])
@@ -99,8 +101,8 @@ def _shard(name: int, held: list[tuple[int, str]]) -> pa.RecordBatch:
     order = np.argsort(codes)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    of = rank[np.array(flat, np.int64)] if flat else np.empty(0, np.int64)
-    docs = np.repeat(np.arange(len(held)), sizes)
+    of = rank[np.array(flat)] if flat else np.empty(0, np.int64)
+    docs = np.repeat(np.arange(len(held), dtype=np.int32), np.array(sizes))
     by_term = np.argsort(of, kind="stable")
     held_by = np.bincount(of, minlength=len(order))
     ends = np.cumsum(held_by)
@@ -110,6 +112,7 @@ def _shard(name: int, held: list[tuple[int, str]]) -> pa.RecordBatch:
     starts = np.repeat(ends - held_by, blocks) + BLOCK * (np.arange(int(blocks.sum())) - np.repeat(block_ends - blocks, blocks))
     spread = np.array(lengths, np.int32)
     most, least = (f.reduceat(v, starts) if len(starts) else np.empty(0, np.int32) for f, v in ((np.maximum, tallies), (np.minimum, spread[docs])))
+    several = np.repeat(blocks > 1, blocks)
 
     def one(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
@@ -117,10 +120,10 @@ def _shard(name: int, held: list[tuple[int, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([name], pa.int64()), one(np.array([i for i, _ in held], np.int64), pa.int64()), one(np.array(lengths, np.int32), pa.int32()),
-            one(codes[order], pa.int64()), one(ends.astype(np.int32), pa.int32()), one(docs.astype(np.int32), pa.int32()), one(tallies, pa.int32()),
-            one(block_ends.astype(np.int32), pa.int32()), one(starts.astype(np.int32), pa.int32()), one(most, pa.int32()), one(least, pa.int32()),
+            one(codes[order], pa.int64()), one(ends.astype(np.int32), pa.int32()), one(docs, pa.int32()), one(tallies, pa.int32()),
+            pa.array([BLOCK], pa.int32()), one(most[several], pa.int32()), one(least[several], pa.int32()),
         ],
-        names=["shard", "ids", "lengths", "terms", "ends", "docs", "counts", "block_ends", "starts", "most", "least"],
+        names=["shard", "ids", "lengths", "terms", "ends", "docs", "counts", "block", "most", "least"],
     )
 
 
@@ -248,21 +251,25 @@ def _search_group(shards: DataFrame, asked: list[tuple[int, dict[int, int]]], k:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             ids, lengths, names, ends, docs, counts = _arrays(row, "ids", "lengths", "terms", "ends", "docs", "counts")
-            block_ends, starts, most, least = _arrays(row, "block_ends", "starts", "most", "least")
+            block, (most, least) = row["block"].as_py(), _arrays(row, "most", "least")
+            blocks = -(-np.diff(np.append(0, ends)) // block)
+            block_ends = np.cumsum(np.where(blocks > 1, blocks, 0))
             norm = K1 * (1 - B + B * lengths / mean)
             place = {int(t): i for t, i in zip(wanted, np.searchsorted(names, wanted), strict=True) if i < len(names) and names[i] == t}
 
             def cursor(t: int, n: int, at: dict[int, int] = place, norm: np.ndarray = norm) -> Postings:
                 i = at[t]
                 first, last = int(ends[i - 1]) if i else 0, int(ends[i])
+                f, d = counts[first:last], docs[first:last]
                 own = slice(int(block_ends[i - 1]) if i else 0, int(block_ends[i]))
+                high, low = (most[own], least[own]) if blocks[i] > 1 else (f.max(keepdims=True), lengths[d].min(keepdims=True))
 
                 def score(f: np.ndarray, d: np.ndarray) -> np.ndarray:
                     return idf[t] * f * (K1 + 1) / (f + norm[d]) * n
 
                 # The score grows with the count and falls with the length.
-                tops = idf[t] * most[own] * (K1 + 1) / (most[own] + K1 * (1 - B + B * least[own] / mean)) * n
-                return Postings(docs[first:last], counts[first:last], starts[own] - first, tops, score)
+                tops = idf[t] * high * (K1 + 1) / (high + K1 * (1 - B + B * low / mean)) * n
+                return Postings(d, f, np.arange(0, last - first, block), tops, score)
 
             out: list[tuple[int, int, float]] = []
             for query, bag in asked:
