@@ -11,12 +11,12 @@ from functools import reduce
 from itertools import product
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripleframe.model import Schema, column, names, variable
-from tripleframe.operators.spread import number_rows
+from tripleframe.operators.spread import number_rows, slices
 from tripleframe.session import cut, cut_counted
 
 _MARK = "maybe_unbound"
@@ -475,6 +475,39 @@ def range_join(points: DataFrame, spans: DataFrame, point: str, start: str, end:
     return left.join(right, on).where(inside).drop("_level", "_bucket", "_sl", "_sr")
 
 
+def range_totals(points: DataFrame, spans: DataFrame, point: str, start: str, end: str, sums: Sequence[str] = (), count: str = "n") -> DataFrame:
+    """The spans that hold points (``start <= point < end``), with the number of these and the sums of their whole-numbered columns.
+
+    What ``range_join`` and a grouping by span would give, without a row for each pair: points of one value are added up, then
+    all values and span ends are sorted together in slices, running totals tell what lies below each end, and a span has the
+    difference of its ends. So the work grows with points and spans, however many points a span holds.
+    """
+    unlike = [c for c in sums if not isinstance(points.schema[c].dataType, T.IntegralType)]
+    if unlike:
+        raise ValueError(f"differences of running sums are exact for whole numbers only: {unlike}")
+    adds = [F.count(F.lit(1)), *[x for c in sums for x in (F.count(c), F.sum(F.col(c).cast("decimal(38,0)")))]]
+    told = [f"_t{i}" for i in range(len(adds))]
+    values = points.where(F.col(point).isNotNull()).groupBy(F.col(point).alias("_at")).agg(*[a.alias(t) for a, t in zip(adds, told, strict=True)])
+    held = spans.where(F.col(start) < F.col(end))
+    ends = held.select(F.explode(F.array(start, end)).alias("_at")).distinct().withColumn("_end", F.lit(True))
+    rows = values.unionByName(ends, allowMissingColumns=True).groupBy("_at").agg(
+        F.max("_end").alias("_end"), *[F.coalesce(F.sum(t), F.lit(0)).cast("decimal(38,0)").alias(t) for t in told]
+    )
+    sliced = slices(rows, [], [F.col("_at")])
+    within = Window.partitionBy("_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a slice, as many as there are shuffle partitions.
+    totals = sliced.groupBy("_slice").agg(*[F.sum(t).alias(t) for t in told])
+    offsets = totals.select("_slice", *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"_o{t}") for t in told])
+    running = sliced.select("_slice", "_at", "_end", *[F.coalesce(F.sum(t).over(within), F.lit(0)).alias(t) for t in told]).where("_end")
+    below = cut(running.join(F.broadcast(offsets), "_slice").select("_at", *[(F.col(t) + F.col(f"_o{t}")).alias(t) for t in told]))
+    for side, name in enumerate((start, end)):
+        held = held.join(below.select(F.col("_at").alias(f"_at{side}"), *[F.col(t).alias(f"{t}_{side}") for t in told]), F.col(name) == F.col(f"_at{side}"))
+    inside = [(F.col(f"{t}_1") - F.col(f"{t}_0")).cast("bigint") for t in told]
+    made = [F.when(inside[1 + 2 * i] > 0, inside[2 + 2 * i]).alias(c) for i, c in enumerate(sums)]
+    return held.where(inside[0] > 0).select(*spans.columns, inside[0].alias(count), *made)
+
+
 # Relations that hold only where one endpoint of each interval is the same.
 _TOUCHING = {
     "meets": (1, 0), "met_by": (0, 1), "starts": (0, 0), "started_by": (0, 0), "equals": (0, 0), "finishes": (1, 1), "finished_by": (1, 1),
@@ -557,5 +590,5 @@ def page(
 __all__ = [
     "and_", "cast", "distinct", "drop_unbound", "eq", "exists", "family", "greater", "gte", "in_range", "interval_join", "isa", "less", "like",
     "limit", "lte", "mark_bound", "mark_unbound", "maybe_unbound", "member", "not_", "once", "opt", "or_", "order_by",
-    "page", "range_join", "regexp", "select", "set_member", "start", "subsumption", "true", "type_of",
+    "page", "range_join", "range_totals", "regexp", "select", "set_member", "start", "subsumption", "true", "type_of",
 ]

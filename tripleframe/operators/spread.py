@@ -36,7 +36,8 @@ def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     return cols + [_sortable(df, c) for c in df.columns if c not in named]
 
 
-def _slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows cut by ranges of (keys, order), written, with the number of their slice."""
     ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
     return cut(ranged.withColumn("_slice", F.spark_partition_id()))
 
@@ -77,7 +78,7 @@ def neighbours(
     df: DataFrame, keys: Sequence[str], value: str, previous: str | None = None, following: str | None = None
 ) -> DataFrame:
     """Add the previous and/or next value within each group; values are distinct in a group."""
-    ranged = _slices(df, keys, [F.col(value)])
+    ranged = slices(df, keys, [F.col(value)])
     edges = ranged.groupBy(*keys, "_slice").agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     over_slices = Window.partitionBy(*keys).orderBy("_slice")
     edges = edges.select(
@@ -110,7 +111,7 @@ def nearest(lookups: DataFrame, values: DataFrame, keys: Sequence[str], at: str,
     rows = lookups.select(*keys, at, F.lit(0).alias("_held")).unionByName(values.select(*keys, at, F.lit(1).alias("_held")))
     # A lookup comes before the equal value, so what it has seen is beyond it.
     order = [F.col(at).desc() if following else F.col(at).asc(), F.col("_held")]
-    ranged = _slices(rows, keys, order)
+    ranged = slices(rows, keys, order)
     value = F.when(F.col("_held") == 1, F.col(at))
     edges = ranged.groupBy(*keys, "_slice").agg((F.min(value) if following else F.max(value)).alias("_edge"))
     carried = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -317,8 +317,8 @@ def long_spans(t: Tables) -> DataFrame:
         F.concat(F.lit("day "), F.col("o_orderkey").cast("string")).alias("span"), at.alias("opens"), (at + F.expr("interval 1 day")).alias("closes")
     )
     spans = _months(t).select(F.col("month").alias("span"), "opens", "closes").unionByName(every).unionByName(days)
-    pairs = c.range_join(lines, spans, "l_shipdate", "opens", "closes")
-    return pairs.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
+    totals = c.range_totals(lines, spans, "l_shipdate", "opens", "closes", ["l_orderkey"])
+    return totals.groupBy("span").agg(F.sum("n").alias("n"), F.sum("l_orderkey").alias("keys"))
 
 
 #: Windows that start and end with months, and others: which hold of (a, b) against (m0, m1) for each relation.
