@@ -15,6 +15,19 @@ from tripleframe.sources import triples
 from .conftest import rows
 
 
+def _facts(spark, n, shift=0):
+    made = spark.range(n).select(F.concat(F.lit("s/"), F.col("id").cast("string")).alias("s"), (F.col("id") % 7 + shift).cast("string").alias("o"))
+    return made.selectExpr(
+        "'instance' graph", "s", "'p' p", "o", "'data' o_kind", "'xsd:integer' o_type", "cast(o as double) o_num", "cast(null as timestamp_ntz) o_ts"
+    )
+
+
+def _first_exchange_is_above_no_aggregate(df):
+    """Whether rows are dealt before any of them is aggregated."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Aggregate" in plan and "Aggregate" not in plan[plan.rindex("Exchange"):]
+
+
 def test_totals_of_spans_are_those_of_their_pairs(spark):
     rnd = random.Random(3)
     points = [(rnd.choice([None, *range(40)]), rnd.choice([None, 5, -7, 1 << 40])) for _ in range(300)] + [(17, 3)] * 200
@@ -26,3 +39,10 @@ def test_totals_of_spans_are_those_of_their_pairs(spark):
     assert c.range_totals(p.where("false"), s, "at", "a", "b", ["x"]).collect() == []
     with pytest.raises(ValueError):
         c.range_totals(p.withColumn("x", F.col("x").cast("double")), s, "at", "a", "b", ["x"])
+
+
+def test_replaced_facts_are_dealt_before_they_are_made_unique(spark):
+    new = _facts(spark, 50).unionByName(_facts(spark, 20))
+    out = triples.update_triples(_facts(spark, 0), new)
+    assert _first_exchange_is_above_no_aggregate(out)
+    assert rows(out) == rows(_facts(spark, 50))
