@@ -46,3 +46,10 @@ def test_replaced_facts_are_dealt_before_they_are_made_unique(spark):
     out = triples.update_triples(_facts(spark, 0), new)
     assert _first_exchange_is_above_no_aggregate(out)
     assert rows(out) == rows(_facts(spark, 50))
+
+
+def test_changes_are_dealt_before_they_are_grouped(spark):
+    adds = _facts(spark, 50).unionByName(_facts(spark, 20)).selectExpr("0L seq", "'+' op", "*")
+    net = update.net_changes(adds)
+    assert _first_exchange_is_above_no_aggregate(net)
+    assert rows(net) == rows(_facts(spark, 50).selectExpr("0L seq", "'+' op", "*"))
