@@ -53,3 +53,21 @@ def test_changes_are_dealt_before_they_are_grouped(spark):
     net = update.net_changes(adds)
     assert _first_exchange_is_above_no_aggregate(net)
     assert rows(net) == rows(_facts(spark, 50).selectExpr("0L seq", "'+' op", "*"))
+
+
+def test_changes_are_derived_once(spark):
+    before, after = _facts(spark, 40), _facts(spark, 60, shift=1)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    changes = update.changes_between(before, after.withColumn("s", counted("s")))
+    assert rows(update.apply_changes(before, changes, net=True)) == rows(after)
+    assert seen.value == 60
+    assert rows(update.change_counts(before, changes)) == [(60, 40)]
+    assert seen.value == 120
+    none = spark.createDataFrame([], f"seq long, op string, {QUAD_SCHEMA}")
+    assert rows(update.change_counts(before, none)) == [(0, 0)]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripleframe.model import LITERAL_TYPES, NUMERIC, QUAD_COLUMNS, QUAD_KEY, TEMPORAL, Lit, column, variable
+from tripleframe.session import cut
 
 CHANGE_COLUMNS = ["seq", "op", *QUAD_COLUMNS]
 
@@ -132,20 +133,23 @@ def apply_changes(quads: DataFrame, changes: DataFrame, net: bool = False) -> Da
 
     ``net`` says that the changes name each fact once, as those of ``changes_between`` and ``squash`` do.
     """
-    net = changes if net else net_changes(changes)
+    # Written, as they are read twice; what they are derived from is read once.
+    net = cut(changes if net else net_changes(changes))
     kept = _null_safe(quads, net, "left_anti")
     return kept.select(*QUAD_COLUMNS).unionByName(net.where("op = '+'").select(*QUAD_COLUMNS))
 
 
 def change_counts(quads: DataFrame, changes: DataFrame) -> DataFrame:
     """(inserts, deletes): how many facts the changes really add and remove."""
-    net = net_changes(changes)
-    added = _null_safe(net.where("op = '+'"), quads, "left_anti").select(F.lit(1).alias("a"), F.lit(0).alias("d"))
-    gone = _null_safe(net.where("op = '-'"), quads, "left_semi").select(F.lit(0).alias("a"), F.lit(1).alias("d"))
-    return added.unionByName(gone).agg(
-        F.coalesce(F.sum("a"), F.lit(0)).cast("bigint").alias("inserts"),
-        F.coalesce(F.sum("d"), F.lit(0)).cast("bigint").alias("deletes"),
-    )
+    net = cut(net_changes(changes).select("op", *QUAD_KEY))
+    known = _null_safe(net, quads, "left_semi").groupBy().agg(_number_of("+").alias("_held"), _number_of("-").alias("deletes"))
+    # One row each.
+    every = net.groupBy().agg(_number_of("+").alias("_asked"))
+    return every.join(known, how="cross").select((F.col("_asked") - F.col("_held")).alias("inserts"), "deletes")
+
+
+def _number_of(op: str) -> Column:
+    return F.count(F.when(F.col("op") == op, 1))
 
 
 def changes_between(before: DataFrame, after: DataFrame, seq: int = 0) -> DataFrame:
@@ -153,7 +157,7 @@ def changes_between(before: DataFrame, after: DataFrame, seq: int = 0) -> DataFr
     sides = before.select(*QUAD_COLUMNS, F.lit(1).alias("_b"), F.lit(0).alias("_a")).unionByName(
         after.select(*QUAD_COLUMNS, F.lit(0).alias("_b"), F.lit(1).alias("_a"))
     )
-    held = sides.groupBy(*QUAD_KEY).agg(
+    held = sides.repartition("s", "o").groupBy(*QUAD_KEY).agg(
         F.max("_b").alias("_b"), F.max("_a").alias("_a"), F.max("o_num").alias("o_num"), F.max("o_ts").alias("o_ts")
     )
     return held.where(F.col("_a") != F.col("_b")).select(
