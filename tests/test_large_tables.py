@@ -71,3 +71,19 @@ def test_changes_are_derived_once(spark):
     assert seen.value == 120
     none = spark.createDataFrame([], f"seq long, op string, {QUAD_SCHEMA}")
     assert rows(update.change_counts(before, none)) == [(0, 0)]
+
+
+def test_columns_are_profiled_by_one_set_of_tests(spark, monkeypatch):
+    calls = []
+    readable = validate._readable
+    monkeypatch.setattr(validate, "_readable", lambda *a: (calls.append(1), readable(*a))[1])
+    df = spark.createDataFrame(
+        [("1", "\ttrue", "1995-01-02", "99999999999999999999", "7", None), (" 2", "no", "1995\t", "1", None, None)],
+        "whole string, flag string, moment string, long string, some string, none string",
+    )
+    found = validate.profile(df)
+    assert len(calls) == 1
+    assert found.ranges == {
+        "whole": "xsd:integer", "flag": "xsd:boolean", "moment": "xsd:dateTime", "long": "xsd:decimal", "some": "xsd:integer", "none": "xsd:string",
+    }
+    assert found.nulls == {"some", "none"} and found.rows == 2

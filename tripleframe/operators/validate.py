@@ -168,6 +168,10 @@ def key_changes(before: DataFrame, after: DataFrame, definition: ClassDef) -> Da
 _LATTICE = ("xsd:integer", "xsd:double", "xsd:decimal", "xsd:boolean", "xsd:date", "xsd:dateTime", "xsd:duration")
 # Fixed patterns: texts of datatypes. Text that fails its pattern is never parsed, which is much cheaper than a failed parse.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?([Nn]a[Nn]|[Ii]nf(inity)?)$"
+_INTEGER = r"^[+-]?0*\d{1,19}$"
+_BLANKS = r"[\s\p{Cntrl}]*"
+_BOOLEAN = f"(?i)^{_BLANKS}(t|true|y|yes|1|f|false|n|no|0){_BLANKS}$"
+_MOMENT = rf"^{_BLANKS}[+-]?\d{{4,}}(-|{_BLANKS}$)"
 _LONG_NUMBER = r"^[+-]?0*(\d\.?){18,}$"
 _DECIMAL = r"^[+-]?\d{1,28}(\.\d{0,10})?$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -187,22 +191,23 @@ class Profile:
         return SPARK_TYPES.get(self.ranges[name], "string")
 
 
-def _readable(text: Column) -> Column:
-    """The datatypes a text can be read as, a bit each."""
-    value = F.trim(text)
-    number = value.rlike(_NUMBER)
+def _readable(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the datatypes a text can be read as, a bit each. Texts are trimmed and held against the number pattern once."""
+    value, number = F.col("_value"), F.col("_number")
+    rows = rows.withColumn("_value", F.trim(text)).withColumn("_number", value.rlike(_NUMBER))
     tests = {
-        "xsd:integer": number & value.try_cast("bigint").isNotNull() & ~value.contains("."),
+        "xsd:integer": value.rlike(_INTEGER) & value.try_cast("bigint").isNotNull(),
         # A number of more digits than a double holds is one only if its column has no other way.
         "xsd:double": number & ~value.rlike(_LONG_NUMBER),
         "xsd:decimal": value.rlike(_DECIMAL),
-        "xsd:boolean": value.try_cast("boolean").isNotNull(),
+        "xsd:boolean": value.rlike(_BOOLEAN) & value.try_cast("boolean").isNotNull(),
         "xsd:date": value.rlike(_DATE) & value.try_cast("date").isNotNull(),
-        "xsd:dateTime": ~number & value.try_cast("timestamp_ntz").isNotNull(),
+        "xsd:dateTime": ~number & value.rlike(_MOMENT) & value.try_cast("timestamp_ntz").isNotNull(),
         "xsd:duration": value.rlike(_DURATION),
     }
     bits = [F.when(tests[kind], F.lit(1 << i)).otherwise(F.lit(0)) for i, kind in enumerate(_LATTICE)]
-    return reduce(lambda a, b: a + b, bits, F.when(number, F.lit(1 << len(_LATTICE))).otherwise(F.lit(0)))
+    state = reduce(lambda a, b: a + b, bits, F.when(number, F.lit(1 << len(_LATTICE))).otherwise(F.lit(0)))
+    return rows.withColumn(name, F.when(value.isNotNull(), state)).drop("_value", "_number")
 
 
 def _range_of(state: int | None) -> str:
@@ -220,24 +225,31 @@ def profile(df: DataFrame, complete: bool = False) -> Profile:
     double, decimal (where some number has more digits than a double holds), boolean, date, dateTime, duration; a column without values
     is text. States of parts of a table are merged by intersecting them. ``complete`` looks at rows without nulls only, for datatypes.
     """
-    names = {f.name: F.col(f"`{f.name}`") for f in df.schema.fields}
-    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in names.values()], F.lit(True))
-    checks = [F.count(F.lit(1)).alias("rows")]
-    for i, f in enumerate(df.schema.fields):
-        value = names[f.name]
-        checks.append(F.count(value).alias(f"{i}.n"))
-        if isinstance(f.dataType, T.StringType):
-            checks.append(F.bit_and(F.when(whole if complete else value.isNotNull(), _readable(value))).alias(f"{i}.state"))
-    row = df.agg(*checks).first().asDict()
+    names = [F.col(f"`{f.name}`") for f in df.schema.fields]
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in names], F.lit(True))
+    is_text = [isinstance(f.dataType, T.StringType) for f in df.schema.fields]
+    # The values of all columns are tested by the same code, a row each: tests of every column side by side are too much to compile.
+    entries = [
+        F.struct(F.lit(i).alias("at"), c.isNotNull().alias("held"), ((F.when(whole, c) if complete else c) if text else F.lit(None).cast("string")).alias("text"))
+        for i, (c, text) in enumerate(zip(names, is_text, strict=True))
+    ]
+    rows = df.select(F.inline(F.array(*entries)).alias("_at", "_held", "_text"))
+    found = _readable(rows, "_text", "_state").groupBy("_at").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("_held"), 1)).alias("n"), F.bit_and("_state").alias("state")
+    )
+    # One row a column.
+    seen = {r["_at"]: r for r in found.collect()}
+    count = seen[0]["rows"] if seen else 0
     ranges = {}
     for i, f in enumerate(df.schema.fields):
-        if isinstance(f.dataType, T.StringType):
-            ranges[f.name] = _range_of(row[f"{i}.state"])
+        if is_text[i]:
+            ranges[f.name] = _range_of(seen[i]["state"] if seen else None)
         elif isinstance(f.dataType, (T.DayTimeIntervalType, T.YearMonthIntervalType)):
             ranges[f.name] = "xsd:duration"
         else:
             ranges[f.name] = literal_type(f.dataType.simpleString())
-    return Profile(ranges, frozenset(f.name for i, f in enumerate(df.schema.fields) if row[f"{i}.n"] < row["rows"]), row["rows"])
+    nulls = frozenset(f.name for i, f in enumerate(df.schema.fields) if seen and seen[i]["n"] < count)
+    return Profile(ranges, nulls, count)
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
