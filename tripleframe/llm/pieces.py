@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding that keeps the place of every piece in the original text.
 
-The model file is read once in a task: its normaliser settings with the compiled character map, and its pieces. A text is
+The model file is read once in a worker: its normaliser settings with the compiled character map, and its pieces. A text is
 normalised by the longest prefix the map holds at each place, while every normalised character remembers the original bytes
 it came from. The normalised text is cut into runs of word marks with the letters or the other characters behind them; no
 piece crosses such a border (checked when the model is loaded), so byte-pair merges run word by word and a bounded memo
@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripleframe.llm.common import map_text
+from tripleframe.llm.common import held, map_text
 
 MARK = "▁"
-#: Words of which a task remembers the pieces. A full memo is kept for look-ups while a new one fills, so common words stay.
+#: Words of which a worker remembers the pieces. A full memo is kept for look-ups while a new one fills, so common words stay.
 MEMO_WORDS = 250_000
 
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -324,13 +324,14 @@ def encode_documents(df: DataFrame, model: str, text: str = "text", decoded: boo
 
     Starts and ends count bytes of the original text. ``bounds`` gives the columns ``starts`` and ``ends``: the spans without
     ids and pieces. ``model`` is the path of a model file that exists on every machine (part of an installed package, or
-    shipped with ``addFile``); it is opened once in a task.
+    shipped with ``addFile``); it is opened once in a Python worker, whose tasks share the memo.
     """
     parts = ["ids array<int>"] + ["decoded string"] * decoded + ["spans array<struct<id:int,piece:string,start:int,end:int>>"] * spans
     parts += ["starts array<int>", "ends array<int>"] * bounds
 
     def make():
-        coder = PieceModel(model)
+        # Words learnt in a task are known to the next one of the worker.
+        coder = held(("pieces", model, MEMO_WORDS), lambda: PieceModel(model))
         names = pa.array(coder.pieces, pa.string())
 
         def work(texts: list[str]) -> dict[str, pa.Array]:
