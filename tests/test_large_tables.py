@@ -87,3 +87,19 @@ def test_columns_are_profiled_by_one_set_of_tests(spark, monkeypatch):
         "whole": "xsd:integer", "flag": "xsd:boolean", "moment": "xsd:dateTime", "long": "xsd:decimal", "some": "xsd:integer", "none": "xsd:string",
     }
     assert found.nulls == {"some", "none"} and found.rows == 2
+
+
+def test_cells_are_derived_once(spark):
+    from tripleframe.operators import rdflist
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    cells = spark.createDataFrame([("a", "x", "b"), ("b", "y", "rdf:nil")], "cell string, first string, rest string")
+    found = rdflist.list_positions(cells.withColumn("cell", counted("cell")))
+    assert rows(found) == [("a", 0, "a", "x"), ("a", 1, "b", "y")]
+    assert seen.value == 2
