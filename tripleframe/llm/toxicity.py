@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripleframe.llm.common import map_text, sigmoid
+from tripleframe.llm.common import forget, map_text, sigmoid
 
 #: Hashed terms.
 TERMS = 1 << 20
@@ -207,6 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "toxic", "text")
 
     def make() -> Callable[[list[str]], dict[str, pa.Array]]:
+        forget()
         terms = Terms()
         return lambda texts: {"terms": pa.array([terms(t).tobytes() for t in texts], pa.binary())}
 
@@ -220,6 +221,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     """Replace the text by ``score``."""
 
     def make() -> Callable[[list[str]], dict[str, pa.Array]]:
+        forget()
         terms = Terms(machine.terms)
         return lambda texts: {"score": pa.array(sigmoid(machine.logits([terms(t) for t in texts])))}
 
