@@ -257,6 +257,19 @@ def test_blocks_beyond_the_bound_are_not_scored():
     assert all(c.scored <= 4 for c in lists)
 
 
+def test_shards_are_stored_and_read_one_by_one(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(search, "SHARD", 400)
+    docs = [(k, " ".join(f"w{(k * j) % 17}" for j in range(1, 12))) for k in range(90)] + [(90, None), (None, "w1 w2")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    shards = search.stored_index(df)
+    groups = [m.row_group(g).num_rows for f in shards.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for g in range(m.num_row_groups)]
+    assert len(groups) > 4 and set(groups) == {1}
+    asked = spark.createDataFrame([(k, f"w{k} w{k + 3}") for k in range(5)], "item_id long, text string")
+    assert sorted(map(tuple, search.top_k(shards, asked).collect())) == sorted(map(tuple, search.top_k(search.index(df), asked).collect()))
+
+
 def test_stages_on_odd_rows(spark, tmp_path):
     import corpus_pipeline
 

@@ -87,6 +87,15 @@ def index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
     return df.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, SCHEMA)
 
 
+def stored_index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``index``, written to the shared folder with each shard in a row group of its own.
+
+    Spark's reader decodes up to 4096 rows of a row group at once, and its writer holds a row group until it is full: without
+    this both would hold all shards of a file.
+    """
+    return cut(index(df, doc_id, text), {"parquet.block.row.count.limit": "1"})
+
+
 def _shard(name: int, held: list[tuple[int, str]]) -> pa.RecordBatch:
     held.sort(key=lambda x: x[0])
     known: dict[str, int] = {}
@@ -242,7 +251,7 @@ def _search_group(shards: DataFrame, asked: list[tuple[int, dict[int, int]]], k:
             columns = [pa.array([None, *wanted[known].tolist()], pa.int64()), pa.array([len(lengths), *held.tolist()], pa.int64()), pa.array([int(lengths.sum()), *[0] * len(known)], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["term", "docs", "length"])
 
-    told = shards.mapInArrow(statistics, "term long, docs long, length long").groupBy("term").agg(F.sum("docs"), F.sum("length")).collect()
+    told = shards.select("terms", "ends", "lengths").mapInArrow(statistics, "term long, docs long, length long").groupBy("term").agg(F.sum("docs"), F.sum("length")).collect()
     held = {t: n for t, n, _ in told if t is not None}
     total, length = next(((n, s) for t, n, s in told if t is None), (0, 0))
     mean = length / total if total and length else 1.0
