@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripleframe.llm import lists, shingles
@@ -144,6 +146,32 @@ def test_simhash_names_the_first_pairs(spark, monkeypatch, tmp_path):
     assert calls and calls[0] > 0
 
 
+def test_pairs_behind_simhash_stars_are_held_against_each_other(spark):
+    rnd = random.Random(12)
+    texts = [[f"w{rnd.randrange(10**6)}" for _ in range(80)] for _ in range(3)]
+    texts = [" ".join(texts[0]), " ".join(texts[1]), edited(rnd, texts[1], 1), " ".join(texts[2])]
+    # The star ties 1 and 2 to 0, which is like neither; 1 and 2 differ in three bits, 0 and 2 in six.
+    prints = [0, 0b111, 0b111111, -1]
+    shingle = shingles.Shingles()
+    rows = [(k, prints[k], len(shingle(t)), shingles.parity(shingle(t))) for k, t in enumerate(texts)]
+    facts = spark.createDataFrame(rows, "node long, fingerprint long, size int, bits binary")
+    links = shingles._close_links(facts, shingles._sets(spark.createDataFrame(list(enumerate(texts)), "node long, text string")))
+    assert sorted(map(tuple, links.collect())) == [(1, 2)]
+
+
+def test_the_stage_leaves_only_its_result_on_the_disk(spark, monkeypatch, tmp_path):
+    rnd = random.Random(13)
+    base = [[f"w{rnd.randrange(10**6)}" for _ in range(60)] for _ in range(20)]
+    rows = [(3 * k + j, edited(rnd, base[k], j)) for k in range(20) for j in range(3)]
+    written = []
+    first = shingles.cut
+    monkeypatch.setattr(shingles, "cut", lambda *a: (lambda df: (written.append((df.columns, df.inputFiles())), df)[1])(first(*a)))
+    kept = shingles.kept_rows(spark.createDataFrame(rows, "doc_id long, text string").withColumn("digest", F.md5("text")).repartition(3))
+    left = [columns for columns, files in written if any(os.path.exists(f.removeprefix("file://")) for f in files)]
+    assert len(written) > len(left) and not {"text", "set", "head", "bits", "counts"} & {c for columns in left for c in columns}
+    assert sorted(r["doc_id"] for r in kept.collect()) == brute(rows)
+
+
 def test_a_worker_keeps_what_it_learnt():
     from tripleframe.llm.common import held
 
